@@ -1,0 +1,2 @@
+"""No stream operators: loads are batches, and their watermarks are rows of the
+control tables (see ``quayside.sources.control``), not event-time watermarks."""
