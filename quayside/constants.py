@@ -38,6 +38,9 @@ MIN_KEY_SLASHES = 3
 # cuts scans by bytes, which for such a scan means far too many empty tasks.
 METADATA_TASKS = 4096
 
+# Bytes above which a footer-only scan would exceed that many tasks.
+METADATA_BYTES = METADATA_TASKS * 128 * 1024 * 1024
+
 # Files of one entity named in one read; more are read by folder or in batches.
 PATHS_PER_READ = 20_000
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
-from quayside.constants import METADATA_TASKS
+from quayside.constants import METADATA_BYTES, METADATA_TASKS
 from quayside.functions import paths
 from quayside.sources import files
 from quayside.sources.relations import relation
@@ -19,42 +18,33 @@ COUNTS_DDL = "entity string, row_count bigint"
 COLUMNS_DDL = "entity string, position int, name string, type string"
 
 
-def entity_below(root: str, file_path: Column) -> Column:
-    """Entity of a landed file: the first name below ``root``, lower-cased."""
-    child = F.split_part(paths.key_under(root, file_path), F.lit("/"), F.lit(1))
-    return F.lower(F.regexp_replace(child, r"\.parquet$", ""))
+def row_counts(spark: SparkSession, root: str, workers: int = 8) -> DataFrame:
+    """Rows of every entity below ``root``.
 
-
-def row_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of every entity below ``root``, in one scan that reads no column.
-
-    The empty schema keeps entities of clashing types apart and spares the
-    footers at planning. Rows are counted per file first, so the name of the
-    entity is derived once per file and not once per row. Entities whose names
-    differ only in case are added up.
+    One count per child folder or file, several at a time. A count without
+    grouping and with an empty schema reads footers only and stays in one fused
+    loop; a single scan grouped by file name was measured to take twelve times
+    as long, as it hashes a path for every row. Only one number per entity
+    comes to the driver. Entities whose names differ only in case are added up.
     """
-    try:
+    found = files.children(files.listing(spark, root)).orderBy("child").collect()
+
+    def count(item: Row) -> int:
         rows = (
             spark.read.schema(T.StructType([]))
             .option("recursiveFileLookup", True)
-            .parquet(paths.literal_path(root))
-            .select(F.col("_metadata.file_path").alias("file"))
-            .coalesce(METADATA_TASKS)
+            .parquet(paths.literal_path(f"{root.rstrip('/')}/{item.child}"))
         )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return relation(spark, [], COUNTS_DDL)
-    per_file = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    return per_file.groupBy(entity_below(root, F.col("file")).alias("entity")).agg(
-        F.sum("rows").alias("row_count")
-    )
-
+        if item.bytes > METADATA_BYTES:
+            rows = rows.coalesce(METADATA_TASKS)
+        return rows.count()
 
-def entity_counts(counts: DataFrame, found: DataFrame) -> DataFrame:
-    """Counts of the entities found; one whose files hold no row counts zero."""
-    return found.select("entity").join(counts, "entity", "left").select(
-        "entity", F.coalesce("row_count", F.lit(0)).alias("row_count")
+    totals: Counter[str] = Counter()
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for item, rows in zip(found, pool.map(count, found)):
+            totals[item.entity] += rows
+    return relation(
+        spark, [{"entity": name, "row_count": rows} for name, rows in totals.items()], COUNTS_DDL
     )
 
 

@@ -363,12 +363,14 @@ def landed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = selection.landing_plan(
         selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
     )
+    parts = []
     for item in landing.entity_summary(plan):
         folder = f"{target}/{item.entity}"
         landing.write_entity(plan, item, source, "src/de/", ALWAYS, folder)
-    landed = spark.read.schema(events.schema).option("recursiveFileLookup", True).parquet(target)
-    entity = profile.entity_below(target, F.col("_metadata.file_path"))
-    return landed.select(entity.alias("entity"), "event_id", "ts", "user_id", "event_type")
+        rows = files.entity(spark, folder)
+        entity = F.lit(item.entity).alias("entity")
+        parts.append(rows.select(entity, "event_id", "ts", "user_id", "event_type"))
+    return pages.union_all(parts)
 
 
 def written_pull(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -304,17 +304,14 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> b
 def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
             start: datetime, landed_files: int) -> DataFrame:
     """Count and publish what this load landed; returns the entity report."""
-    listed = files.listing(spark, layout.landed_root)
-    found = written(files.entities(listed), "entities")
+    found = files.entities(files.listing(spark, layout.landed_root))
     locations = {
         row.entity: f"{layout.landed_root}/{row.folder}"
         for row in found.orderBy("entity").collect()
     }
     if landed_files and not locations:
         raise ValueError(f"files were landed, but none below {layout.landed_root}")
-    counts = written(
-        profile.entity_counts(profile.row_counts(spark, layout.landed_root), found), "counts"
-    )
+    counts = profile.row_counts(spark, layout.landed_root)
     schemas = profile.schemas(spark, locations, merge_schema=True, fmt=layout.source_format)
     catalog.publish(
         spark,

@@ -67,19 +67,27 @@ def with_prefix(files: DataFrame, prefix: str) -> DataFrame:
     return files.where(F.startswith("path", F.lit(prefix))) if prefix else files
 
 
+def children(files: DataFrame) -> DataFrame:
+    """First path segments of a listing: ``(entity, child, is_folder, bytes)``.
+
+    The entity is the lower-cased name, without the ending of a lone file.
+    """
+    child = F.split_part("path", F.lit("/"), F.lit(1))
+    below = files.groupBy(child.alias("child")).agg(
+        F.bool_or(F.contains("path", F.lit("/"))).alias("is_folder"),
+        F.sum("size").alias("bytes"),
+    )
+    name = F.lower(F.regexp_replace("child", r"\.parquet$", ""))
+    return below.select(name.alias("entity"), "child", "is_folder", "bytes")
+
+
 def entities(files: DataFrame) -> DataFrame:
     """Child folders of a listing as ``(entity, folder)``, entity lower-cased.
 
     Of folders that differ only in case the last one in key order is kept.
     """
-    child = F.split_part("path", F.lit("/"), F.lit(1))
-    return (
-        files.where(F.contains("path", F.lit("/")))
-        .select(child.alias("folder"))
-        .distinct()
-        .groupBy(F.lower("folder").alias("entity"))
-        .agg(F.max("folder").alias("folder"))
-    )
+    folders = children(files).where("is_folder")
+    return folders.groupBy("entity").agg(F.max("child").alias("folder"))
 
 
 def check_format(fmt: str) -> str:
