@@ -42,3 +42,30 @@ def values(df, *columns):
     """Rows as a sorted list of tuples."""
     chosen = df.select(*columns) if columns else df
     return sorted((tuple(row) for row in chosen.collect()), key=repr)
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df) -> list:
+    """Leaf nodes of the executed plan; run the query first."""
+
+    def leaves(plan):
+        nodes = plan.collectLeaves().iterator()
+        while nodes.hasNext():
+            node = nodes.next()
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                yield from leaves(node.executedPlan())
+            elif "QueryStage" in node.nodeName():
+                yield from leaves(node.plan())
+            else:
+                yield node
+
+    return list(leaves(df._jdf.queryExecution().executedPlan()))
+
+
+def files_read(df) -> int:
+    """Files the scans of an executed query read."""
+    metrics = [node.metrics() for node in scans(df)]
+    return sum(m.get("numFiles").get().value() for m in metrics if m.contains("numFiles"))
