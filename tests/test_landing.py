@@ -1,0 +1,177 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.functions import paths
+from quayside.operators import profile, selection
+from quayside.sources import catalog, files, landing
+from quayside.sources.relations import relation, written
+from tools import CURRENT, HOUR, LANDING, LAST, LOAD_ID, SECOND, TEMPLATE, WINDOW, put, values
+
+
+def plan_of(spark, root, prefix="src/de/", pulled=()):
+    folders = selection.pull_folders(
+        relation(spark, [{"entity": name} for name in pulled], "entity string"), "src", "de"
+    )
+    rule = paths.EntityRule.of(TEMPLATE)
+    found = selection.candidates(
+        files.listing(spark, str(root), prefix), WINDOW, folders, LOAD_ID
+    )
+    targeted = selection.with_target(found, rule, LANDING, "src", "de", LOAD_ID)
+    return written(selection.landing_plan(targeted), "plan")
+
+
+def fill(root, count=6):
+    """Files in the window, around them others that are not."""
+    for n in range(count):
+        put(root, f"src/de/src_de_acc/a b+c/f{n}.parquet", LAST + (n + 1) * SECOND, {"id": [n]})
+    put(root, "src/de/src_de_acc/a b+c/early.parquet", LAST, {"id": [98]})
+    put(root, "src/de/src_de_acc/a b+c/end[1].parquet", CURRENT, {"id": [50], "z": ["x"]})
+    put(root, "src/de/src_de_acc/a b+c/late.parquet", CURRENT + SECOND, {"id": [99]})
+    put(root, "src/de/src_de_acc/a b+c_$folder$", LAST + SECOND)
+
+
+def land(spark, plan, root, target, limit, prefix="src/de/"):
+    (item,) = landing.entity_summary(plan)
+    landing.write_entity(plan, item, str(root), prefix, WINDOW, str(target), paths_per_read=limit)
+    return spark.read.option("mergeSchema", True).parquet(str(target)), item
+
+
+@pytest.mark.parametrize("limit, by_folder", [(100, False), (5, True)])
+def test_by_name_and_by_folder_give_the_same(spark, tmp_path, limit, by_folder):
+    fill(tmp_path / "s")
+    plan = plan_of(spark, tmp_path / "s")
+    found, item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
+    assert item.by_folder("src/de/") and (item.lands > limit) is by_folder
+    assert values(found, "id", "z") == sorted(
+        [(n, None) for n in range(6)] + [(50, "x")], key=repr
+    )
+
+
+@pytest.mark.parametrize("limit", [100, 5, 2])
+def test_overwritten_targets_are_left_out(spark, tmp_path, limit):
+    fill(tmp_path / "s")
+    put(tmp_path / "s", "src/de/src_de_acc/b/f0.parquet", LAST + SECOND, {"id": [70]})
+    plan = plan_of(spark, tmp_path / "s")
+    found, item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
+    assert (item.excluded, item.named) == (1, True)
+    assert [row.id for row in found.orderBy("id").collect()] == [1, 2, 3, 4, 5, 50, 70]
+
+
+@pytest.mark.parametrize("exclude_limit", [1, 100])
+def test_many_overwritten_targets(spark, tmp_path, monkeypatch, exclude_limit):
+    """A third of the files share one target: the last key wins, in every way
+    of reading."""
+    monkeypatch.setattr(landing, "EXCLUDED_PER_READ", exclude_limit)
+    root = tmp_path / "s"
+    for n in range(10):
+        put(root, f"src/de/src_de_acc/d{n}/same.parquet", LAST + SECOND, {"id": [n]})
+    for n in range(20):
+        put(root, f"src/de/src_de_acc/d{n}/own{n}.parquet", LAST + SECOND, {"id": [100 + n]})
+    plan = plan_of(spark, root)
+    found, item = land(spark, plan, root, tmp_path / "t", limit=4)
+    assert item.by_folder("src/de/") is (exclude_limit == 100)
+    assert sorted(row.id for row in found.collect()) == [9, *range(100, 120)]
+
+
+def test_forced_files_are_read_by_name(spark, tmp_path):
+    root = tmp_path / "s"
+    for n in range(4):
+        key = f"src/de/src_de_acc/{LOAD_ID}/p{n}.parquet"
+        put(root, key, CURRENT + HOUR, {"id": [str(n)]})
+    put(root, "src/de/src_de_acc/a/late.parquet", CURRENT + HOUR, {"id": ["x"]})
+    plan = plan_of(spark, root, pulled=["ACC"])
+    found, item = land(spark, plan, root, tmp_path / "t", limit=2)
+    assert item.outside == 4 and not item.by_folder("src/de/")
+    assert sorted(row.id for row in found.collect()) == ["0", "1", "2", "3"]
+
+
+def test_prefix_inside_the_folder(spark, tmp_path):
+    """The search prefix may select less than the folder of the entity."""
+    root, prefix = tmp_path / "s", "src/de/src_de_acc/a"
+    for folder in "ab":
+        for n in range(3):
+            key = f"src/de/src_de_acc/{folder}/{folder}{n}.parquet"
+            put(root, key, LAST + SECOND, {"id": [f"{folder}{n}"]})
+    plan = plan_of(spark, root, prefix)
+    found, item = land(spark, plan, root, tmp_path / "t", limit=1, prefix=prefix)
+    assert not item.by_folder(prefix)
+    assert sorted(row.id for row in found.collect()) == ["a0", "a1", "a2"]
+
+
+def test_rewrite_replaces(spark, tmp_path):
+    fill(tmp_path / "s")
+    plan = plan_of(spark, tmp_path / "s")
+    for _ in range(2):
+        for limit in (100, 2):
+            found, _item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
+            assert found.count() == 7
+
+
+def test_profile_and_publish(spark, tmp_path):
+    """Entities whose schemas clash, upper case, nested types, no rows."""
+    root = tmp_path / "landed"
+    spark.range(5).write.parquet(f"{root}/acc")
+    spark.sql("select 'a' id, 1L z").write.parquet(f"{root}/Ord")
+    spark.sql("select 'b' id, 2L z").write.parquet(f"{root}/ord")
+    spark.sql(
+        "select '1' id, array('t') tags, map('k', 'v') attrs, "
+        "cast(1.5 as decimal(18,2)) amount, timestamp'2022-01-01 00:00:00' at"
+    ).write.parquet(f"{root}/doc")
+    spark.range(0).write.parquet(f"{root}/none")
+    (root / "empty").mkdir()
+    assert values(profile.row_counts(spark, str(root)), "entity", "row_count") == [
+        ("acc", 5), ("doc", 1), ("none", 0), ("ord", 2),
+    ]
+    found = files.entities(files.listing(spark, str(root)))
+    locations = {row.entity: f"{root}/{row.folder}" for row in found.collect()}
+    assert locations["ord"].endswith("/ord") and "empty" not in locations
+    schemas = profile.schemas(spark, locations, merge_schema=True)
+    columns = profile.columns(spark, schemas).where("entity = 'doc'").orderBy("position")
+    assert [(row.name, row.type) for row in columns.collect()] == [
+        ("id", "string"),
+        ("tags", "array<string>"),
+        ("attrs", "map<string,string>"),
+        ("amount", "decimal(18,2)"),
+        ("at", "timestamp"),
+    ]
+    tables = [catalog.EntityTable(name, locations[name], schemas[name]) for name in locations]
+    database = f"db_{tmp_path.name}"
+    assert catalog.tables(spark, database) == [] and catalog.clear(spark, database) == []
+    spark.range(1).createOrReplaceTempView("bystander")
+    catalog.publish(spark, database, tables)
+    catalog.publish(spark, database, tables[:1] + [t for t in tables if t.entity == "acc"][:1])
+    catalog.publish(spark, database, tables)
+    assert sorted(catalog.tables(spark, database)) == ["acc", "doc", "none", "ord"]
+    assert spark.table(f"{database}.acc").count() == 5
+    # The table of two folders that differ in case is the last in key order.
+    assert values(spark.table(f"{database}.ord")) == [("b", 2)]
+    catalog.publish(spark, database, [t for t in tables if t.entity == "doc"])
+    assert catalog.tables(spark, database) == ["doc"]
+    assert catalog.clear(spark, database) == ["doc"]
+    assert catalog.tables(spark, database) == []
+    assert spark.table("bystander").count() == 1
+    assert spark.read.parquet(locations["acc"]).count() == 5
+    spark.catalog.dropTempView("bystander")
+
+
+def test_no_landed_folder(spark, tmp_path):
+    assert profile.row_counts(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_only_known_formats(spark, tmp_path):
+    with pytest.raises(ValueError, match="csv"):
+        files.entity(spark, str(tmp_path), "csv")
+
+
+def test_odd_names_are_read_by_name(spark, tmp_path):
+    """The folder read skips names that end in ``$``; such a file is no marker."""
+    root = tmp_path / "s"
+    for name in ("a$", "b", "c"):
+        put(root, f"src/de/src_de_acc/x/{name}", LAST + SECOND, {"id": [name]})
+    plan = plan_of(spark, root)
+    found, item = land(spark, plan, root, tmp_path / "t", limit=1)
+    assert not item.by_folder("src/de/")
+    assert sorted(row.id for row in found.collect()) == ["a$", "b", "c"]
+    assert plan.where(F.col("lands")).count() == 3
