@@ -166,7 +166,7 @@ class LoadOutcome:
 def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
                pull_source: PullSource | None = None, inventory: DataFrame | None = None,
                relands: bool = False, allow_rejected: bool = False,
-               workers: int = 4) -> LoadOutcome:
+               workers: int = 8) -> LoadOutcome:
     """Run one load.
 
     Every step can be repeated for the same load id. Watermarks move only after
@@ -285,7 +285,7 @@ def land_files(spark: SparkSession, layout: Layout, params: LoadParams, control:
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         list(pool.map(write, items))
-    return Landed(plan.where("taken").count(), rejected)
+    return Landed(sum(item.taken for item in items), rejected)
 
 
 def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> bool:
@@ -312,7 +312,7 @@ def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: Co
     if landed_files and not locations:
         raise ValueError(f"files were landed, but none below {layout.landed_root}")
     counts = profile.row_counts(spark, layout.landed_root)
-    schemas = profile.schemas(spark, locations, merge_schema=True, fmt=layout.source_format)
+    schemas = profile.schemas(spark, locations, fmt=layout.source_format)
     catalog.publish(
         spark,
         layout.database,

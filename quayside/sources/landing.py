@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ class EntityFiles:
     """What a landing plan says of one entity."""
 
     entity: str
+    taken: int
     lands: int
     outside: int
     excluded: int
@@ -52,6 +54,7 @@ def entity_summary(plan: DataFrame) -> list[EntityFiles]:
     rows = (
         plan.groupBy("entity")
         .agg(
+            F.count_if("taken").alias("taken"),
             F.count_if("lands").alias("lands"),
             F.count_if(outside).alias("outside"),
             F.count_if(left_out).alias("excluded"),
@@ -68,28 +71,37 @@ def write_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: s
                  window: ChangeWindow, target: str, paths_per_read: int = PATHS_PER_READ) -> None:
     """Write the files the plan lands for one entity to its target folder.
 
+    No row is shuffled, joined or tested to tell whether its file belongs here,
+    and all files written have the same columns.
+    """
+    rows = read_entity(plan, item, source_root, prefix, window, paths_per_read)
+    rows.write.mode("overwrite").parquet(target)
+
+
+def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,
+                window: ChangeWindow, paths_per_read: int = PATHS_PER_READ) -> DataFrame:
+    """Rows of the files the plan lands for one entity.
+
     Few files are read by name. Many are read by folder, with the change window
-    applied by the file index, which costs no list of names. Where the folder
-    holds too much else, they are read by name in batches of bounded size. No
-    way of the three shuffles rows or filters them by a join.
+    applied by the file index, which takes no list of names. Where the folder
+    holds too much else, many are read by name too, in reads of bounded size.
     """
+    spark = plan.sparkSession
     source_root = source_root.rstrip("/")
     of_entity = plan.where(F.col("entity") == item.entity)
     if item.lands > paths_per_read and item.by_folder(prefix):
-        rows = files.entity_window(plan.sparkSession, f"{source_root}/{item.folder}", window)
+        rows = files.entity_window(spark, f"{source_root}/{item.folder}", window)
         if item.excluded:
             left_out = of_entity.where(F.col("in_window") & ~F.col("lands"))
             uris = [row.uri for row in left_out.select("uri").collect()]
             rows = rows.where(~F.col("_metadata.file_path").isin(uris))
-        rows.write.mode("overwrite").parquet(target)
-        return
-    batches = ceil(item.lands / paths_per_read)
-    batch = F.pmod(F.xxhash64("path"), F.lit(batches))
-    mode = "overwrite"
-    for number in range(batches):
-        chosen = of_entity.where(F.col("lands") & (batch == number)).select("path")
+        return rows
+    reads = ceil(item.lands / paths_per_read)
+    share = F.pmod(F.xxhash64("path"), F.lit(reads))
+    parts = []
+    for number in range(reads):
+        chosen = of_entity.where(F.col("lands") & (share == number)).select("path")
         names = [f"{source_root}/{row.path}" for row in chosen.collect()]
         if names:
-            rows = files.entity_files(plan.sparkSession, names)
-            rows.write.mode(mode).parquet(target)
-            mode = "append"
+            parts.append(files.entity_files(spark, names))
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)

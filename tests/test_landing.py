@@ -35,7 +35,7 @@ def fill(root, count=6):
 def land(spark, plan, root, target, limit, prefix="src/de/"):
     (item,) = landing.entity_summary(plan)
     landing.write_entity(plan, item, str(root), prefix, WINDOW, str(target), paths_per_read=limit)
-    return spark.read.option("mergeSchema", True).parquet(str(target)), item
+    return spark.read.parquet(str(target)), item
 
 
 @pytest.mark.parametrize("limit, by_folder", [(100, False), (5, True)])
