@@ -83,11 +83,14 @@ def file_name(path: Column) -> Column:
 
 def parent(path: Column) -> Column:
     """The path without its last component; a path without ``/`` is kept."""
-    return F.regexp_replace(path, "/[^/]*$", "")
+    name = file_name(path)
+    cut = F.left(path, F.length(path) - F.length(name) - F.lit(1))
+    return F.when(name == path, path).otherwise(cut)
 
 
-def last_segments(path: Column, count: int) -> Column:
-    return F.substring_index(path, "/", -count)
+def segment(path: Column, number: int) -> Column:
+    """A path segment by number, from the end if negative; empty if there is none."""
+    return F.split_part(path, F.lit("/"), F.lit(number))
 
 
 def is_data_file(path: Column) -> Column:

@@ -34,13 +34,20 @@ def in_forced_folder(files: DataFrame, suffixes: DataFrame, path: str = "path",
                      segments: int = 2) -> DataFrame:
     """Files whose parent folder ends with one of the suffixes (column ``suffix``).
 
-    Suffixes are whole path segments, ``segments`` of them, so the match is a
-    hash semi join on the last segments of the parent.
+    Suffixes are ``segments`` whole path segments, so the match is a hash semi
+    join on the last segments of the parent. A leading ``/`` asks for a folder
+    above them.
     """
-    tail = paths.last_segments(paths.parent(F.col(path)), segments)
-    wanted = suffixes.select(F.ltrim(F.col("suffix"), F.lit("/")).alias("_suffix"))
-    anchored = F.contains(paths.parent(F.col(path)), F.lit("/"))
-    return files.where(anchored).join(wanted, tail == F.col("_suffix"), "left_semi")
+    key = F.col(path)
+    with_name = F.substring_index(key, "/", -segments - 1)
+    tail = F.substring_index(with_name, "/", segments)
+    wanted = suffixes.select(
+        F.ltrim(F.col("suffix"), F.lit("/")).alias("_suffix"),
+        F.startswith("suffix", F.lit("/")).alias("_below"),
+    )
+    match = (tail == F.col("_suffix")) & (~F.col("_below") | (with_name != key))
+    # A key with too few segments is its own tail, file name included.
+    return files.where(tail != with_name).join(wanted, match, "left_semi")
 
 
 def summary(df: DataFrame, column: str, window: ChangeWindow) -> DataFrame:
@@ -82,9 +89,8 @@ def candidates(files: DataFrame, window: ChangeWindow, folders: DataFrame, load_
     load has landed them, hence they are candidates but not taken, unless
     ``relands`` is set.
     """
-    folder = paths.parent(F.col("path"))
-    pull_folder = F.substring_index(paths.last_segments(folder, 2), "/", 1)
-    pulled_by = paths.file_name(folder)
+    pull_folder = paths.segment(F.col("path"), -3)
+    pulled_by = paths.segment(F.col("path"), -2)
     is_load_id = F.try_to_timestamp(pulled_by, F.lit(LOAD_ID_FORMAT)).isNotNull()
     known = folders.select("pull_folder", F.lit(True).alias("_pulled"))
     # A test of file names and times alone: Spark drops the other files while

@@ -19,7 +19,7 @@ from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
 from quayside.plans import batch, reports
 from quayside.sources import catalog, control, files, landing, pages, pull
-from quayside.sources.relations import relation, shared_folder
+from quayside.sources.relations import relation, shared_folder, written
 
 WINDOW = ChangeWindow(datetime(2024, 1, 8), datetime(2024, 1, 15, 12))
 ALWAYS = ChangeWindow(datetime(1970, 1, 1), datetime(2100, 1, 1))
@@ -91,7 +91,7 @@ def entity_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = paths.EntityRule.of("<scheme>//<host>/<entity>/<file>")
     return _keys(spark, sf_dir).select(
         "page_id",
-        F.split_part(path, F.lit("/"), F.lit(3)).alias("host"),
+        paths.segment(path, 3).alias("host"),
         F.coalesce(F.lower(rule.entity(path)), F.lit("")).alias("entity"),
         paths.file_name(path).alias("file_name"),
     )
@@ -310,7 +310,8 @@ def _document_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("src/de/src_de_"), "lang", F.lit("/"), folder, F.lit("/"),
         F.col("n_chars").cast("string"), F.lit(".parquet"),
     )
-    modified = F.timestamp_seconds(F.lit(1704500000) + F.col("doc_id") * 1000)
+    since = F.make_dt_interval(hours=F.col("n_chars").cast("int"))
+    modified = _ntz("2023-12-20 00:00:00") + since
     listed = table(spark, sf_dir, "documents").select(
         path.alias("path"), modified.alias("modified")
     )
@@ -360,17 +361,16 @@ def landed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         files.listing(spark, source, "src/de/"), ALWAYS, nothing_pulled, LOAD_ID
     )
     rule = paths.EntityRule.of(FEED_TEMPLATE)
-    plan = selection.landing_plan(
-        selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
-    )
-    parts = []
-    for item in landing.entity_summary(plan):
-        folder = f"{target}/{item.entity}"
-        landing.write_entity(plan, item, source, "src/de/", ALWAYS, folder)
-        rows = files.entity(spark, folder)
-        entity = F.lit(item.entity).alias("entity")
-        parts.append(rows.select(entity, "event_id", "ts", "user_id", "event_type"))
-    return pages.union_all(parts)
+    targeted = selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
+    plan = written(selection.landing_plan(targeted), "landing-plan")
+    items = landing.entity_summary(plan)
+    folders = {item.entity: f"{target}/{item.entity}" for item in items}
+    landing.write_entities(plan, items, source, "src/de/", ALWAYS, folders)
+    landed = [
+        files.entity(spark, folder).withColumn("entity", F.lit(entity))
+        for entity, folder in folders.items()
+    ]
+    return pages.union_all(landed).select("entity", "event_id", "ts", "user_id", "event_type")
 
 
 def written_pull(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -277,14 +277,10 @@ def land_files(spark: SparkSession, layout: Layout, params: LoadParams, control:
     plan = written(selection.landing_plan(targeted), "landing-plan")
     items = landing.entity_summary(plan)
 
-    def write(item: landing.EntityFiles) -> None:
-        landing.write_entity(
-            plan, item, layout.source_root, layout.search_prefix, window,
-            layout.entity_folder(params.load_id, item.entity),
-        )
-
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(write, items))
+    targets = {item.entity: layout.entity_folder(params.load_id, item.entity) for item in items}
+    landing.write_entities(
+        plan, items, layout.source_root, layout.search_prefix, window, targets, workers
+    )
     return Landed(sum(item.taken for item in items), rejected)
 
 

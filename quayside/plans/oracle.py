@@ -24,8 +24,7 @@ LISTING = """
                       case source when 'src1' then '20240115120000'
                                   when 'src2' then '20240108000000' else source end,
                       '/', n_chars, '.parquet') as path,
-               timestamp '1970-01-01 00:00:00'
-                   + (1704500000 + doc_id * 1000) * interval '1' second as modified
+               timestamp '2023-12-20 00:00:00' + n_chars * interval '1' hour as modified
         from documents) l
     group by path"""
 
