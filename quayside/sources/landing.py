@@ -11,7 +11,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.constants import EXCLUDED_PER_READ, PATHS_PER_READ
+from quayside.constants import EXCLUDED_PER_READ, NAMES_LIMIT, PATHS_PER_READ
 from quayside.params import ChangeWindow
 from quayside.sources import files
 
@@ -70,13 +70,14 @@ def entity_summary(plan: DataFrame) -> list[EntityFiles]:
 
 
 def write_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,
-                 window: ChangeWindow, target: str, paths_per_read: int = PATHS_PER_READ) -> None:
+                 window: ChangeWindow, target: str, names_limit: int = NAMES_LIMIT,
+                 paths_per_read: int = PATHS_PER_READ) -> None:
     """Write the files the plan lands for one entity to its target folder.
 
     No row is shuffled, joined or tested to tell whether its file belongs here,
     and all files written have the same columns.
     """
-    rows = read_entity(plan, item, source_root, prefix, window, paths_per_read)
+    rows = read_entity(plan, item, source_root, prefix, window, names_limit, paths_per_read)
     rows.write.mode("overwrite").parquet(target)
 
 
@@ -93,7 +94,8 @@ def write_entities(plan: DataFrame, items: Sequence[EntityFiles], source_root: s
 
 
 def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,
-                window: ChangeWindow, paths_per_read: int = PATHS_PER_READ) -> DataFrame:
+                window: ChangeWindow, names_limit: int = NAMES_LIMIT,
+                paths_per_read: int = PATHS_PER_READ) -> DataFrame:
     """Rows of the files the plan lands for one entity.
 
     Few files are read by name. Many are read by folder, with the change window
@@ -103,7 +105,7 @@ def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: st
     spark = plan.sparkSession
     source_root = source_root.rstrip("/")
     of_entity = plan.where(F.col("entity") == item.entity)
-    if item.lands > paths_per_read and item.by_folder(prefix):
+    if item.lands > names_limit and item.by_folder(prefix):
         rows = files.entity_window(spark, f"{source_root}/{item.folder}", window)
         if item.excluded:
             left_out = of_entity.where(F.col("in_window") & ~F.col("lands"))

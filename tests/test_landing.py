@@ -34,7 +34,9 @@ def fill(root, count=6):
 
 def land(spark, plan, root, target, limit, prefix="src/de/"):
     (item,) = landing.entity_summary(plan)
-    landing.write_entity(plan, item, str(root), prefix, WINDOW, str(target), paths_per_read=limit)
+    landing.write_entity(
+        plan, item, str(root), prefix, WINDOW, str(target), names_limit=limit, paths_per_read=limit
+    )
     return spark.read.parquet(str(target)), item
 
 
