@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
+from quayside.concurrency import run_all
 from quayside.constants import METADATA_BYTES, METADATA_TASKS
 from quayside.functions import paths
 from quayside.sources import files
@@ -18,8 +18,10 @@ COUNTS_DDL = "entity string, row_count bigint"
 COLUMNS_DDL = "entity string, position int, name string, type string"
 
 
-def row_counts(spark: SparkSession, root: str, workers: int = 8) -> DataFrame:
-    """Rows of every entity below ``root``.
+def row_counts(spark: SparkSession, root: str, children: DataFrame | None = None,
+               workers: int = 8) -> DataFrame:
+    """Rows of every entity below ``root``, whose children may be given if they
+    have been listed already.
 
     One count per child folder or file, several at a time. A count without
     grouping and with an empty schema reads footers only and stays in one fused
@@ -27,7 +29,9 @@ def row_counts(spark: SparkSession, root: str, workers: int = 8) -> DataFrame:
     as long, as it hashes a path for every row. Only one number per entity
     comes to the driver. Entities whose names differ only in case are added up.
     """
-    found = files.children(files.listing(spark, root)).orderBy("child").collect()
+    if children is None:
+        children = files.children(files.listing(spark, root))
+    found = children.orderBy("child").collect()
 
     def count(item: Row) -> int:
         rows = (
@@ -40,9 +44,8 @@ def row_counts(spark: SparkSession, root: str, workers: int = 8) -> DataFrame:
         return rows.count()
 
     totals: Counter[str] = Counter()
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        for item, rows in zip(found, pool.map(count, found)):
-            totals[item.entity] += rows
+    for item, rows in zip(found, run_all(spark, count, found, workers)):
+        totals[item.entity] += rows
     return relation(
         spark, [{"entity": name, "row_count": rows} for name, rows in totals.items()], COUNTS_DDL
     )
@@ -55,8 +58,7 @@ def schemas(spark: SparkSession, locations: Mapping[str, str], merge_schema: boo
     def schema(location: str) -> T.StructType:
         return files.entity(spark, location, fmt, merge_schema).schema
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        return dict(zip(locations, pool.map(schema, locations.values())))
+    return dict(zip(locations, run_all(spark, schema, locations.values(), workers)))
 
 
 def columns(spark: SparkSession, found: Mapping[str, T.StructType]) -> DataFrame:

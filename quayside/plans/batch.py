@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.concurrency import run_all
 from quayside.constants import CLUSTER, ENTITY, FILE, LOAD_ID, SOURCE_SYSTEM, SUCCESS
 from quayside.functions import paths
 from quayside.functions.times import from_micros, run_time
@@ -182,9 +182,10 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
         landed = Landed(0, None)
         if not is_rerun:
             pulls = pull_plan(control, params)
-            pulled = pull_entities(layout, params, pulls, pull_source, workers)
+            pulled = pull_entities(spark, layout, params, pulls, pull_source, workers)
+            listed = source_files(spark, layout, params, pulls, inventory)
             landed = land_files(
-                spark, layout, params, control, inventory, relands, allow_rejected, workers
+                spark, layout, params, pulls, listed, relands, allow_rejected, workers
             )
         report = None
         if is_rerun or landed.files or _landed_before(spark, layout, params):
@@ -220,8 +221,9 @@ def pull_plan(control: ControlStore, params: LoadParams) -> list[EntityPull]:
     ]
 
 
-def pull_entities(layout: Layout, params: LoadParams, pulls: list[EntityPull],
-                  pull_source: PullSource | None, workers: int) -> list[str]:
+def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
+                  pulls: list[EntityPull], pull_source: PullSource | None,
+                  workers: int) -> list[str]:
     """Write the changed rows of each query entity below the source root, all
     columns as text. Returns the entities that had rows."""
     if pulls and pull_source is None:
@@ -232,8 +234,7 @@ def pull_entities(layout: Layout, params: LoadParams, pulls: list[EntityPull],
         folder = paths.pull_folder(layout.source_template, params, item.entity)
         return landing.write_pull(rows, f"{layout.source_root}/{folder.rstrip('/')}")
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        wrote = list(pool.map(write, pulls))
+    wrote = run_all(spark, write, pulls, workers)
     return [item.entity for item, had_rows in zip(pulls, wrote) if had_rows]
 
 
@@ -243,21 +244,35 @@ class Landed:
     rejected: DataFrame | None
 
 
-def land_files(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
-               inventory: DataFrame | None, relands: bool, allow_rejected: bool,
-               workers: int) -> Landed:
+def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
+                 pulls: list[EntityPull], inventory: DataFrame | None = None) -> DataFrame:
+    """Files of the source, listed, or out of an inventory.
+
+    An inventory is older than what this load pulled, so those folders alone
+    are listed besides it.
+    """
+    if inventory is None:
+        return files.listing(spark, layout.source_root, layout.search_prefix)
+    known = files.with_prefix(files.inventory(inventory), layout.search_prefix)
+    folders = {
+        paths.pull_folder(layout.source_template, params, item.entity) for item in pulls
+    }
+    if not folders:
+        return known
+    pulled = files.with_prefix(
+        pages.union_all(
+            [files.listing(spark, layout.source_root, folder) for folder in sorted(folders)]
+        ),
+        layout.search_prefix,
+    )
+    return pulled.unionByName(known.join(pulled, "path", "left_anti"))
+
+
+def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: list[EntityPull],
+               listed: DataFrame, relands: bool, allow_rejected: bool, workers: int) -> Landed:
     """Select the files of this load and write each entity's to its folder."""
     window = ChangeWindow(layout.last, params.current)
-    if inventory is None:
-        listed = files.listing(spark, layout.source_root, layout.search_prefix)
-    else:
-        # Files this load pulled are newer than any inventory.
-        pulled = files.listing(spark, layout.source_root, layout.search_prefix).where(
-            F.contains("path", F.lit(f"/{params.load_id}/"))
-        )
-        known = files.with_prefix(files.inventory(inventory), layout.search_prefix)
-        listed = pulled.unionByName(known.join(pulled, "path", "left_anti"))
-    queried = metadata.query_entities(control.read("source_metadata"), params.source, params.country)
+    queried = relation(spark, [{"entity": item.entity} for item in pulls], "entity string")
     folders = selection.pull_folders(queried, params.source, params.country)
     found = selection.candidates(listed, window, folders, params.load_id, relands)
     rule = paths.EntityRule.of(layout.source_template)
@@ -300,14 +315,14 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> b
 def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
             start: datetime, landed_files: int) -> DataFrame:
     """Count and publish what this load landed; returns the entity report."""
-    found = files.entities(files.listing(spark, layout.landed_root))
+    children = written(files.children(files.listing(spark, layout.landed_root)), "children")
     locations = {
         row.entity: f"{layout.landed_root}/{row.folder}"
-        for row in found.orderBy("entity").collect()
+        for row in files.entities(children).orderBy("entity").collect()
     }
     if landed_files and not locations:
         raise ValueError(f"files were landed, but none below {layout.landed_root}")
-    counts = profile.row_counts(spark, layout.landed_root)
+    counts = profile.row_counts(spark, layout.landed_root, children)
     schemas = profile.schemas(spark, locations, fmt=layout.source_format)
     catalog.publish(
         spark,

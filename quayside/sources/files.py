@@ -81,12 +81,12 @@ def children(files: DataFrame) -> DataFrame:
     return below.select(name.alias("entity"), "child", "is_folder", "bytes")
 
 
-def entities(files: DataFrame) -> DataFrame:
-    """Child folders of a listing as ``(entity, folder)``, entity lower-cased.
+def entities(children: DataFrame) -> DataFrame:
+    """Folders among the children as ``(entity, folder)``.
 
     Of folders that differ only in case the last one in key order is kept.
     """
-    folders = children(files).where("is_folder")
+    folders = children.where("is_folder")
     return folders.groupBy("entity").agg(F.max("child").alias("folder"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -11,6 +10,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.concurrency import run_all
 from quayside.constants import EXCLUDED_PER_READ, NAMES_LIMIT, PATHS_PER_READ
 from quayside.params import ChangeWindow
 from quayside.sources import files
@@ -89,8 +89,7 @@ def write_entities(plan: DataFrame, items: Sequence[EntityFiles], source_root: s
     def write(item: EntityFiles) -> None:
         write_entity(plan, item, source_root, prefix, window, targets[item.entity])
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        list(pool.map(write, items))
+    run_all(plan.sparkSession, write, items, workers)
 
 
 def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,

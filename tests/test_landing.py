@@ -126,7 +126,7 @@ def test_profile_and_publish(spark, tmp_path):
     assert values(profile.row_counts(spark, str(root)), "entity", "row_count") == [
         ("acc", 5), ("doc", 1), ("none", 0), ("ord", 2),
     ]
-    found = files.entities(files.listing(spark, str(root)))
+    found = files.entities(files.children(files.listing(spark, str(root))))
     locations = {row.entity: f"{root}/{row.folder}" for row in found.collect()}
     assert locations["ord"].endswith("/ord") and "empty" not in locations
     schemas = profile.schemas(spark, locations, merge_schema=True)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 from datetime import datetime
 
@@ -165,10 +166,63 @@ def test_entities_of_a_listing(spark):
         [{"path": key, "size": 1, "modified": datetime(2022, 1, 1)} for key in keys],
         "path string, size bigint, modified timestamp",
     )
-    assert values(files.entities(df)) == [("acc", "acc"), ("ord", "ord")]
+    assert values(files.entities(files.children(df))) == [("acc", "acc"), ("ord", "ord")]
     assert values(files.children(df), "entity", "child", "is_folder", "bytes") == [
         ("acc", "acc", True, 2),
         ("lone", "lone.parquet", False, 1),
         ("ord", "Ord", True, 1),
         ("ord", "ord", True, 1),
     ]
+
+
+def test_random_listing_against_brute_force(spark):
+    """Selection and landing plan against the rules spelled out row by row. A
+    third of the files have the same name."""
+    rng = random.Random(7)
+    rows = {}
+    for number in range(4000):
+        feed = rng.choice(["src_de_acc", "src_de_ord", "xsrc_de_ord", "src_de_inv", "src_de_a_b"])
+        folder = rng.choice(["a", "b", LOAD_ID, "20220116100000", "20220118000000", "2022011"])
+        name = "same.parquet" if number % 3 == 0 else f"f{rng.randrange(300)}.parquet"
+        ending = rng.choice(["", "", "", "/", "_$folder$"])
+        root = rng.choice(["src/de", "src/de", "src/de/deeper"])
+        at = LAST + rng.randrange(-50, 90) * HOUR / 2 + rng.choice([0, 0, 1, -1]) * SECOND
+        rows[f"{root}/{feed}/{folder}/{name}{ending}"] = at
+
+    def split(path):
+        parts = path.split("/")
+        return parts, f"{parts[-3]}/{parts[-2]}"
+
+    taken, expected = {}, {}
+    for path, at in rows.items():
+        if path.endswith(("/", "$folder$")):
+            continue
+        parts, tail = split(path)
+        pulled = parts[-3] in ("src_de_ord", "src_de_inv")
+        window = LAST < at <= CURRENT
+        forced = pulled and parts[-2] == LOAD_ID
+        earlier = pulled and parts[-2] == "20220116100000"
+        if window or forced:
+            name = parts[2].split("_", 2)
+            entity = name[2] if len(name) > 2 else None
+            expected[path] = (window, forced, not earlier, entity)
+            if not earlier and entity is not None:
+                target = f"src/de/{LOAD_ID}/{entity}/{parts[-1]}"
+                taken[target] = max(taken.get(target, ""), path)
+    listed = relation(
+        spark, [{"path": path, "modified": at} for path, at in rows.items()],
+        "path string, modified timestamp",
+    )
+    queried = relation(spark, [{"entity": "Ord"}, {"entity": "inv"}], "entity string")
+    folders = selection.pull_folders(queried, "src", "de")
+    rule = paths.EntityRule.of(TEMPLATE)
+    found = selection.candidates(listed, WINDOW, folders, LOAD_ID)
+    marked = found.withColumn("entity", rule.entity(F.col("path")))
+    assert {
+        row.path: (row.in_window, row.forced, row.taken, row.entity) for row in marked.collect()
+    } == expected
+    fits, _ = selection.mappable(found, rule)
+    plan = selection.landing_plan(
+        selection.with_target(fits, rule, LANDING, "src", "de", LOAD_ID)
+    ).where("lands")
+    assert {row.target_path: row.path for row in plan.collect()} == taken
