@@ -30,7 +30,7 @@ def row_counts(spark: SparkSession, root: str, children: DataFrame | None = None
     comes to the driver. Entities whose names differ only in case are added up.
     """
     if children is None:
-        children = files.children(files.listing(spark, root))
+        children = files.collected_children(spark, root)
     found = children.orderBy("child").collect()
 
     def count(item: Row) -> int:

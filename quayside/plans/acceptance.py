@@ -236,6 +236,11 @@ def job_id_last_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"process_id": "o_custkey", "job_name": "o_orderstatus"})
 
 
+def first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return control.first(orders, [F.desc("o_orderdate"), "o_orderkey"])
+
+
 def all_string_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
     return values.all_string(table(spark, sf_dir, "orders"), declared)
@@ -248,9 +253,26 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed response page per conversation turn, read back as rows."""
+    found = _turns_as_pages(spark, sf_dir, F.lit("SUCCESS"))
+    pages.check(found)
+    return pages.to_rows(found)
+
+
+def failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages, those of all roles but one reporting a failure."""
+    status = (
+        F.when(F.col("role") == "user", "SUCCESS")
+        .when(F.col("turn") == 1, "FAILURE")
+        .otherwise("EXCEPTION")
+    )
+    found = _turns_as_pages(spark, sf_dir, status)
+    return pages.summary(found).select("failed_pages", "row_count")
+
+
+def _turns_as_pages(spark: SparkSession, sf_dir: str, status: Column) -> DataFrame:
     record = F.struct("text", "role", "turn", "conv_id")
     page = F.struct(
-        F.lit("SUCCESS").alias("responseStatus"),
+        status.alias("responseStatus"),
         F.struct(F.lit("/next").alias("next_page")).alias("responseDetails"),
         F.array(record).alias("data"),
     )
@@ -258,9 +280,7 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     turns.select(F.to_json(page).alias("value")).write.text(folder)
     columns = ["conv_id", "turn", "role", "text"]
-    found = pages.read(spark, folder, columns, one_per_line=True)
-    pages.check(found)
-    return pages.to_rows(found)
+    return pages.read(spark, folder, columns, one_per_line=True)
 
 
 def props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -506,9 +526,11 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     watermark_upsert,
     latest_status,
     job_id_last_match,
+    first_row,
     all_string_rows,
     page_union,
     response_pages,
+    failed_pages,
     props_json,
     load_id_to_iso,
     not_marker,

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.concurrency import run_all
@@ -17,7 +17,7 @@ from quayside.functions.values import all_string
 from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
 from quayside.sources import catalog, files, landing, pages, pull
-from quayside.sources.control import ControlStore, lookup
+from quayside.sources.control import ControlStore, first, lookup
 from quayside.sources.relations import relation, written
 
 REBUILT = "rebuilt"
@@ -80,7 +80,7 @@ class Layout:
 
     @classmethod
     def of(cls, control: ControlStore, params: LoadParams) -> Layout:
-        config = lookup(
+        configs = lookup(
             control.path_config(),
             {"source_cluster": params.source_cluster},
             [
@@ -88,7 +88,8 @@ class Layout:
                 "landing_template", "cluster", "source_system",
                 F.unix_micros("last_run_start_time").alias("last"),
             ],
-        ).orderBy("landing_root", "source_bucket").first()
+        )
+        config = first(configs, ["landing_root", "source_bucket"]).first()
         if config is None:
             raise ValueError(f"no path configuration for {params.source_cluster}")
         if config.last is None:
@@ -137,16 +138,14 @@ class Layout:
         )
 
 
-def _process_config(control: ControlStore, params: LoadParams):
-    of_source = control.read("process_config").where(F.col("source_system") == params.source)
-    tenant = of_source.select("tenant").orderBy("tenant").first()
-    if tenant is None:
+def _process_config(control: ControlStore, params: LoadParams) -> Row:
+    """Configuration of the first tenant of the source."""
+    configs = control.read("process_config")
+    of_source = lookup(configs, {"source_system": params.source}, configs.columns)
+    found = first(of_source, ["tenant", "landing_database", "landing_bucket"]).first()
+    if found is None:
         raise ValueError(f"no process configuration for {params.source}")
-    return (
-        lookup(of_source, {"tenant": tenant.tenant}, of_source.columns)
-        .orderBy("landing_database", "landing_bucket")
-        .first()
-    )
+    return found
 
 
 @dataclass(frozen=True)
@@ -315,7 +314,7 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> b
 def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
             start: datetime, landed_files: int) -> DataFrame:
     """Count and publish what this load landed; returns the entity report."""
-    children = written(files.children(files.listing(spark, layout.landed_root)), "children")
+    children = files.collected_children(spark, layout.landed_root)
     locations = {
         row.entity: f"{layout.landed_root}/{row.folder}"
         for row in files.entities(children).orderBy("entity").collect()

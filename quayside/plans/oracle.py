@@ -153,6 +153,9 @@ SQL = {
     "job_id_last_match": """
         select o_custkey, o_orderstatus, max(o_orderkey) as job_id
         from orders group by o_custkey, o_orderstatus""",
+    "first_row": """
+        select o_orderkey, o_custkey, o_orderdate from orders
+        order by o_orderdate desc, o_orderkey limit 1""",
     "all_string_rows": """
         select cast(o_orderkey as varchar(30)) as o_orderkey,
                cast(o_custkey as varchar(30)) as o_custkey, o_orderstatus, o_orderpriority
@@ -163,6 +166,10 @@ SQL = {
     "response_pages": """
         select cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn, role, text
         from conversations""",
+    "failed_pages": """
+        select cast(sum(case when role = 'user' then 0 else 1 end) as bigint) as failed_pages,
+               count(*) as row_count
+        from conversations""",
     "props_json": "select event_id, json_extract_string(props, '$.k') as k from events",
     "load_id_to_iso": """
         with ids as (select o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') as load_id

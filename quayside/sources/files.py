@@ -16,6 +16,7 @@ from quayside.params import ChangeWindow
 from quayside.sources.relations import relation
 
 LISTING_DDL = "path string, uri string, modified timestamp, size bigint"
+CHILDREN_DDL = "entity string, child string, is_folder boolean, bytes bigint"
 
 
 def listing(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -81,6 +82,12 @@ def children(files: DataFrame) -> DataFrame:
     return below.select(name.alias("entity"), "child", "is_folder", "bytes")
 
 
+def collected_children(spark: SparkSession, root: str) -> DataFrame:
+    """Children of a root as a local relation: one row per landed entity."""
+    found = children(listing(spark, root))
+    return relation(spark, [row.asDict() for row in found.collect()], CHILDREN_DDL)
+
+
 def entities(children: DataFrame) -> DataFrame:
     """Folders among the children as ``(entity, folder)``.
 
