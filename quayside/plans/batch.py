@@ -228,10 +228,18 @@ def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
     if pulls and pull_source is None:
         raise ValueError(f"no source to pull {', '.join(item.entity for item in pulls)} from")
 
+    folders = {
+        item.entity: paths.pull_folder(layout.source_template, params, item.entity)
+        for item in pulls
+    }
+    outside = [name for name, folder in folders.items()
+               if not folder.startswith(layout.search_prefix)]
+    if outside:
+        raise ValueError(f"pulls of {', '.join(outside)} would not be under {layout.search_prefix}")
+
     def write(item: EntityPull) -> bool:
         rows = all_string(pull_source(item), item.columns)
-        folder = paths.pull_folder(layout.source_template, params, item.entity)
-        return landing.write_pull(rows, f"{layout.source_root}/{folder.rstrip('/')}")
+        return landing.write_pull(rows, f"{layout.source_root}/{folders[item.entity].rstrip('/')}")
 
     wrote = run_all(spark, write, pulls, workers)
     return [item.entity for item, had_rows in zip(pulls, wrote) if had_rows]

@@ -52,10 +52,12 @@ def inventory(files: DataFrame) -> DataFrame:
     """An inventory table ``(path, modified)`` in the form of a listing.
 
     For sources with so many files that an inventory of the store is cheaper
-    than listing them. Names the readers hide are left out, as in a listing.
+    than listing them. Names the readers hide are left out, as in a listing, and
+    of a key with several versions the latest counts.
     """
     hidden = F.rlike("path", F.lit(r"(^|/)(\.[^/]*|_[^/=]*)(/|$)"))
-    return files.where(~hidden).select(
+    latest = files.where(~hidden).groupBy("path").agg(F.max("modified").alias("modified"))
+    return latest.select(
         "path",
         F.lit(None).cast("string").alias("uri"),
         "modified",

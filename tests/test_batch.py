@@ -231,6 +231,13 @@ def test_landing_outside_the_profiled_root_fails(spark, tmp_path):
         site.load()
 
 
+def test_pulls_that_would_not_be_found_fail(spark, tmp_path):
+    """Pull folders are lower-cased, the search prefix is not."""
+    site = Site(spark, tmp_path, cluster="DE")
+    with pytest.raises(ValueError, match="pulls of Ord would not be under src/DE/"):
+        site.load()
+
+
 def test_pull_from_response_pages(spark, tmp_path):
     site = Site(spark, tmp_path)
     folder = tmp_path / "pages" / "ord"
@@ -254,7 +261,7 @@ def test_inventory_replaces_the_listing(spark, tmp_path):
         put(site.source, f"src/de/src_de_acc/a/{name}.parquet", LAST + SECOND, {"id": [1]})
     known = control.relation(
         spark,
-        [{"path": "src/de/src_de_acc/a/f1.parquet", "modified": LAST + SECOND}],
+        [{"path": "src/de/src_de_acc/a/f1.parquet", "modified": LAST + n * SECOND} for n in (1, 2)],
         "path string, modified timestamp",
     )
     site.load(inventory=known)
