@@ -165,7 +165,7 @@ class LoadOutcome:
 def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
                pull_source: PullSource | None = None, inventory: DataFrame | None = None,
                relands: bool = False, allow_rejected: bool = False,
-               workers: int = 8) -> LoadOutcome:
+               rebalance_pulls: bool = True, workers: int = 8) -> LoadOutcome:
     """Run one load.
 
     Every step can be repeated for the same load id. Watermarks move only after
@@ -181,7 +181,9 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
         landed = Landed(0, None)
         if not is_rerun:
             pulls = pull_plan(control, params)
-            pulled = pull_entities(spark, layout, params, pulls, pull_source, workers)
+            pulled = pull_entities(
+                spark, layout, params, pulls, pull_source, rebalance_pulls, workers
+            )
             listed = source_files(spark, layout, params, pulls, inventory)
             landed = land_files(
                 spark, layout, params, pulls, listed, relands, allow_rejected, workers
@@ -221,7 +223,7 @@ def pull_plan(control: ControlStore, params: LoadParams) -> list[EntityPull]:
 
 
 def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
-                  pulls: list[EntityPull], pull_source: PullSource | None,
+                  pulls: list[EntityPull], pull_source: PullSource | None, rebalance: bool,
                   workers: int) -> list[str]:
     """Write the changed rows of each query entity below the source root, all
     columns as text. Returns the entities that had rows."""
@@ -239,7 +241,8 @@ def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
 
     def write(item: EntityPull) -> bool:
         rows = all_string(pull_source(item), item.columns)
-        return landing.write_pull(rows, f"{layout.source_root}/{folders[item.entity].rstrip('/')}")
+        folder = folders[item.entity].rstrip("/")
+        return landing.write_pull(rows, f"{layout.source_root}/{folder}", rebalance)
 
     wrote = run_all(spark, write, pulls, workers)
     return [item.entity for item, had_rows in zip(pulls, wrote) if had_rows]

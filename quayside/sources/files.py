@@ -113,8 +113,13 @@ def entity(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def entity_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """Scan of some files of one entity, with all columns any of them has."""
-    return spark.read.option("mergeSchema", True).parquet(*map(paths.literal_path, files))
+    """Scan of some files or folders of one entity, with all columns any of them
+    has."""
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .option("mergeSchema", True)
+        .parquet(*map(paths.literal_path, files))
+    )
 
 
 def entity_window(spark: SparkSession, folder: str, window: ChangeWindow) -> DataFrame:

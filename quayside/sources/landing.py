@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 
 from quayside.concurrency import run_all
 from quayside.constants import EXCLUDED_PER_READ, NAMES_LIMIT, PATHS_PER_READ
+from quayside.functions import paths
 from quayside.params import ChangeWindow
 from quayside.sources import files
 
 
-def write_pull(rows: DataFrame, folder: str) -> bool:
-    """Write a pull over an earlier one; an empty pull leaves that in place."""
+def write_pull(rows: DataFrame, folder: str, rebalance: bool = True) -> bool:
+    """Write a pull over an earlier one; an empty pull leaves that in place.
+
+    A pull takes few rows out of each of many splits, so it is rebalanced into
+    files of the advisory size. That shuffles only what is written; a first full
+    pull can do without.
+    """
     if rows.isEmpty():
         return False
-    rows.write.mode("overwrite").parquet(folder)
+    sized = rows.hint("rebalance") if rebalance else rows
+    sized.write.mode("overwrite").parquet(folder)
     return True
 
 
@@ -35,6 +42,7 @@ class EntityFiles:
     excluded: int
     named: bool
     folder: str | None
+    pull_folder: str | None
 
     def by_folder(self, prefix: str) -> bool:
         """A read of the entity's folder by change time gives exactly its files,
@@ -53,6 +61,13 @@ def entity_summary(plan: DataFrame) -> list[EntityFiles]:
     left_out = F.col("in_window") & ~F.col("lands")
     # Names the folder read skips, or files it has no time window for.
     outside = F.col("lands") & (~F.col("in_window") | F.endswith("path", F.lit("$")))
+    # The one folder all files of the entity were pulled into, if it has no others.
+    parent = F.when(F.col("lands"), paths.parent(F.col("path")))
+    all_pulled = (
+        (F.min(parent) == F.max(parent))
+        & (F.count_if(F.col("forced") != F.col("lands")) == 0)
+        & (F.count_if(F.endswith("path", F.lit("$"))) == 0)
+    )
     rows = (
         plan.groupBy("entity")
         .agg(
@@ -62,6 +77,7 @@ def entity_summary(plan: DataFrame) -> list[EntityFiles]:
             F.count_if(left_out).alias("excluded"),
             (F.count_if(left_out & F.col("uri").isNull()) == 0).alias("named"),
             F.when(folder_ok, F.min("entity_folder")).alias("folder"),
+            F.when(all_pulled, F.min(parent)).alias("pull_folder"),
         )
         .where("lands > 0")
         .orderBy("entity")
@@ -97,13 +113,16 @@ def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: st
                 paths_per_read: int = PATHS_PER_READ) -> DataFrame:
     """Rows of the files the plan lands for one entity.
 
-    Few files are read by name. Many are read by folder, with the change window
-    applied by the file index, which takes no list of names. Where the folder
-    holds too much else, many are read by name too, in reads of bounded size.
+    Few files are read by name. Many are read by folder, which takes no list of
+    names: the folder this load pulled into, or the folder of the entity with
+    the change window applied by the file index. Where the folder holds too much
+    else, many are read by name too, in reads of bounded size.
     """
     spark = plan.sparkSession
     source_root = source_root.rstrip("/")
     of_entity = plan.where(F.col("entity") == item.entity)
+    if item.lands > names_limit and item.pull_folder:
+        return files.entity_files(spark, [f"{source_root}/{item.pull_folder}"])
     if item.lands > names_limit and item.by_folder(prefix):
         rows = files.entity_window(spark, f"{source_root}/{item.folder}", window)
         if item.excluded:

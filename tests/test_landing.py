@@ -77,16 +77,32 @@ def test_many_overwritten_targets(spark, tmp_path, monkeypatch, exclude_limit):
     assert sorted(row.id for row in found.collect()) == [9, *range(100, 120)]
 
 
-def test_forced_files_are_read_by_name(spark, tmp_path):
+@pytest.mark.parametrize("limit", [2, 100])
+@pytest.mark.parametrize("extra", ["nothing", "changed file", "same name", "odd name"])
+def test_forced_files(spark, tmp_path, extra, limit):
+    """What this load pulled is read by its folder, if the entity gets nothing
+    else and nothing of that folder is overwritten."""
     root = tmp_path / "s"
     for n in range(4):
         key = f"src/de/src_de_acc/{LOAD_ID}/p{n}.parquet"
         put(root, key, CURRENT + HOUR, {"id": [str(n)]})
     put(root, "src/de/src_de_acc/a/late.parquet", CURRENT + HOUR, {"id": ["x"]})
+    put(root, "src/de/src_de_acc/20220116100000/old.parquet", LAST + HOUR, {"id": ["y"]})
+    expected = ["0", "1", "2", "3"]
+    if extra == "changed file":
+        put(root, "src/de/src_de_acc/z/new.parquet", LAST + HOUR, {"id": ["z"]})
+        expected = [*expected, "z"]
+    elif extra == "same name":
+        put(root, "src/de/src_de_acc/z/p3.parquet", LAST + HOUR, {"id": ["z"]})
+        expected = [*expected[:3], "z"]
+    elif extra == "odd name":
+        put(root, f"src/de/src_de_acc/{LOAD_ID}/p$", CURRENT + HOUR, {"id": ["4"]})
+        expected = [*expected, "4"]
     plan = plan_of(spark, root, pulled=["ACC"])
-    found, item = land(spark, plan, root, tmp_path / "t", limit=2)
-    assert item.outside == 4 and not item.by_folder("src/de/")
-    assert sorted(row.id for row in found.collect()) == ["0", "1", "2", "3"]
+    found, item = land(spark, plan, root, tmp_path / "t", limit)
+    assert not item.by_folder("src/de/")
+    assert (item.pull_folder is not None) is (extra == "nothing")
+    assert sorted(row.id for row in found.collect()) == expected
 
 
 def test_prefix_inside_the_folder(spark, tmp_path):
@@ -177,3 +193,13 @@ def test_odd_names_are_read_by_name(spark, tmp_path):
     assert not item.by_folder("src/de/")
     assert sorted(row.id for row in found.collect()) == ["a$", "b", "c"]
     assert plan.where(F.col("lands")).count() == 3
+
+
+def test_a_pull_is_written_to_few_files(spark, tmp_path):
+    """One row out of each of many splits."""
+    rows = spark.range(0, 64_000, 1, 64).where("id % 1000 = 0")
+    assert landing.write_pull(rows, str(tmp_path / "sized"))
+    assert landing.write_pull(rows, str(tmp_path / "as_read"), rebalance=False)
+    sized, as_read = (len(list((tmp_path / n).glob("part-*"))) for n in ("sized", "as_read"))
+    assert (sized, as_read) == (1, 64)
+    assert spark.read.parquet(str(tmp_path / "sized")).count() == 64
