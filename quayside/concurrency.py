@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from functools import partial
 from typing import TypeVar
 
@@ -18,8 +18,8 @@ def run_all(spark: SparkSession, action: Callable[[Item], Result], items: Iterab
             workers: int = 8) -> list[Result]:
     """``action`` of every item, in order, ``workers`` at a time.
 
-    The jobs keep the tags, job group and scheduler pool of the caller. After a
-    failure no further item is begun, and those under way end first.
+    The jobs keep the tags, job group and scheduler pool of the caller. A
+    failure is raised once the jobs under way have ended; the rest is dropped.
     """
     with ThreadPoolExecutor(max_workers=workers) as pool:
         # Wrapped once per item: each wrap carries its own copy of the caller's
@@ -27,8 +27,8 @@ def run_all(spark: SparkSession, action: Callable[[Item], Result], items: Iterab
         begun = [
             pool.submit(inheritable_thread_target(spark)(partial(action, item))) for item in items
         ]
-        try:
-            return [future.result() for future in begun]
-        except BaseException:
-            pool.shutdown(cancel_futures=True)
-            raise
+        done, _ = wait(begun, return_when=FIRST_EXCEPTION)
+        pool.shutdown(cancel_futures=True)
+    for future in done:
+        future.result()
+    return [future.result() for future in begun]
