@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup
+from quayside.llm import exact_dedup, mixing
 from quayside.llm.spread import on_workers
+from quayside.sources.relations import written
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +27,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op4_exact_dedup,)
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = written(mixing.sized(documents(spark, sf_dir)).select("doc_id", "key", "size"), "sizes")
+    return mixing.mixed(sizes, mixing.plan(sizes)).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
+    )
+
+
+QUERIES = (op4_exact_dedup, op5_source_mix)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
