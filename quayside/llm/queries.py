@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, mixing
+from quayside.llm import exact_dedup, mixing, simhash
 from quayside.llm.spread import on_workers
 from quayside.sources.relations import written
 
@@ -34,7 +34,13 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op4_exact_dedup, op5_source_mix)
+def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES = (op4_exact_dedup, op5_source_mix, op6_simhash_components)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
