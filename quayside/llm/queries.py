@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, mixing, simhash
+from quayside.llm import bpe, exact_dedup, mixing, simhash
 from quayside.llm.spread import on_workers
 from quayside.sources.relations import written
 
@@ -16,6 +17,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BPE = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = documents(spark, sf_dir).select("doc_id", bpe.encode("text", *BPE).alias("ids"))
+    decoded = encoded.withColumn("decoded", bpe.decode("ids", *BPE))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.fresh_index(spark)
     return exact_dedup.memberships(documents(spark, sf_dir), index).select(
@@ -40,7 +56,7 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op4_exact_dedup, op5_source_mix, op6_simhash_components)
+QUERIES = (op1_byte_bpe, op4_exact_dedup, op5_source_mix, op6_simhash_components)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
