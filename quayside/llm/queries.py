@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, mixing, simhash
-from quayside.llm.spread import on_workers
+from quayside.llm import bpe, exact_dedup, mixing, qda, simhash
+from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import written
 
 
@@ -32,6 +32,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = written(documents(spark, sf_dir).select("doc_id", qda.measure("text").alias("features")), "statistics")
+    scored = rows.withColumn("score", qda.score("features", qda.learn(rows, labels)))
+    return scored.select(
+        "doc_id",
+        (~learnt_from()).alias("held_out"),
+        "score",
+        (F.col("score") >= qda.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.fresh_index(spark)
     return exact_dedup.memberships(documents(spark, sf_dir), index).select(
@@ -56,7 +68,7 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_byte_bpe, op4_exact_dedup, op5_source_mix, op6_simhash_components)
+QUERIES = (op1_byte_bpe, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
