@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, mixing, qda, simhash
+from quayside.llm import bpe, exact_dedup, langid, mixing, qda, simhash
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import written
 
@@ -68,7 +68,19 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_byte_bpe, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components)
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", langid.predict("text", langid.fit(docs.where(learnt_from()))).alias("p"))
+    return found.select(
+        "doc_id",
+        (~learnt_from()).alias("held_out"),
+        F.col("p.lang").alias("lang_pred"),
+        "p.score",
+        "p.rejected",
+    )
+
+
+QUERIES = (op1_byte_bpe, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
