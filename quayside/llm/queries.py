@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, mixing, qda, simhash
+from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import written
 
@@ -32,6 +32,19 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.edited_by_next(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        F.lower(F.hex("fp")).alias("fingerprint"),
+        F.lower(F.hex("edited_fp")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = written(documents(spark, sf_dir).select("doc_id", qda.measure("text").alias("features")), "statistics")
@@ -80,7 +93,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_byte_bpe, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language)
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
