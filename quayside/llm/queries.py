@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash
+from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import written
 
@@ -93,7 +93,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language)
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = site_style.extract(pages).withColumnRenamed("main_text", "text")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language, op9_main_text)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
