@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style
+from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style, warc
 from quayside.llm.spread import learnt_from, on_workers
-from quayside.sources.relations import written
+from quayside.sources.relations import shared_folder, written
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,21 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives, index = shared_folder(spark, "warc"), shared_folder(spark, "capture-index")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), archives)
+    warc.index(spark, archives, index)
+    found = warc.records(warc.indexed(spark, index))
+    response = F.col("record_type") == "response"
+    return found.select(
+        "page_id",
+        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(response, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = docs.select("doc_id", langid.predict("text", langid.fit(docs.where(learnt_from()))).alias("p"))
@@ -99,7 +114,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op8_language, op9_main_text)
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -115,6 +130,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_warc_index": """
+            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+            d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
+            f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d)
+            SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+                   CASE WHEN n >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to
+            FROM f""",
         "op4_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept,
