@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style, warc
+from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style, token_counts, warc
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import shared_folder, written
 
@@ -114,7 +114,11 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text)
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.by_section(documents(spark, sf_dir), *BPE)
+
+
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text, op10_token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
