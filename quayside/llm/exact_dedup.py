@@ -17,7 +17,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.spread import join_unique
+from quayside.llm.spread import join_unique, whole
 from quayside.sources.relations import shared_folder, written
 
 SCHEMA = "digest binary, keep_id bigint, group_size bigint, repeats bigint"
@@ -53,7 +53,10 @@ class DigestIndex:
         added it, ``repeats`` how many of them have the id that stays.
         """
         known = self.rows().select("digest").hint("merge")
-        fresh = one_per_digest(batch, doc_id).join(known, "digest", "left_anti")
+        self.append(one_per_digest(batch, doc_id).join(known, "digest", "left_anti"))
+
+    def append(self, fresh: DataFrame) -> None:
+        """Append rows whose digests the index lacks."""
         spread = fresh.repartition(self.buckets, "digest")
         (
             spread.write.format("parquet").mode("append")
@@ -81,28 +84,25 @@ def memberships(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id") ->
     return join_unique(digests, facts, "digest", "share")
 
 
-def keep_one(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, whole: one per text that is new to the index.
 
     The join is by digest and id, so copies of a text spread by their ids.
     """
-    before = index.rows().select("digest")
-    batch = written(
-        one_per_digest(docs.select(F.col(doc_id).alias("keep_id"), digest().alias("digest")), "keep_id")
-        .join(before.hint("merge"), "digest", "left_anti"),
-        "kept",
-    )
-    index.add(batch.select("digest", F.col("keep_id").alias("doc_id")))
-    keyed = docs.withColumn("_digest", digest())
+    keyed = docs.select(whole(docs), F.col(doc_id).alias("_id"), digest(text).alias("_digest"))
+    batch = keyed.select(F.col("_id").alias("keep_id"), F.col("_digest").alias("digest"))
+    known = index.rows().select("digest").hint("merge")
+    fresh = written(one_per_digest(batch, "keep_id").join(known, "digest", "left_anti"), "kept")
+    index.append(fresh)
 
     def chosen(which: DataFrame) -> DataFrame:
-        which = which.select(F.col("digest").alias("_d"), F.col("keep_id").alias("_k"))
-        same = (F.col("_digest") == F.col("_d")) & F.col(doc_id).eqNullSafe(F.col("_k"))
+        which = which.select("digest", "keep_id")
+        same = (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("keep_id"))
         return keyed.join(which, same, "left_semi")
 
-    single = chosen(batch.where("repeats = 1"))
-    again = chosen(batch.where("repeats > 1")).dropDuplicates(["_digest"])
-    return single.unionByName(again).drop("_digest")
+    single = chosen(fresh.where("repeats = 1"))
+    again = chosen(fresh.where("repeats > 1")).dropDuplicates(["_digest"])
+    return single.unionByName(again).select("_whole.*")
 
 
 def fresh_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:

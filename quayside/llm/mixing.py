@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.spread import whole
 from quayside.sources.relations import written
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -170,3 +171,14 @@ def mixed(sizes: DataFrame, mix: DataFrame, cap: float = CAP, doc_id: str = "doc
     rated = sizes.join(mix, "key").withColumn("rate", rate(cap))
     more = F.coalesce((priority(doc_id) < F.col("threshold")).cast("long"), F.lit(0))
     return rated.withColumn("copies", F.floor("rate") + more).drop("key", "unit", "lam", "seed", "threshold")
+
+
+def copied(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it."""
+    rows = docs.select(
+        whole(docs), F.col(doc_id).alias("doc_id"), words(text).alias("size"), source_key(source).alias("key")
+    )
+    sizes = written(rows.drop("_whole"), "sizes")
+    taken = mixed(rows, plan(sizes))
+    each = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
+    return taken.select("_whole", each.alias("taken")).select("_whole.*")

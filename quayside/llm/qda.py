@@ -143,6 +143,12 @@ def learn(rows: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     return fit(rows.where(learnt_from()).join(labels.select("doc_id", label), "doc_id"), label=label)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, learnt from themselves."""
+    model = learn(docs.select(F.col(doc_id).alias("doc_id"), measure(text).alias("features")), labels)
+    return docs.where(score(measure(text), model) >= threshold)
+
+
 def score(features: Column | str, model: Model) -> Column:
     """Score from 0 to 1; higher: label 1 likelier."""
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.spread import join_unique
+from quayside.llm.spread import join_unique, whole
 from quayside.sources.relations import written
 
 SHINGLE, RADIUS, BITS, SEED = 3, 3, 64, 42
@@ -203,8 +203,17 @@ def hexadecimal(fp: str = "fp") -> Column:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The row of each component that has its smallest id, whole.
 
-    Of rows with that id and a null or equal id, all stay that are its own.
+    Of rows with equal ids one stays if any of them should.
     """
     groups = near_duplicates(docs, doc_id, text, shingle, radius)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(stay, F.col(doc_id).eqNullSafe(F.col("_k")), "left_semi")
+    counts = groups.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")
+    )
+    stay = written(counts.where("stays").select("doc_id", "n"), "representatives")
+    keyed = docs.select(whole(docs), F.col(doc_id).cast("bigint").alias("_id"))
+
+    def chosen(which: DataFrame) -> DataFrame:
+        return keyed.join(which, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+
+    again = chosen(stay.where("n > 1")).dropDuplicates(["_id"])
+    return chosen(stay.where("n = 1")).unionByName(again).select("_whole.*")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.spread import join_unique
+from quayside.llm.spread import join_unique, whole
 from quayside.sources.relations import written
 
 #: Hosts with fewer pages than this at a node say nothing about it.
@@ -279,7 +279,8 @@ def extract(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
     threshold: float = IMPORTANCE, least_pages: int = LEAST_PAGES,
 ) -> DataFrame:
-    """``pages`` with ``main_text``; rows with equal ids share what is unimportant."""
+    """``pages`` with ``main_text`` (in place of a column of that name); rows with
+    equal ids share what is unimportant."""
     nodes = written(style_nodes(pages, page_id, url, html), "style-nodes")
     rated = written(importance(nodes), "style-tree")
     low = rated.where((F.col("m") >= least_pages) & (F.col("importance") < threshold)).select("node", "m", F.lit(True).alias("low"))
@@ -290,8 +291,8 @@ def extract(
     def extracted(pages: pa.Array, noise: pa.Array) -> pa.Array:
         return pa.array([main_text(p.as_py() or "", set(n.as_py() or ())) for p, n in zip(pages, noise)], pa.string())
 
-    noise = noise.withColumnRenamed("page_id", "_page")
-    return (
-        pages.join(noise, F.col(page_id) == F.col("_page"), "left")
-        .withColumn("main_text", extracted(F.col(html), F.col("_noise"))).drop("_noise", "_page")
-    )
+    rows = pages.select(whole(pages), F.col(page_id).alias("_page"), F.col(html).alias("_html"))
+    found = rows.join(noise, F.col("_page") == F.col("page_id"), "left")
+    return found.select("_whole", extracted("_html", "_noise").alias("_text")).select(
+        *[F.col(f"_whole.`{name}`") for name in pages.columns if name != "main_text"], F.col("_text").alias("main_text")
+    )

@@ -21,6 +21,11 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{ROOT}".strip(":")
 
 
+def whole(rows: DataFrame) -> Column:
+    """A row as one struct, safe from clashes with columns put beside it."""
+    return F.struct(*[F.col(f"`{name}`") for name in rows.columns]).alias("_whole")
+
+
 def join_unique(rows: DataFrame, facts: DataFrame, key: str, share: str) -> DataFrame:
     """``rows`` left-joined with ``facts``, which has each ``key`` once.
 

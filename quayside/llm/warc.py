@@ -110,9 +110,10 @@ def write(
     date: str = "2024-01-01T00:00:00Z", least: int = LEAST,
 ) -> None:
     """Write the archives of ``pages`` to the new folder ``path``."""
-    again = revisits(pages, page_id, html, least).withColumnRenamed("page_id", "_id")
-    marked = pages.join(again, F.col(page_id) == F.col("_id"), "left")
-    marked.select(record(page_id, url, html, "refers_to", date).alias("value")).write.option("lineSep", END.decode()).text(path)
+    again = revisits(pages, page_id, html, least).withColumnRenamed("page_id", "of")
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    marked = rows.join(again, F.col("page_id") == F.col("of"), "left")
+    marked.select(record("page_id", "url", "html", "refers_to", date).alias("value")).write.option("lineSep", END.decode()).text(path)
 
 
 def opened(uri: str) -> pa.NativeFile:
