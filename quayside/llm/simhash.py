@@ -6,9 +6,9 @@ components.
 
 Covering masks: give each bit position a random non-zero vector of radius + 1
 bits; table ``v`` (one for each non-zero ``v``) keeps the positions whose vector
-has an even product with ``v``. The up to ``radius`` positions where two
-fingerprints differ have vectors that some ``v`` is orthogonal to, so in that
-table the two are equal: no pair is missed. Equal fingerprints are first reduced
+has an odd product with ``v``. The up to ``radius`` positions where two fingerprints
+differ have vectors that some ``v`` is orthogonal to; that table keeps none of
+them and has the two under one key: no pair is missed. Equal fingerprints are first reduced
 to one. Within a table's group the links are reduced to a spanning forest, so no
 group emits its pairs; a large group is divided again by a covering of the bits
 its mask leaves free, until it is small enough to compare.
@@ -70,7 +70,7 @@ def covering(free: int, radius: int, seed: int = 7) -> list[int]:
     # Dealing the vectors round and round keeps every mask near half of the positions.
     vectors = np.random.default_rng(seed).permutation(len(positions)) % (2 ** (radius + 1) - 1) + 1
     return [
-        sum(1 << b for b, m in zip(positions, vectors) if bin(int(m) & v).count("1") % 2 == 0)
+        sum(1 << b for b, m in zip(positions, vectors) if bin(int(m) & v).count("1") % 2)
         for v in range(1, 2 ** (radius + 1))
     ]
 

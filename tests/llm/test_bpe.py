@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quayside.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+MIX = "ab  \n\t\r'sdtéÉß🙂漢字\xa0 ​\x1c\x1d\x85 012!?<|endoftext|>.　"
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(PATH, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(encoder):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+
+
+def ids(encoder, texts):
+    return [np.frombuffer(packed, dtype=np.int32).tolist() for packed in encoder.encode(texts)]
+
+
+def test_as_the_library(encoder, library):
+    chosen = random.Random(1)
+    texts = ["".join(chosen.choices(MIX, k=chosen.randrange(40))) for _ in range(5_000)]
+    texts += ["".join(chosen.choices("abn ", k=chosen.randrange(60))) for _ in range(2_000)]
+    assert ids(encoder, texts) == [library.encode_ordinary(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(), max_size=4))
+def test_any_text_round_trips(texts):
+    encoder = bpe.encoder(PATH, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    found = ids(encoder, texts)
+    assert found == [library.encode_ordinary(t) for t in texts]
+    assert [encoder.decode(f).decode() for f in found] == texts
+
+
+@pytest.mark.parametrize("text", ["a" * 20_000, " " * 20_000 + "x", "ab" * 9_000, "é" * 5_000, "the" * 9_000, "!?" * 50])
+def test_long_pieces(encoder, library, text):
+    assert ids(encoder, [text])[0] == library.encode_ordinary(text)
+
+
+def test_queue_with_ranks_that_fall_again():
+    """A merge may make a pair of lower rank, which goes before the rest of its rank."""
+    ranks = {bytes([b]): b for b in range(256)}
+    ranks |= {b"XY": 300, b"ABA": 301, b"AB": 302, b"ABAB": 303, b"BX": 304, b"ABX": 305}
+
+    def slow(piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not found:
+                return [ranks[p] for p in parts]
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    chosen = random.Random(2)
+    pieces = [bytes(chosen.choices(b"ABXY", k=chosen.randrange(2, 20))) for _ in range(3_000)]
+    expected = [slow(p) for p in pieces]
+    assert [bpe.merge(p, ranks) for p in pieces] == expected
+    together = bpe.merge_all(pieces, bpe.Pairs(ranks))
+    assert [np.frombuffer(p, dtype=np.int32).tolist() for p in together] == expected
+
+
+def test_columns_keep_rows_and_nulls(spark):
+    rows = [(1, "the cat", 7), (1, "the cat", 7), (2, None, 8), (3, "", 9), (None, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, ids int")
+    out = docs.select("doc_id", "ids", "text", bpe.encode("text", PATH, public_tokenizers.PATTERN).alias("found"))
+    out = out.withColumn("back", bpe.decode("found", PATH, public_tokenizers.PATTERN))
+    found = out.collect()
+    assert sorted((r.doc_id or 0, r.ids, bytes(r.back).decode()) for r in found) == sorted(
+        (a or 0, c, b or "") for a, b, c in rows
+    )
+    assert out.where("false").count() == 0
+
+
+def test_words_are_forgotten_in_time(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    monkeypatch.setattr(bpe, "TOGETHER", 3)
+    encoder = bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    texts = [f"word{i} anderes{i} ñandú" for i in range(30)]
+    for text in texts:
+        assert ids(encoder, [text, text]) == [library.encode_ordinary(text)] * 2
+        assert len(encoder.known) <= 10

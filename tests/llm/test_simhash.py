@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+
+from quayside.llm import simhash
+
+
+def plain_fingerprint(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(values, radius=3):
+    """Brute-force components of distinct values, by their smallest."""
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in combinations(values, 2):
+        if bin(a ^ b).count("1") <= radius:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {v: find(v) for v in values}
+
+
+def flipped(value, n, chosen):
+    for bit in chosen.sample(range(64), n):
+        value ^= 1 << bit
+    return value
+
+
+def cloud(seed, centres, members):
+    chosen = random.Random(seed)
+    found = set()
+    for _ in range(centres):
+        at = chosen.getrandbits(64)
+        for _ in range(members):
+            found.add(at)
+            at = flipped(at, chosen.randrange(5), chosen)
+    return sorted(found)
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "one two", "A b\tc\x0bd e\xa0f É", "x " * 9_000, "à  b\n\nC d"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_masks_cover_every_change_within_the_radius():
+    chosen = random.Random(3)
+    for free in (2**64 - 1, 0xFFFF0000FF00F0F0):
+        masks = simhash.covering(free, 3)
+        assert len(masks) == 15 and not any(m & ~free for m in masks)
+        positions = [b for b in range(64) if free >> b & 1]
+        for _ in range(5_000):
+            change = sum(1 << b for b in chosen.sample(positions, 3))
+            assert any(m & change == 0 for m in masks)
+        sizes = [bin(m).count("1") for m in simhash.covering(2**64 - 1, 3)]
+        assert min(sizes) >= 30 and max(sizes) <= 38
+
+
+@pytest.mark.parametrize("limit", [4, 1_024])
+def test_forest_connects_what_links_connect(monkeypatch, limit):
+    monkeypatch.setattr(simhash, "COMPARED", limit)
+    values = cloud(1, 6, 60)
+    edges = simhash.forest(np.array(values, dtype=np.uint64), 0, 3)
+    assert all(bin(a ^ b).count("1") <= 3 for a, b in edges)
+    joined = {v: v for v in values}
+
+    def find(v):
+        while joined[v] != v:
+            v = joined[v]
+        return v
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        joined[max(x, y)] = min(x, y)
+    assert {v: find(v) for v in values} == roots(values)
+
+
+def test_links_and_components(spark):
+    values = cloud(2, 12, 30)
+    signed = [(v - 2**64 if v >= 2**63 else v,) for v in values]
+    distinct = spark.createDataFrame(signed, "fp bigint")
+    found = simhash.components(simhash.links(distinct)).collect()
+    as_roots = {}
+    for r in found:
+        as_roots.setdefault(r.root, set()).add(r.node)
+    expected = {}
+    for v, root in roots(values).items():
+        expected.setdefault(root, set()).add(v - 2**64 if v >= 2**63 else v)
+    assert {frozenset(s) for s in as_roots.values()} == {frozenset(s) for s in expected.values() if len(s) > 1}
+
+
+def test_long_chain_of_components(spark):
+    edges = spark.range(200).selectExpr("id + 1 as a", "id as b")
+    assert {r.root for r in simhash.components(edges).collect()} == {0}
+    assert simhash.components(edges.where("a < 0")).count() == 0
+
+
+def test_documents(spark):
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu " * 40
+    rows = [
+        (7, base, "x", 1), (3, base, "y", 2), (5, base + "nu", "x", 3), (9, "something else entirely here", None, 4),
+        (2, None, "x", 5), (4, "", "x", 6), (4, "", "x", 6), (None, "one two three four", "x", 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _id string, fp int")
+    found = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    for doc_id, text, *_ in rows:
+        fp = plain_fingerprint(text)
+        alike = [d for d, t, *_ in rows if d is not None and bin(fp ^ plain_fingerprint(t)).count("1") <= 3]
+        signed = fp - 2**64 if fp >= 2**63 else fp
+        assert found[doc_id, signed] == (min(alike) if alike else None)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    own = {d for (d, _), component in found.items() if d == component}
+    assert {2, 3, None} <= own and 4 not in own and 7 not in own
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(d or 0 for d in own)
+    assert simhash.keep_one(docs.where("false")).count() == 0
