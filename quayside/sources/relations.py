@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable, Mapping
 from uuid import uuid4
 
@@ -11,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-_local_folder: str | None = None
-
 
 def relation(spark: SparkSession, rows: Iterable[Mapping], ddl: str) -> DataFrame:
     """Control-plane rows as a DataFrame.
@@ -28,26 +25,20 @@ def relation(spark: SparkSession, rows: Iterable[Mapping], ddl: str) -> DataFram
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session may go without it.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it does not,
+    the warehouse holds it, which every executor writes tables to.
     """
-    global _local_folder
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        _local_folder = _local_folder or tempfile.mkdtemp(prefix="quayside-")
-        base = _local_folder
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/quayside-{name}-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def written(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read back, in folders by some columns.
 
     Cuts the lineage: later steps reread files instead of recomputing, also
     after executors are lost, and see exact sizes.
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

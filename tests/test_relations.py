@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import pytest
-
 from quayside.sources.relations import relation, shared_folder, written
 from tools import plan_text, values
 
@@ -32,10 +30,9 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert one != other and one.startswith("s3a://bucket/shared/quayside-x-")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Settings(spark_master="yarn"), "x")
-    assert "quayside-x-" in shared_folder(Settings(spark_master="local[2]"), "x")
+def test_without_one_the_warehouse_is_shared():
+    session = Settings(**{"spark.sql.warehouse.dir": "s3a://bucket/warehouse"})
+    assert shared_folder(session, "x").startswith("s3a://bucket/warehouse/quayside-x-")
 
 
 def test_written_cuts_the_lineage(spark):
