@@ -38,15 +38,5 @@ MIN_KEY_SLASHES = 3
 # cuts scans by bytes, which for such a scan means far too many empty tasks.
 METADATA_TASKS = 4096
 
-# Bytes above which a footer-only scan would exceed that many tasks.
-METADATA_BYTES = METADATA_TASKS * 128 * 1024 * 1024
-
-# Files of one entity up to which they are read by name where the folder would
-# do too. Reading 20,000 files by name was measured to take three times as long.
-NAMES_LIMIT = 1_000
-
-# Files named in one read, where the folder does not do.
+# Names of files the driver holds at a time while an entity lands.
 PATHS_PER_READ = 20_000
-
-# Files of a folder that may be left out by name.
-EXCLUDED_PER_READ = 1_000

@@ -108,10 +108,16 @@ def is_mappable(path: Column, rule: EntityRule) -> Column:
 
 
 def key_under(root: str, file_path: Column) -> Column:
-    """Key of a file relative to ``root``, from the URI Spark reports for it."""
+    """Key of a file relative to ``root``, from the URI Spark reports for it.
+
+    ``root`` is a path inside its store. A file that is not below it fails the
+    query: a wrong key would be taken for a file of another name.
+    """
     anchor = root.rstrip("/") + "/"
-    raw = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    return F.substr(raw, F.locate(anchor, raw) + F.lit(len(anchor)))
+    inside = F.regexp_replace(file_path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    raw = F.url_decode(F.replace(inside, F.lit("+"), F.lit("%2B")))
+    outside = F.raise_error(F.concat(file_path, F.lit(f" is not below {anchor}")))
+    return F.when(F.startswith(raw, F.lit(anchor)), F.substr(raw, F.lit(len(anchor) + 1))).otherwise(outside)
 
 
 def literal_path(path: str) -> str:

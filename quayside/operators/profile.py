@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from quayside.concurrency import run_all
-from quayside.constants import METADATA_BYTES, METADATA_TASKS
+from quayside.constants import METADATA_TASKS
 from quayside.functions import paths
 from quayside.sources import files
 from quayside.sources.relations import relation
@@ -19,19 +19,20 @@ COLUMNS_DDL = "entity string, position int, name string, type string"
 
 
 def row_counts(spark: SparkSession, root: str, children: DataFrame | None = None,
-               workers: int = 8) -> DataFrame:
+               workers: int = 8, lone_files: bool = False) -> DataFrame:
     """Rows of every entity below ``root``, whose children may be given if they
     have been listed already.
 
-    One count per child folder or file, several at a time. A count without
+    Entities are folders; ``lone_files`` takes files beside them for entities
+    too. One count per child, several at a time. A count without
     grouping and with an empty schema reads footers only and stays in one fused
     loop; a single scan grouped by file name was measured to take seven times
     as long, as it hashes a path for every row. Only one number per entity
-    comes to the driver. Entities whose names differ only in case are added up.
+    comes to the driver. Names that differ only in case are added up.
     """
     if children is None:
         children = files.collected_children(spark, root)
-    found = children.orderBy("child").collect()
+    found = [row for row in children.orderBy("child").collect() if row.is_folder or lone_files]
 
     def count(item: Row) -> int:
         rows = (
@@ -39,9 +40,7 @@ def row_counts(spark: SparkSession, root: str, children: DataFrame | None = None
             .option("recursiveFileLookup", True)
             .parquet(paths.literal_path(f"{root.rstrip('/')}/{item.child}"))
         )
-        if item.bytes > METADATA_BYTES:
-            rows = rows.coalesce(METADATA_TASKS)
-        return rows.count()
+        return rows.coalesce(METADATA_TASKS).count()
 
     totals: Counter[str] = Counter()
     for item, rows in zip(found, run_all(spark, count, found, workers)):

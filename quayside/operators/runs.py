@@ -43,7 +43,8 @@ def pending(loads: DataFrame, log: DataFrame, keys: list[str] = LOAD_KEYS) -> Da
     return loads.join(log.where(F.col("job_run_status") == SUCCESS), keys, "left_anti")
 
 
-def status_row(params: LoadParams, status: str, message: str | None = None) -> dict:
+def status_row(params: LoadParams, status: str, message: str | None = None,
+               job_id: str | None = None) -> dict:
     return {
         "layer": LAYER,
         "load_id": params.load_id,
@@ -51,19 +52,21 @@ def status_row(params: LoadParams, status: str, message: str | None = None) -> d
         "country_code": params.country,
         "job_run_status": status,
         "error_message": message,
+        "job_id": job_id,
     }
 
 
 def append_status(control: ControlStore, params: LoadParams, status: str,
-                  message: str | None = None) -> None:
+                  message: str | None = None, job_id: str | None = None) -> None:
     """Log a status of this load."""
     ddl = ", ".join(f"{name} string" for name in status_row(params, status))
-    row = relation(control.spark, [status_row(params, status, message)], ddl)
+    row = relation(control.spark, [status_row(params, status, message, job_id)], ddl)
     control.append("process_log", row.withColumn("logged_at", run_time()))
 
 
-def append_failure(control: ControlStore, params: LoadParams, error: BaseException) -> None:
-    append_status(control, params, FAILED, f"{type(error).__name__}: {error}")
+def append_failure(control: ControlStore, params: LoadParams, error: BaseException,
+                   job_id: str | None = None) -> None:
+    append_status(control, params, FAILED, f"{type(error).__name__}: {error}", job_id)
 
 
 def latest_status(log: DataFrame, keys: list[str] = LOAD_KEYS) -> DataFrame:
@@ -72,7 +75,7 @@ def latest_status(log: DataFrame, keys: list[str] = LOAD_KEYS) -> DataFrame:
 
 
 def details(counts: DataFrame, load_id: str, start: datetime | None = None,
-            status: str = SUCCESS) -> DataFrame:
+            status: str = SUCCESS, job_id: str | None = None) -> DataFrame:
     """Run detail rows out of entity counts."""
     return counts.select(
         F.lower("entity").alias("entity"),
@@ -82,12 +85,13 @@ def details(counts: DataFrame, load_id: str, start: datetime | None = None,
         run_time().alias("end_time"),
         F.lit(status).alias("status"),
         F.lit(load_id).alias("load_id"),
+        F.lit(job_id).cast("string").alias("job_id"),
     )
 
 
 def append_details(control: ControlStore, counts: DataFrame, load_id: str,
-                   start: datetime) -> None:
-    control.append("run_details", details(counts, load_id, start))
+                   start: datetime, job_id: str | None = None) -> None:
+    control.append("run_details", details(counts, load_id, start, job_id=job_id))
 
 
 def entity_report(active: DataFrame, counts: DataFrame, match_case: bool = False) -> DataFrame:

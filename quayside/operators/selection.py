@@ -75,9 +75,9 @@ def pull_folders(entities: DataFrame, source: str, country: str) -> DataFrame:
     return entities.select(name.alias("pull_folder")).distinct()
 
 
-def forced_suffixes(folders: DataFrame, load_id: str) -> DataFrame:
-    """Folders that this load's pulls were written to, as path suffixes."""
-    return folders.select(F.concat("pull_folder", F.lit(f"/{load_id}")).alias("suffix"))
+def near(files: DataFrame, window: ChangeWindow, load_id: str) -> Column:
+    """Files that may be candidates, by name and time alone."""
+    return in_window(files, "modified", window) | F.contains("path", F.lit(f"/{load_id}/"))
 
 
 def candidates(files: DataFrame, window: ChangeWindow, folders: DataFrame, load_id: str,
@@ -95,9 +95,8 @@ def candidates(files: DataFrame, window: ChangeWindow, folders: DataFrame, load_
     known = folders.select("pull_folder", F.lit(True).alias("_pulled"))
     # A test of file names and times alone: Spark drops the other files while
     # planning the listing, before any task looks at them.
-    near = in_window(files, "modified", window) | F.contains("path", F.lit(f"/{load_id}/"))
     marked = (
-        files.where(near & paths.is_data_file(F.col("path")))
+        files.where(near(files, window, load_id) & paths.is_data_file(F.col("path")))
         .withColumns({"pull_folder": pull_folder, "_pulled_by": pulled_by})
         .join(known, "pull_folder", "left")
         .withColumns(
@@ -109,8 +108,8 @@ def candidates(files: DataFrame, window: ChangeWindow, folders: DataFrame, load_
                 & (F.col("_pulled_by") < load_id),
             }
         )
-        .where(F.col("in_window") | F.col("forced"))
     )
+    marked = changed_or_forced(marked, "modified", window, F.col("forced"))
     taken = F.lit(True) if relands else ~F.col("_earlier")
     return marked.withColumn("taken", taken).select(
         *files.columns, "in_window", "forced", "taken"
@@ -126,15 +125,16 @@ def select_files(files: DataFrame, window: ChangeWindow, folders: DataFrame, loa
 
 def with_target(files: DataFrame, rule: paths.EntityRule, template: str,
                 source_system: str, cluster: str, load_id: str) -> DataFrame:
-    """Files with their entity, the folder of that entity and their target path."""
+    """Files with their entity, in lower case, and their target path.
+
+    Names of an entity that differ only in case are one entity with one folder.
+    """
     path = F.col("path")
-    entity = rule.entity(path)
+    entity = F.lower(rule.entity(path))
     target = paths.landing_path(
         template, source_system, cluster, load_id, entity, paths.file_name(path)
     )
-    return files.withColumns(
-        {"entity": entity, "entity_folder": rule.folder(path), "target_path": target}
-    )
+    return files.withColumns({"entity": entity, "target_path": target})
 
 
 def mappable(files: DataFrame, rule: paths.EntityRule) -> tuple[DataFrame, DataFrame]:
@@ -143,12 +143,6 @@ def mappable(files: DataFrame, rule: paths.EntityRule) -> tuple[DataFrame, DataF
     return files.where(fits), files.where(~fits)
 
 
-def dedupe_targets(files: DataFrame) -> DataFrame:
-    """Of the files with the same target path, the last by key."""
-    values = [name for name in files.columns if name not in ("target_path", "path")]
-    return last_wins(files, ["target_path"], ["path"], values)
-
-
 def landing_plan(found: DataFrame) -> DataFrame:
     """Candidates with ``lands``: taken, and not overwritten by a later key of
     the same target path.

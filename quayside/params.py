@@ -21,12 +21,14 @@ class ChangeWindow:
 
 @dataclass(frozen=True)
 class LoadParams:
-    """Identity of one load: which source, for which country, under which load id."""
+    """Identity of one load: which source, for which country, under which load
+    id, and the name of the job that runs it, if it has one."""
 
     source: str
     country: str
     region: str
     load_id: str
+    job_name: str | None = None
 
     @property
     def current(self) -> datetime:

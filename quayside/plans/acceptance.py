@@ -11,9 +11,10 @@ from datetime import datetime
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.concurrency import run_all
 from quayside.functions import paths, times, values
 from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
@@ -49,12 +50,14 @@ def _ntz(text: str) -> Column:
 
 
 def entity_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.row_counts(spark, sf_dir)
+    return profile.row_counts(spark, sf_dir, lone_files=True)
 
 
 def entity_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = profile.schemas(spark, {name: f"{sf_dir}/{name}.parquet" for name in TABLES})
-    return profile.columns(spark, found).join(profile.row_counts(spark, sf_dir), "entity")
+    return profile.columns(spark, found).join(
+        profile.row_counts(spark, sf_dir, lone_files=True), "entity"
+    )
 
 
 def incremental_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,8 +257,7 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed response page per conversation turn, read back as rows."""
     found = _turns_as_pages(spark, sf_dir, F.lit("SUCCESS"))
-    pages.check(found)
-    return pages.to_rows(found)
+    return pages.to_rows(pages.checked(found))
 
 
 def failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,7 +306,7 @@ def not_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = runs.details(profile.row_counts(spark, sf_dir), "20240115120000")
+    rows = runs.details(profile.row_counts(spark, sf_dir, lone_files=True), "20240115120000")
     return rows.select("entity", "row_count", "error_count", "status")
 
 
@@ -382,15 +384,16 @@ def landed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rule = paths.EntityRule.of(FEED_TEMPLATE)
     targeted = selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
-    plan = written(selection.landing_plan(targeted), "landing-plan")
-    items = landing.entity_summary(plan)
-    folders = {item.entity: f"{target}/{item.entity}" for item in items}
-    landing.write_entities(plan, items, source, "src/de/", ALWAYS, folders)
+    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
+    folders = {item.entity: f"{target}/{item.entity}" for item in landing.entity_summary(plan)}
+    landing.write_entities(plan, list(folders), source, folders)
     landed = [
         files.entity(spark, folder).withColumn("entity", F.lit(entity))
         for entity, folder in folders.items()
     ]
-    return pages.union_all(landed).select("entity", "event_id", "ts", "user_id", "event_type")
+    return pages.union_all(landed).select(
+        "entity", "event_id", "ts", "user_id", "event_type", "value", "props"
+    )
 
 
 def written_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,8 +445,10 @@ def land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, all landed, counted, published and reported."""
     source, target = shared_folder(spark, "source"), shared_folder(spark, "landing")
     documents = table(spark, sf_dir, "documents")
-    _write_feed(spark, documents, F.concat(F.lit("doc_"), "lang"), source)
     languages = ("de", "en", "es", "fr")
+    for lang in languages:
+        folder = f"{source}/src/de/src_de_doc_{lang}/all"
+        documents.where(F.col("lang") == lang).write.parquet(folder)
     entities = [(name, *PULLED[name], "query") for name in PULLED]
     entities += [(f"doc_{lang}", None, [], "file") for lang in languages]
     store = control.ControlStore(spark, shared_folder(spark, "control"))
@@ -487,7 +492,7 @@ def land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             {
                 "source_cluster": "src-de",
                 "source_bucket": source,
-                "source_template": FEED_TEMPLATE.replace("/<file>", "/<folder>/<file>"),
+                "source_template": SOURCE_TEMPLATE,
                 "search_template": "<source-system>/<cluster>/",
                 "landing_root": target,
                 "landing_template": LANDING_TEMPLATE,
@@ -502,6 +507,122 @@ def land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.report
 
 
+def landed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a source whose folders hold more than a load may take: an old
+    nested folder, an overwritten target, a key that fits no template, and a
+    column whose type grew."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    root = shared_folder(spark, "source")
+    places = (
+        ("src/de/src_de_ord/a", 0, "int"), ("src/de/src_de_ord/a/deeper/nested", 1, "int"),
+        ("src/de/src_de_ord/b", 2, "bigint"), ("src/de", 3, "bigint"),
+    )
+    for place, share, kind in places:
+        rows = orders.where(F.pmod("o_orderkey", F.lit(4)) == share)
+        rows.withColumn("o_orderkey", F.col("o_orderkey").cast(kind)).coalesce(1).write.mode("append").parquet(f"{root}/{place}")
+    listed = files.listing(spark, root, "src/de/")
+    # The nested folder counts as changed before the window.
+    old = F.contains("path", F.lit("/nested/"))
+    timed = written(listed.withColumn("modified", F.when(old, F.lit(datetime(1960, 1, 1))).otherwise(F.col("modified"))), "listing")
+    rule = paths.EntityRule.of(SOURCE_TEMPLATE)
+    found = selection.candidates(timed, ALWAYS, relation(spark, [], "pull_folder string"), LOAD_ID)
+    fits, _ = selection.mappable(found, rule)
+    targeted = selection.with_target(fits, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
+    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
+    target = shared_folder(spark, "landing")
+    landing.write_entity(plan, "ord", root, target, paths_per_read=1)
+    return files.entity(spark, target)
+
+
+def control_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load per month of orders writes its status, details and watermarks, several
+    at a time; the control tables as a load reads them give the last of each priority."""
+    orders = table(spark, sf_dir, "orders")
+    months = (
+        orders.groupBy(F.date_format("o_orderdate", "yyyyMM01000000").alias("load_id"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.max("o_orderdate").alias("last")).orderBy("load_id").limit(12)
+    )
+    store = control.ControlStore(spark, shared_folder(spark, "control"))
+    store.append_rows("path_config", [{"source_cluster": "src-de"}])
+    store.append_rows("source_metadata", [{"source_metadata_id": "de_ord", "source_system": "src"}])
+
+    def record(row: Row) -> None:
+        params = LoadParams("src", "de", "eu", row.load_id)
+        at = times.from_micros(row.at)
+        runs.append_status(store, params, "Failed", "first try")
+        runs.append_status(store, params, "success")
+        counts = relation(spark, [{"entity": "Ord", "row_count": row.row_count}], "entity string, row_count bigint")
+        runs.append_details(store, counts, row.load_id, at)
+        marks = {"load_id": row.load_id, "logged_at": at}
+        store.append_rows("file_watermark", [{"source_cluster": "src-de", "last_run_start_time": at, **marks}])
+        store.append_rows(
+            "entity_watermark",
+            [{"source_metadata_id": "de_ord", "source_system": "src", "last_run_ts": at, **marks}],
+        )
+
+    last = F.unix_micros(F.col("last").cast("timestamp")).alias("at")
+    run_all(spark, record, months.select("load_id", "row_count", last).collect())
+    status = runs.latest_status(store.read("process_log")).select("load_id", "job_run_status")
+    details = store.read("run_details").select("load_id", "entity", "row_count")
+    marks = {
+        "file_mark": store.path_config().select(F.col("last_run_start_time").cast("timestamp_ntz")).scalar(),
+        "entity_mark": store.source_metadata().select(F.col("last_run_ts").cast("timestamp_ntz")).scalar(),
+    }
+    return status.join(details, "load_id").withColumns(marks)
+
+
+def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed from folders whose entity names differ in case: the counts a
+    load reports beside those of the tables it publishes."""
+    events = table(spark, sf_dir, "events")
+    source, target = shared_folder(spark, "source"), shared_folder(spark, "landing")
+    odd = F.pmod("event_id", F.lit(2)) == 1
+    name = F.when(odd, F.initcap("event_type")).otherwise(F.col("event_type"))
+    _write_feed(spark, events, name, source)
+    found = selection.candidates(
+        files.listing(spark, source, "src/de/"), ALWAYS, relation(spark, [], "pull_folder string"), LOAD_ID
+    )
+    rule = paths.EntityRule.of(FEED_TEMPLATE)
+    targeted = selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
+    # Parts of both folders have the names of their tasks; here all of them count.
+    apart = targeted.withColumn("target_path", F.col("path"))
+    plan = written(selection.landing_plan(apart), "landing-plan", by=("entity",))
+    places = {item.entity: f"{target}/{item.entity}" for item in landing.entity_summary(plan)}
+    landing.write_entities(plan, list(places), source, places)
+    children = files.collected_children(spark, target)
+    counts = profile.row_counts(spark, target, children)
+    database = f"landing_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
+    kinds = profile.schemas(spark, places)
+    catalog.publish(spark, database, [catalog.EntityTable(n, places[n], kinds[n]) for n in places])
+    rows = [{"entity": n, "table_count": spark.table(f"{database}.{n}").count()} for n in catalog.tables(spark, database)]
+    return counts.join(relation(spark, rows, "entity string, table_count bigint"), "entity")
+
+
+def cleared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What clearing a database of tables and a view drops; the files stay."""
+    database = f"landing_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
+    locations = {name: f"{sf_dir}/{name}.parquet" for name in ("region", "nation", "orders")}
+    kinds = profile.schemas(spark, locations)
+    catalog.publish(spark, database, [catalog.EntityTable(n, locations[n], kinds[n]) for n in locations])
+    spark.sql(f"CREATE VIEW {database}.seen AS SELECT 1 AS x")
+    dropped = catalog.clear(spark, database)
+    rows = [{"name": name, "left_over": len(catalog.tables(spark, database))} for name in dropped]
+    counts = profile.row_counts(spark, sf_dir, lone_files=True).withColumnRenamed("entity", "name")
+    return relation(spark, rows, "name string, left_over bigint").join(counts, "name", "left")
+
+
+def inventory_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File selection out of an inventory with several versions of each key."""
+    listed = _document_listing(spark, sf_dir)
+    older = listed.withColumn("modified", F.col("modified") - F.make_dt_interval(F.lit(40)))
+    later = F.col("modified") > _ntz("2024-01-08 00:00:00")
+    mine = F.contains("path", F.lit(f"/{LOAD_ID}/"))
+    known = files.inventory(listed.unionByName(older).where(later | mine))
+    return selection.select_files(known, WINDOW, _document_folders(spark), LOAD_ID).select("path", "modified")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     landing_report,
     entity_row_counts,
@@ -541,6 +662,11 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     written_pull,
     published_tables,
     land_batch,
+    landed_exactly,
+    control_round_trip,
+    published_counts,
+    cleared_tables,
+    inventory_selection,
 )
 
 

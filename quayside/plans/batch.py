@@ -16,7 +16,7 @@ from quayside.functions.times import from_micros, run_time
 from quayside.functions.values import all_string
 from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
-from quayside.sources import catalog, files, landing, pages, pull
+from quayside.sources import catalog, files, folders, landing, pages, pull
 from quayside.sources.control import ControlStore, first, lookup
 from quayside.sources.relations import relation, written
 
@@ -56,8 +56,7 @@ def from_pages(spark: SparkSession, folder: Callable[[str], str],
 
     def rows(item: EntityPull) -> DataFrame:
         found = pages.read(spark, folder(item.entity.lower()), item.columns, one_per_line)
-        pages.check(found)
-        return pages.to_rows(found)
+        return pages.to_rows(pages.checked(found))
 
     return rows
 
@@ -173,12 +172,14 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
     fails halfway is done again in full. A failure is logged and raised.
     """
     start = datetime.now(timezone.utc)
+    job_id: str | None = None
     try:
+        job_id = _job_id(control, params)
         layout = Layout.of(control, params)
         is_rerun = runs.succeeded(control.read("process_log"), params).first().is_rerun
         pulls: list[EntityPull] = []
         pulled: list[str] = []
-        landed = Landed(0, None)
+        landed = Landed(0, None, frozenset())
         if not is_rerun:
             pulls = pull_plan(control, params)
             pulled = pull_entities(
@@ -188,22 +189,40 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
             landed = land_files(
                 spark, layout, params, pulls, listed, relands, allow_rejected, workers
             )
+            lost = [name for name in pulled if _pull_name(params, name) not in landed.pulled]
+            if lost:
+                raise ValueError(f"pulls of {', '.join(lost)} were not landed")
         report = None
         if is_rerun or landed.files or _landed_before(spark, layout, params):
-            report = rebuild(spark, layout, params, control, start, landed.files)
+            report = rebuild(spark, layout, params, control, start, landed.files, job_id)
             action = REBUILT
         else:
             catalog.clear(spark, layout.database)
             action = CLEARED
         if not is_rerun:
             _advance_watermarks(control, params, pulls, landed.files)
-        runs.append_status(control, params, SUCCESS)
+        runs.append_status(control, params, SUCCESS, job_id=job_id)
     except Exception as error:
-        runs.append_failure(control, params, error)
+        runs.append_failure(control, params, error, job_id)
         raise
     return LoadOutcome(action, is_rerun, landed.files, tuple(pulled), report, landed.rejected)
 
 
+def _job_id(control: ControlStore, params: LoadParams) -> str | None:
+    """Id of the job that runs the load, for its records."""
+    if params.job_name is None:
+        return None
+    found = metadata.job_id(control.read("job_config"), params.process_id, params.job_name).first()
+    if found is None:
+        raise ValueError(f"no job {params.job_name} of {params.process_id}")
+    return found.job_id
+
+
+def _pull_name(params: LoadParams, entity: str) -> str:
+    """Name of the folder that holds the pulls of an entity, as keys have it."""
+    return f"{params.source}_{params.country}_{entity}".lower()
+
+
 def pull_plan(control: ControlStore, params: LoadParams) -> list[EntityPull]:
     """Query entities of this load with columns and window, one row each."""
     meta = control.source_metadata()
@@ -230,18 +249,27 @@ def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
     if pulls and pull_source is None:
         raise ValueError(f"no source to pull {', '.join(item.entity for item in pulls)} from")
 
-    folders = {
+    folders_of = {
         item.entity: paths.pull_folder(layout.source_template, params, item.entity)
         for item in pulls
     }
-    outside = [name for name, folder in folders.items()
+    outside = [name for name, folder in folders_of.items()
                if not folder.startswith(layout.search_prefix)]
     if outside:
         raise ValueError(f"pulls of {', '.join(outside)} would not be under {layout.search_prefix}")
+    unfound = [
+        name for name, folder in folders_of.items()
+        if folder.rstrip("/").split("/")[-2:] != [_pull_name(params, name), params.load_id]
+    ]
+    if unfound:
+        raise ValueError(
+            f"pulls of {', '.join(unfound)} would not be found: {layout.source_template} has no "
+            "folder of the entity's name and the load id in it"
+        )
 
     def write(item: EntityPull) -> bool:
         rows = all_string(pull_source(item), item.columns)
-        folder = folders[item.entity].rstrip("/")
+        folder = folders_of[item.entity].rstrip("/")
         return landing.write_pull(rows, f"{layout.source_root}/{folder}", rebalance)
 
     wrote = run_all(spark, write, pulls, workers)
@@ -252,6 +280,7 @@ def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
 class Landed:
     files: int
     rejected: DataFrame | None
+    pulled: frozenset[str]
 
 
 def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
@@ -263,18 +292,16 @@ def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
     """
     if inventory is None:
         return files.listing(spark, layout.source_root, layout.search_prefix)
-    known = files.with_prefix(files.inventory(inventory), layout.search_prefix)
-    folders = {
-        paths.pull_folder(layout.source_template, params, item.entity) for item in pulls
-    }
-    if not folders:
+    # Versions that cannot matter leave before the inventory is brought together:
+    # of a key whose latest version is in the window, that version stays.
+    later = F.col("modified") > F.lit(layout.last)
+    mine = F.contains("path", F.lit(f"/{params.load_id}/"))
+    known = files.with_prefix(files.inventory(inventory.where(later | mine)), layout.search_prefix)
+    own = [paths.pull_folder(layout.source_template, params, item.entity) for item in pulls]
+    own = [name for name in own if folders.exists(spark, f"{layout.source_root}/{name}")]
+    if not own:
         return known
-    pulled = files.with_prefix(
-        pages.union_all(
-            [files.listing(spark, layout.source_root, folder) for folder in sorted(folders)]
-        ),
-        layout.search_prefix,
-    )
+    pulled = files.with_prefix(files.listing(spark, layout.source_root, *own), layout.search_prefix)
     return pulled.unionByName(known.join(pulled, "path", "left_anti"))
 
 
@@ -283,8 +310,8 @@ def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: l
     """Select the files of this load and write each entity's to its folder."""
     window = ChangeWindow(layout.last, params.current)
     queried = relation(spark, [{"entity": item.entity} for item in pulls], "entity string")
-    folders = selection.pull_folders(queried, params.source, params.country)
-    found = selection.candidates(listed, window, folders, params.load_id, relands)
+    pulls_in = selection.pull_folders(queried, params.source, params.country)
+    found = selection.candidates(listed, window, pulls_in, params.load_id, relands)
     rule = paths.EntityRule.of(layout.source_template)
     # Listing and selection run once; all later steps read this table.
     found = written(
@@ -299,14 +326,13 @@ def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: l
         found.where("fits"), rule, layout.landing_template, layout.source_system,
         layout.cluster, params.load_id,
     )
-    plan = written(selection.landing_plan(targeted), "landing-plan")
+    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
     items = landing.entity_summary(plan)
 
     targets = {item.entity: layout.entity_folder(params.load_id, item.entity) for item in items}
-    landing.write_entities(
-        plan, items, layout.source_root, layout.search_prefix, window, targets, workers
-    )
-    return Landed(sum(item.taken for item in items), rejected)
+    landing.write_entities(plan, list(targets), layout.source_root, targets, workers)
+    pulled = plan.where("forced AND taken").select(paths.segment(F.col("path"), -3)).distinct()
+    return Landed(sum(item.taken for item in items), rejected, frozenset(row[0] for row in pulled.collect()))
 
 
 def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> bool:
@@ -319,11 +345,11 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> b
     data = selection.changed(landed, "modified", window).where(
         paths.is_data_file(F.col("path"))
     )
-    return runs.any_match(data, "found").first().found
+    return selection.summary(data, "modified", window).first().in_window > 0
 
 
 def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
-            start: datetime, landed_files: int) -> DataFrame:
+            start: datetime, landed_files: int, job_id: str | None = None) -> DataFrame:
     """Count and publish what this load landed; returns the entity report."""
     children = files.collected_children(spark, layout.landed_root)
     locations = {
@@ -339,7 +365,7 @@ def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: Co
         layout.database,
         [catalog.EntityTable(name, locations[name], schemas[name]) for name in locations],
     )
-    runs.append_details(control, counts, params.load_id, start)
+    runs.append_details(control, counts, params.load_id, start, job_id)
     active = metadata.active_entities(
         control.read("source_metadata"), params.source, params.country
     )

@@ -197,7 +197,25 @@ SQL = {
                             split_part(path, '/', -1)) as target_path
               from ({MARKED}) m) t""",
     "landed_entities": """
-        select lower(event_type) as entity, event_id, ts, user_id, event_type from events""",
+        select lower(event_type) as entity, event_id, ts, user_id, event_type, value, props
+        from events""",
+    "landed_exactly": """
+        select o_orderkey, o_custkey from orders where o_orderkey % 4 in (0, 2)""",
+    "control_round_trip": """
+        with m as (select strftime(o_orderdate, '%Y%m01000000') as load_id, count(*) as row_count,
+                          max(o_orderdate) as last
+                   from orders group by 1 order by 1 limit 12)
+        select load_id, 'success' as job_run_status, 'ord' as entity, row_count,
+               (select max(last) from m) as file_mark, (select max(last) from m) as entity_mark
+        from m""",
+    "published_counts": """
+        select lower(event_type) as entity, count(*) as row_count, count(*) as table_count
+        from events group by 1""",
+    "cleared_tables": f"""
+        select n.name, cast(0 as bigint) as left_over, c.row_count
+        from (values ('region'), ('nation'), ('orders'), ('seen')) n(name)
+             left join ({ROW_COUNTS}) c on c.entity = n.name""",
+    "inventory_selection": f"select path, modified from ({MARKED}) m where taken",
     "written_pull": """
         select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
                o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate

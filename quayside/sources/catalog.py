@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from quayside.concurrency import run_all
+from quayside.sources import folders
+
 
 @dataclass(frozen=True)
 class EntityTable:
@@ -22,41 +25,78 @@ def _quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
-def tables(spark: SparkSession, database: str) -> list[str]:
-    """Tables of a database, without temporary ones. Empty if there is no such
-    database."""
+def _kinds(spark: SparkSession, database: str) -> dict[str, str]:
+    """Tables and views of a database, without temporary ones, with their kind."""
     if not spark.catalog.databaseExists(database):
-        return []
-    rows = spark.sql(f"SHOW TABLES IN {_quoted(database)}").where("NOT isTemporary").collect()
-    return [row.tableName for row in rows]
+        return {}
+    found = spark.catalog.listTables(_quoted(database))
+    return {item.name: item.tableType for item in found if not item.isTemporary}
+
+
+def tables(spark: SparkSession, database: str) -> list[str]:
+    """Tables and views of a database. Empty if there is no such database."""
+    return sorted(_kinds(spark, database))
+
 
+def drop(spark: SparkSession, database: str, names: Sequence[str], workers: int = 8) -> None:
+    """Drop tables and views; the files of external tables stay.
+
+    A table that owns its files is refused: dropping it would delete data.
+    """
+    kinds = _kinds(spark, database)
+    owned = [name for name in names if kinds.get(name) == "MANAGED"]
+    if owned:
+        raise ValueError(f"{database} has tables that own their data: {', '.join(owned)}")
 
-def drop(spark: SparkSession, database: str, names: Sequence[str]) -> None:
-    """Drop tables; the files of external ones stay."""
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(database, name)}")
+    def gone(name: str) -> None:
+        kind = "VIEW" if kinds.get(name) == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {_quoted(database, name)}")
+
+    run_all(spark, gone, names, workers)
 
 
 def clear(spark: SparkSession, database: str) -> list[str]:
-    """Drop every table of a database and return their names."""
+    """Drop every table and view of a database and return their names."""
     dropped = tables(spark, database)
     drop(spark, database, dropped)
     return dropped
 
 
-def publish(spark: SparkSession, database: str, entities: Sequence[EntityTable]) -> None:
+def publish(spark: SparkSession, database: str, entities: Sequence[EntityTable], workers: int = 8) -> None:
     """Make the database hold exactly one external Parquet table per entity.
 
-    Readers lose one table at a time while it is replaced; tables of entities
-    that did not land are dropped last.
+    Missing tables are created and changed ones moved to their new place or,
+    with a new schema, replaced; unchanged ones are left alone. What no entity
+    has is dropped last.
     """
     if not spark.catalog.databaseExists(database):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
-    stale = set(tables(spark, database)) - {item.entity for item in entities}
-    for item in entities:
+    kinds = _kinds(spark, database)
+    stale = sorted(set(kinds) - {item.entity for item in entities})
+    owned = [name for name, kind in kinds.items() if kind == "MANAGED"]
+    if owned:
+        raise ValueError(f"{database} has tables that own their data: {', '.join(sorted(owned))}")
+
+    def put(item: EntityTable) -> None:
         name = _quoted(database, item.entity)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(
-            name, path=item.location, source="parquet", schema=item.schema
-        )
-    drop(spark, database, sorted(stale))
+        kind = kinds.get(item.entity)
+        if kind == "EXTERNAL" and spark.table(name).schema == item.schema:
+            if folders.key_root(spark, _location(spark, name)) != folders.key_root(spark, item.location):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{_text(item.location)}'")
+            spark.catalog.refreshTable(name)
+            return
+        if kind is not None:
+            drop(spark, database, [item.entity])
+        spark.catalog.createTable(name, path=item.location, source="parquet", schema=item.schema)
+
+    run_all(spark, put, entities, workers)
+    drop(spark, database, stale, workers)
+
+
+def _text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return described.first().data_type

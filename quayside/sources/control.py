@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +33,11 @@ SCHEMAS = {
     ),
     "process_log": (
         "layer string, load_id string, process_id string, country_code string, "
-        "job_run_status string, error_message string, logged_at timestamp"
+        "job_run_status string, error_message string, logged_at timestamp, job_id string"
     ),
     "run_details": (
         "entity string, row_count bigint, error_count bigint, start_time timestamp, "
-        "end_time timestamp, status string, load_id string"
+        "end_time timestamp, status string, load_id string, job_id string"
     ),
     "file_watermark": (
         "source_cluster string, last_run_start_time timestamp, load_id string, "
@@ -54,7 +55,8 @@ class ControlStore:
 
     Tables are only appended to. Parquet tables cannot be updated in place, and
     a lost writer must not leave one half rewritten, so an update is a new row
-    and reading takes the latest.
+    and reading takes the latest. Every append has a folder of its own, so loads
+    that append at the same time share no committer.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -66,7 +68,8 @@ class ControlStore:
 
     def read(self, name: str) -> DataFrame:
         try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+            reader = self.spark.read.schema(SCHEMAS[name]).option("recursiveFileLookup", True)
+            return reader.parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -74,7 +77,7 @@ class ControlStore:
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = T.StructType.fromDDL(SCHEMAS[name]).names
-        rows.select(*columns).coalesce(1).write.mode("append").parquet(self.path(name))
+        rows.select(*columns).coalesce(1).write.parquet(f"{self.path(name)}/append-{uuid4().hex}")
 
     def append_rows(self, name: str, rows: Sequence[Mapping]) -> None:
         self.append(name, relation(self.spark, rows, SCHEMAS[name]))

@@ -2,37 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime, timedelta
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.constants import FORMATS, METADATA_TASKS
-from quayside.functions import paths
-from quayside.functions.times import utc
-from quayside.params import ChangeWindow
+from quayside.functions import paths, schemas
+from quayside.sources import folders
 from quayside.sources.relations import relation
 
 LISTING_DDL = "path string, uri string, modified timestamp, size bigint"
 CHILDREN_DDL = "entity string, child string, is_folder boolean, bytes bigint"
 
 
-def listing(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Files below ``root`` whose key starts with ``prefix``.
+def listing(spark: SparkSession, root: str, *prefixes: str) -> DataFrame:
+    """Files below ``root`` whose key starts with one of the prefixes, all
+    without any.
 
     No file content is read. Keys are relative to ``root``; ``uri`` is the
-    name the readers report. Only the folder part of the prefix is listed. A
-    folder that does not exist has no files.
+    name the readers report. Only the folder parts of the prefixes are listed. A
+    folder that does not exist has no files, if it is the only one.
     """
     root = root.rstrip("/")
-    folder = prefix.rpartition("/")[0]
+    below = {prefix.rpartition("/")[0] for prefix in prefixes or ("",)}
     try:
         files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load(paths.literal_path(f"{root}/{folder}" if folder else root))
+            .load([paths.literal_path(f"{root}/{folder}" if folder else root) for folder in sorted(below)])
             .coalesce(METADATA_TASKS)
         )
     except AnalysisException as error:
@@ -40,12 +43,12 @@ def listing(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
             raise
         return relation(spark, [], LISTING_DDL)
     keyed = files.select(
-        paths.key_under(root, F.col("_metadata.file_path")).alias("path"),
+        paths.key_under(folders.key_root(spark, root), F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_size").alias("size"),
     )
-    return with_prefix(keyed, prefix)
+    return with_prefix(keyed, *prefixes)
 
 
 def inventory(files: DataFrame) -> DataFrame:
@@ -65,9 +68,12 @@ def inventory(files: DataFrame) -> DataFrame:
     )
 
 
-def with_prefix(files: DataFrame, prefix: str) -> DataFrame:
-    """Files whose key starts with ``prefix``."""
-    return files.where(F.startswith("path", F.lit(prefix))) if prefix else files
+def with_prefix(files: DataFrame, *prefixes: str) -> DataFrame:
+    """Files whose key starts with one of the prefixes; all if one is empty."""
+    if not all(prefixes):
+        return files
+    tests = [F.startswith("path", F.lit(prefix)) for prefix in prefixes]
+    return files.where(reduce(or_, tests)) if tests else files
 
 
 def children(files: DataFrame) -> DataFrame:
@@ -93,10 +99,12 @@ def collected_children(spark: SparkSession, root: str) -> DataFrame:
 def entities(children: DataFrame) -> DataFrame:
     """Folders among the children as ``(entity, folder)``.
 
-    Of folders that differ only in case the last one in key order is kept.
+    Of folders that differ only in case none can be chosen; they fail the query.
     """
-    folders = children.where("is_folder")
-    return folders.groupBy("entity").agg(F.max("child").alias("folder"))
+    one = F.min("child")
+    clash = F.raise_error(F.concat(one, F.lit(" and "), F.max("child"), F.lit(" are one entity")))
+    folder = F.when(F.count(F.lit(1)) == 1, one).otherwise(clash)
+    return children.where("is_folder").groupBy("entity").agg(folder.alias("folder"))
 
 
 def check_format(fmt: str) -> str:
@@ -112,35 +120,41 @@ def entity(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(paths.literal_path(path))
 
 
-def entity_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """Scan of some files or folders of one entity, with all columns any of them
-    has."""
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("mergeSchema", True)
-        .parquet(*map(paths.literal_path, files))
-    )
+def entity_files(spark: SparkSession, files: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Scan of some files of one entity. A column a file lacks is null, one of a
+    narrower type is widened by the reader."""
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    return reader.parquet(*map(paths.literal_path, files))
 
 
-def entity_window(spark: SparkSession, folder: str, window: ChangeWindow) -> DataFrame:
-    """Scan of the files of a folder changed in ``(last, current]``.
+def merged_schema(spark: SparkSession, entity: str, chunks: Iterable[Sequence[str]]) -> T.StructType:
+    """All columns any of the files has, each in the narrowest type that holds
+    its values in all of them.
 
-    The window is applied while listing, so neither footers nor rows of other
-    files are read and no per-row filter remains. File times have millisecond
-    steps and both reader bounds are exclusive: one millisecond past the upper
-    end includes it. Names ending in ``$`` (folder markers) are left out.
+    The reader merges footers, but not those that differ in a type. Where it
+    fails, the files are halved; in order of time, as they should be given, types
+    change seldom and few halves are left.
     """
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("mergeSchema", True)
-        .option("pathGlobFilter", "*[!$]")
-        .option("timeZone", "UTC")
-        .option("modifiedAfter", _reader_time(window.last))
-        .option("modifiedBefore", _reader_time(window.current, plus_ms=1))
-        .parquet(paths.literal_path(folder))
-    )
-
-
-def _reader_time(value: datetime, plus_ms: int = 0) -> str:
-    moved = utc(value) + timedelta(milliseconds=plus_ms)
-    return moved.strftime("%Y-%m-%dT%H:%M:%S.%f")
+    found: T.StructType | None = None
+    seen: list[tuple[T.StructType, str]] = []
+    for chunk in chunks:
+        for schema, file in _schemas(spark, chunk):
+            try:
+                found = schema if found is None else schemas.widened(found, schema)
+            except schemas.NotWidened as error:
+                other = next(name for known, name in seen if not schemas.fit(known, schema))
+                raise ValueError(f"entity {entity}: {error} in {other} and {file}") from None
+            seen.append((schema, file))
+    assert found is not None, "an entity that lands has files"
+    return found
+
+
+def _schemas(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, str]]:
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+    try:
+        return [(reader.parquet(*map(paths.literal_path, files)).schema, files[0])]
+    except (Py4JJavaError, PySparkException) as error:
+        if len(files) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    half = len(files) // 2
+    return [*_schemas(spark, files[:half]), *_schemas(spark, files[half:])]

@@ -2,140 +2,91 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from math import ceil
+from itertools import batched
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.concurrency import run_all
-from quayside.constants import EXCLUDED_PER_READ, NAMES_LIMIT, PATHS_PER_READ
-from quayside.functions import paths
-from quayside.params import ChangeWindow
-from quayside.sources import files
+from quayside.constants import PATHS_PER_READ
+from quayside.sources import files, folders
 
 
 def write_pull(rows: DataFrame, folder: str, rebalance: bool = True) -> bool:
     """Write a pull over an earlier one; an empty pull leaves that in place.
 
-    A pull takes few rows out of each of many splits, so it is rebalanced into
-    files of the advisory size. That shuffles only what is written; a first full
-    pull can do without.
+    The pull is read once: it is written beside its folder, under a name the
+    readers hide, and put there if it has rows. A pull takes few rows out of each
+    of many splits, so it is rebalanced into files of the advisory size. That
+    shuffles only what is written; a first full pull can do without.
     """
-    if rows.isEmpty():
-        return False
+    spark = rows.sparkSession
+    parent, _, _ = folder.rstrip("/").rpartition("/")
+    attempt = f"{parent}/_attempt-{uuid4().hex}"
     sized = rows.hint("rebalance") if rebalance else rows
-    sized.write.mode("overwrite").parquet(folder)
-    return True
+    try:
+        sized.write.parquet(attempt)
+        if spark.read.schema(rows.schema).parquet(attempt).isEmpty():
+            return False
+        folders.replace(spark, attempt, folder)
+        return True
+    finally:
+        folders.remove(spark, attempt)
 
 
 @dataclass(frozen=True)
 class EntityFiles:
-    """What a landing plan says of one entity."""
+    """What a landing plan says of one entity: files taken, and those that land."""
 
     entity: str
     taken: int
     lands: int
-    outside: int
-    excluded: int
-    named: bool
-    folder: str | None
-    pull_folder: str | None
-
-    def by_folder(self, prefix: str) -> bool:
-        """A read of the entity's folder by change time gives exactly its files,
-        up to a few that can be left out by name."""
-        return (
-            self.folder is not None
-            and f"{self.folder}/".startswith(prefix)
-            and self.outside == 0
-            and (self.excluded == 0 or (self.named and self.excluded <= EXCLUDED_PER_READ))
-        )
 
 
 def entity_summary(plan: DataFrame) -> list[EntityFiles]:
     """The entities of a landing plan that get files; one row per entity."""
-    folder_ok = F.min("entity_folder") == F.max("entity_folder")
-    left_out = F.col("in_window") & ~F.col("lands")
-    # Names the folder read skips, or files it has no time window for.
-    outside = F.col("lands") & (~F.col("in_window") | F.endswith("path", F.lit("$")))
-    # The one folder all files of the entity were pulled into, if it has no others.
-    parent = F.when(F.col("lands"), paths.parent(F.col("path")))
-    all_pulled = (
-        (F.min(parent) == F.max(parent))
-        & (F.count_if(F.col("forced") != F.col("lands")) == 0)
-        & (F.count_if(F.endswith("path", F.lit("$"))) == 0)
-    )
     rows = (
         plan.groupBy("entity")
-        .agg(
-            F.count_if("taken").alias("taken"),
-            F.count_if("lands").alias("lands"),
-            F.count_if(outside).alias("outside"),
-            F.count_if(left_out).alias("excluded"),
-            (F.count_if(left_out & F.col("uri").isNull()) == 0).alias("named"),
-            F.when(folder_ok, F.min("entity_folder")).alias("folder"),
-            F.when(all_pulled, F.min(parent)).alias("pull_folder"),
-        )
+        .agg(F.count_if("taken").alias("taken"), F.count_if("lands").alias("lands"))
         .where("lands > 0")
         .orderBy("entity")
     )
     return [EntityFiles(**row.asDict()) for row in rows.collect()]
 
 
-def write_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,
-                 window: ChangeWindow, target: str, names_limit: int = NAMES_LIMIT,
+def write_entity(plan: DataFrame, entity: str, source_root: str, target: str,
                  paths_per_read: int = PATHS_PER_READ) -> None:
     """Write the files the plan lands for one entity to its target folder.
 
-    No row is shuffled, joined or tested to tell whether its file belongs here,
-    and all files written have the same columns.
+    Files are read by name, exactly those of the plan, in one schema found
+    before. ``paths_per_read`` bounds the names the driver holds at a time; each
+    such read is a write of its own, the first of which replaces the folder. No
+    row is shuffled, joined or tested to tell whether its file belongs here.
     """
-    rows = read_entity(plan, item, source_root, prefix, window, names_limit, paths_per_read)
-    rows.write.mode("overwrite").parquet(target)
-
+    spark = plan.sparkSession
+    lands = plan.where((F.col("entity") == entity) & F.col("lands"))
+    in_time = lands.select("path", "modified").orderBy("modified", "path")
 
-def write_entities(plan: DataFrame, items: Sequence[EntityFiles], source_root: str, prefix: str,
-                   window: ChangeWindow, targets: Mapping[str, str], workers: int = 8) -> None:
-    """Write several entities at a time, each by its own job: their schemas
-    differ, and alone the end of one job would leave the cluster idle."""
+    def chunks() -> Iterator[list[str]]:
+        for rows in batched(in_time.toLocalIterator(), paths_per_read):
+            yield [f"{source_root.rstrip('/')}/{row.path}" for row in rows]
 
-    def write(item: EntityFiles) -> None:
-        write_entity(plan, item, source_root, prefix, window, targets[item.entity])
+    schema = files.merged_schema(spark, entity, chunks())
+    for number, names in enumerate(chunks()):
+        rows = files.entity_files(spark, names, schema)
+        rows.write.mode("append" if number else "overwrite").parquet(target)
 
-    run_all(plan.sparkSession, write, items, workers)
 
+def write_entities(plan: DataFrame, entities: Sequence[str], source_root: str,
+                   targets: Mapping[str, str], workers: int = 8,
+                   paths_per_read: int = PATHS_PER_READ) -> None:
+    """Write several entities at a time, each by its own jobs: their schemas
+    differ, and alone the end of one job would leave the cluster idle."""
 
-def read_entity(plan: DataFrame, item: EntityFiles, source_root: str, prefix: str,
-                window: ChangeWindow, names_limit: int = NAMES_LIMIT,
-                paths_per_read: int = PATHS_PER_READ) -> DataFrame:
-    """Rows of the files the plan lands for one entity.
+    def write(entity: str) -> None:
+        write_entity(plan, entity, source_root, targets[entity], paths_per_read)
 
-    Few files are read by name. Many are read by folder, which takes no list of
-    names: the folder this load pulled into, or the folder of the entity with
-    the change window applied by the file index. Where the folder holds too much
-    else, many are read by name too, in reads of bounded size.
-    """
-    spark = plan.sparkSession
-    source_root = source_root.rstrip("/")
-    of_entity = plan.where(F.col("entity") == item.entity)
-    if item.lands > names_limit and item.pull_folder:
-        return files.entity_files(spark, [f"{source_root}/{item.pull_folder}"])
-    if item.lands > names_limit and item.by_folder(prefix):
-        rows = files.entity_window(spark, f"{source_root}/{item.folder}", window)
-        if item.excluded:
-            left_out = of_entity.where(F.col("in_window") & ~F.col("lands"))
-            uris = [row.uri for row in left_out.select("uri").collect()]
-            rows = rows.where(~F.col("_metadata.file_path").isin(uris))
-        return rows
-    reads = ceil(item.lands / paths_per_read)
-    share = F.pmod(F.xxhash64("path"), F.lit(reads))
-    parts = []
-    for number in range(reads):
-        chosen = of_entity.where(F.col("lands") & (share == number)).select("path")
-        names = [f"{source_root}/{row.path}" for row in chosen.collect()]
-        if names:
-            parts.append(files.entity_files(spark, names))
-    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    run_all(plan.sparkSession, write, entities, workers)

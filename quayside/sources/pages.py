@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,11 +52,6 @@ def is_failed() -> Column:
     return F.col("responseStatus").isin(*FAILED_RESPONSES)
 
 
-def failed(pages: DataFrame) -> DataFrame:
-    """Pages that report a failure."""
-    return pages.where(is_failed())
-
-
 def summary(pages: DataFrame) -> DataFrame:
     """Failed pages, the errors of the first of them, and rows, in one pass."""
     errors = F.when(is_failed(), F.coalesce("errors", F.lit("")))
@@ -67,12 +62,14 @@ def summary(pages: DataFrame) -> DataFrame:
     )
 
 
-def check(pages: DataFrame) -> Row:
-    """Summary of the pages; raises if any of them failed."""
-    found = summary(pages).first()
-    if found.failed_pages:
-        raise RuntimeError(f"{found.failed_pages} response page(s) failed: {found.errors}")
-    return found
+def checked(pages: DataFrame) -> DataFrame:
+    """The pages; one that reports a failure fails the query that reads it.
+
+    A pull of pages so reads and parses them once.
+    """
+    message = F.concat(F.lit("response page "), "page", F.lit(" failed: "), F.coalesce("errors", F.lit("")))
+    data = F.when(is_failed(), F.raise_error(message)).otherwise(F.col("data"))
+    return pages.withColumn("data", data)
 
 
 def to_rows(pages: DataFrame, with_order: bool = False) -> DataFrame:

@@ -250,7 +250,7 @@ def test_pull_from_response_pages(spark, tmp_path):
     assert values(spark.table(f"{site.database}.ord")) == [("1", "x"), ("2", "y")]
     failed = {"responseStatus": "FAILURE", "errors": "expired"}
     (folder / "p2.json").write_text(json.dumps(failed))
-    with pytest.raises(RuntimeError, match="expired"):
+    with pytest.raises(Exception, match="failed: expired"):
         site.load(NEXT_ID, pull_source=source)
 
 
@@ -266,3 +266,67 @@ def test_inventory_replaces_the_listing(spark, tmp_path):
     )
     site.load(inventory=known)
     assert site.tables() == {"acc": 1, "ord": 3}
+
+
+def test_pulls_without_a_folder_of_their_own_fail(spark, tmp_path):
+    """Without the load id in its path no load would find a pull again."""
+    site = Site(spark, tmp_path, source_template=TEMPLATE.replace("/<folder>", ""))
+    with pytest.raises(ValueError, match="pulls of Ord would not be found"):
+        site.load()
+    assert site.marks() == (seconds(LAST), seconds(LAST))
+    assert not site.source.exists()
+
+
+def test_a_pull_that_does_not_land_moves_no_watermark(spark, tmp_path):
+    """An inventory cannot hide it, but a file of the same name can win over it."""
+    site = Site(spark, tmp_path)
+    found = batch.land_files
+
+    def without_pulls(*args, **options):
+        return batch.Landed(found(*args, **options).files, None, frozenset())
+
+    batch.land_files = without_pulls
+    try:
+        with pytest.raises(ValueError, match="pulls of Ord were not landed"):
+            site.load()
+    finally:
+        batch.land_files = found
+    assert site.marks() == (seconds(LAST), seconds(LAST))
+    assert site.load().action == batch.REBUILT
+
+
+@pytest.mark.parametrize("form", ["file://{}", "file:{}/", "{}//"])
+def test_a_root_spelled_in_another_way(spark, tmp_path, form):
+    site = Site(spark, tmp_path, query=False, source_bucket=form.format(tmp_path / "source"))
+    put(site.source, "src/de/src_de_acc/a/f1.parquet", LAST + SECOND, {"id": [1]})
+    assert site.load().action == batch.REBUILT
+    assert site.tables() == {"acc": 1}
+
+
+def test_loose_files_and_views_in_the_landing_zone(spark, tmp_path):
+    site = Site(spark, tmp_path, query=False)
+    put(site.source, "src/de/src_de_Acc/a/f1.parquet", LAST + SECOND, {"id": [1, 2]})
+    put(site.source, "src/de/src_de_acc/a/f2.parquet", LAST + SECOND, {"id": [3]})
+    put(site.landing, f"src/de/{LOAD_ID}/acc.parquet", LAST + SECOND, {"id": [9]})
+    put(site.landing, f"src/de/{LOAD_ID}/manifest.json", LAST + SECOND)
+    spark.sql(f"create database {site.database}")
+    spark.sql(f"create view {site.database}.old as select 1 x")
+    outcome = site.load()
+    assert site.tables() == {"acc": 3}
+    assert values(outcome.report, "entity", "row_count") == [("acc", 3)]
+
+
+def test_job_id_in_the_records(spark, tmp_path):
+    site = Site(spark, tmp_path, query=False)
+    put(site.source, "src/de/src_de_acc/a/f1.parquet", LAST + SECOND, {"id": [1]})
+    params = LoadParams("src", "de", "eu", LOAD_ID, job_name="landing")
+    with pytest.raises(ValueError, match="no job landing of src_eu"):
+        batch.land_batch(spark, params, site.store)
+    site.store.append_rows(
+        "job_config",
+        [{"process_id": "src_eu", "job_id": f"j{n}", "job_name": "landing", "seq": n} for n in (1, 2)],
+    )
+    batch.land_batch(spark, params, site.store)
+    assert {row.job_id for row in site.store.read("run_details").collect()} == {"j2"}
+    status = site.store.read("process_log").where("job_run_status = 'success'")
+    assert [row.job_id for row in status.collect()] == ["j2"]

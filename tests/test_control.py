@@ -157,3 +157,19 @@ def test_run_details(spark):
     row = store.read("run_details").first()
     assert (row.entity, row.row_count, row.error_count, row.status) == ("ord", 5, 0, "success")
     assert row.start_time is not None and row.end_time is not None
+
+
+def test_appends_at_the_same_time(spark, tmp_path):
+    """Every row of 16 writers is there once, and no append fails."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+
+    def write(writer):
+        for n in range(6):
+            runs.append_status(store, LoadParams("src", "de", "eu", f"{writer}-{n}"), "success")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(write, range(16)))
+    found = sorted(row.load_id for row in store.read("process_log").collect())
+    assert found == sorted(f"{writer}-{n}" for writer in range(16) for n in range(6))

@@ -141,8 +141,11 @@ def test_templates(spark):
 def test_key_of_a_file(spark):
     found = paths.key_under("/r/src", F.col("u"))
     assert one(spark, found, u="file:/r/src/a%20b+c/x%5B1%5D.parquet") == "a b+c/x[1].parquet"
-    found = paths.key_under("s3a://b/src/", F.col("u"))
+    found = paths.key_under("/src/", F.col("u"))
     assert one(spark, found, u="s3a://b/src/src/f") == "src/f"
+    assert one(spark, found, u="file:///src/f") == "f"
+    with pytest.raises(Exception, match="is not below /src/"):
+        one(spark, found, u="s3a://b/other/src/f")
 
 
 def test_all_string(spark):

@@ -1,13 +1,12 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
-from quayside.functions import paths
+from quayside.functions import paths, schemas
 from quayside.operators import profile, selection
 from quayside.sources import catalog, files, landing
 from quayside.sources.relations import relation, written
-from tools import CURRENT, HOUR, LANDING, LAST, LOAD_ID, SECOND, TEMPLATE, WINDOW, put, values
+from tools import CURRENT, HOUR, LANDING, LAST, LOAD_ID, SECOND, TEMPLATE, WINDOW, put, touch, values
 
 
 def plan_of(spark, root, prefix="src/de/", pulled=()):
@@ -19,90 +18,93 @@ def plan_of(spark, root, prefix="src/de/", pulled=()):
         files.listing(spark, str(root), prefix), WINDOW, folders, LOAD_ID
     )
     targeted = selection.with_target(found, rule, LANDING, "src", "de", LOAD_ID)
-    return written(selection.landing_plan(targeted), "plan")
+    return written(selection.landing_plan(targeted), "plan", by=("entity",))
 
 
-def fill(root, count=6):
-    """Files in the window, around them others that are not."""
-    for n in range(count):
+def land(spark, plan, root, target, limit):
+    (item,) = landing.entity_summary(plan)
+    landing.write_entity(plan, item.entity, str(root), str(target), limit)
+    return spark.read.parquet(str(target))
+
+
+EVERY_SIZE = pytest.mark.parametrize("limit", [1, 2, 20_000])
+
+
+@EVERY_SIZE
+def test_exactly_the_planned_files_land(spark, tmp_path, limit):
+    """In folders with old, late, nested and overwritten files, rejected keys,
+    markers and odd names; twice, since a retry replaces what it finds."""
+    root = tmp_path / "s"
+    for n in range(4):
         put(root, f"src/de/src_de_acc/a b+c/f{n}.parquet", LAST + (n + 1) * SECOND, {"id": [n]})
     put(root, "src/de/src_de_acc/a b+c/early.parquet", LAST, {"id": [98]})
     put(root, "src/de/src_de_acc/a b+c/end[1].parquet", CURRENT, {"id": [50], "z": ["x"]})
     put(root, "src/de/src_de_acc/a b+c/late.parquet", CURRENT + SECOND, {"id": [99]})
     put(root, "src/de/src_de_acc/a b+c_$folder$", LAST + SECOND)
+    put(root, "src/de/src_de_acc/b/f0.parquet", LAST + SECOND, {"id": [70]})
+    put(root, "src/de/src_de_acc/b/odd$", LAST + SECOND, {"id": [71]})
+    put(root, f"src/de/src_de_acc/{LOAD_ID}/p.parquet", CURRENT + HOUR, {"id": [80]})
+    put(root, f"src/de/src_de_acc/{LOAD_ID}/deeper/old.parquet", LAST, {"id": [81]})
+    put(root, "src/de/src_de_acc/20220116100000/earlier.parquet", LAST + HOUR, {"id": [82]})
+    plan = plan_of(spark, root, pulled=["ACC"])
+    for _ in range(2):
+        found = land(spark, plan, root, tmp_path / "t", limit)
+        assert values(found, "id", "z") == sorted(
+            [(n, None) for n in (1, 2, 3, 70, 71, 80)] + [(50, "x")], key=repr
+        )
 
 
-def land(spark, plan, root, target, limit, prefix="src/de/"):
-    (item,) = landing.entity_summary(plan)
-    landing.write_entity(
-        plan, item, str(root), prefix, WINDOW, str(target), names_limit=limit, paths_per_read=limit
-    )
-    return spark.read.parquet(str(target)), item
-
-
-@pytest.mark.parametrize("limit, by_folder", [(100, False), (5, True)])
-def test_by_name_and_by_folder_give_the_same(spark, tmp_path, limit, by_folder):
-    fill(tmp_path / "s")
-    plan = plan_of(spark, tmp_path / "s")
-    found, item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
-    assert item.by_folder("src/de/") and (item.lands > limit) is by_folder
-    assert values(found, "id", "z") == sorted(
-        [(n, None) for n in range(6)] + [(50, "x")], key=repr
-    )
-
-
-@pytest.mark.parametrize("limit", [100, 5, 2])
-def test_overwritten_targets_are_left_out(spark, tmp_path, limit):
-    fill(tmp_path / "s")
-    put(tmp_path / "s", "src/de/src_de_acc/b/f0.parquet", LAST + SECOND, {"id": [70]})
-    plan = plan_of(spark, tmp_path / "s")
-    found, item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
-    assert (item.excluded, item.named) == (1, True)
-    assert [row.id for row in found.orderBy("id").collect()] == [1, 2, 3, 4, 5, 50, 70]
+@EVERY_SIZE
+def test_types_that_change_over_time(spark, tmp_path, limit):
+    root = tmp_path / "s"
+    for n, query in enumerate([
+        "select 1 a, float(1.5) f, date'2022-01-01' d, struct(1 x) s, array(1) l, 1 only",
+        "select 2L a, double(2.5) f, timestamp_ntz'2022-01-02 03:00:00' d, struct(2L x, 'y' y) s, array(2L) l",
+        "select smallint(3) a, float(3.5) f, date'2022-01-03' d, struct(3 x) s, array(3) l",
+    ]):
+        spark.sql(query).coalesce(1).write.parquet(str(tmp_path / f"{n}"))
+        (part,) = (tmp_path / f"{n}").glob("part-*.parquet")
+        key = f"src/de/src_de_acc/a/f{n}.parquet"
+        (root / key).parent.mkdir(parents=True, exist_ok=True)
+        part.rename(root / key)
+        touch(root, key, LAST + (n + 1) * SECOND)
+    found = land(spark, plan_of(spark, root), root, tmp_path / "t", limit)
+    assert dict(found.dtypes) == {
+        "a": "bigint", "f": "double", "d": "timestamp_ntz", "s": "struct<x:bigint,y:string>",
+        "l": "array<bigint>", "only": "int",
+    }
+    rows = found.selectExpr("a", "f", "day(d) as d", "s.x", "s.y", "l[0] as l", "only")
+    assert values(rows) == [
+        (1, 1.5, 1, 1, None, 1, 1), (2, 2.5, 2, 2, "y", 2, None), (3, 3.5, 3, 3, None, 3, None),
+    ]
 
 
-@pytest.mark.parametrize("exclude_limit", [1, 100])
-def test_many_overwritten_targets(spark, tmp_path, monkeypatch, exclude_limit):
-    """A third of the files share one target: the last key wins, in every way
-    of reading."""
-    monkeypatch.setattr(landing, "EXCLUDED_PER_READ", exclude_limit)
+@EVERY_SIZE
+def test_types_that_have_nothing_in_common(spark, tmp_path, limit):
     root = tmp_path / "s"
-    for n in range(10):
-        put(root, f"src/de/src_de_acc/d{n}/same.parquet", LAST + SECOND, {"id": [n]})
-    for n in range(20):
-        put(root, f"src/de/src_de_acc/d{n}/own{n}.parquet", LAST + SECOND, {"id": [100 + n]})
-    plan = plan_of(spark, root)
-    found, item = land(spark, plan, root, tmp_path / "t", limit=4)
-    assert item.by_folder("src/de/") is (exclude_limit == 100)
-    assert sorted(row.id for row in found.collect()) == [9, *range(100, 120)]
+    put(root, "src/de/src_de_acc/a/f0.parquet", LAST + SECOND, {"id": [1]})
+    put(root, "src/de/src_de_acc/a/f1.parquet", LAST + 2 * SECOND, {"id": ["x"]})
+    message = "entity acc: column id is bigint and string in .*f0.parquet and .*f1.parquet"
+    with pytest.raises(ValueError, match=message):
+        land(spark, plan_of(spark, root), root, tmp_path / "t", limit)
 
 
-@pytest.mark.parametrize("limit", [2, 100])
-@pytest.mark.parametrize("extra", ["nothing", "changed file", "same name", "odd name"])
-def test_forced_files(spark, tmp_path, extra, limit):
-    """What this load pulled is read by its folder, if the entity gets nothing
-    else and nothing of that folder is overwritten."""
-    root = tmp_path / "s"
-    for n in range(4):
-        key = f"src/de/src_de_acc/{LOAD_ID}/p{n}.parquet"
-        put(root, key, CURRENT + HOUR, {"id": [str(n)]})
-    put(root, "src/de/src_de_acc/a/late.parquet", CURRENT + HOUR, {"id": ["x"]})
-    put(root, "src/de/src_de_acc/20220116100000/old.parquet", LAST + HOUR, {"id": ["y"]})
-    expected = ["0", "1", "2", "3"]
-    if extra == "changed file":
-        put(root, "src/de/src_de_acc/z/new.parquet", LAST + HOUR, {"id": ["z"]})
-        expected = [*expected, "z"]
-    elif extra == "same name":
-        put(root, "src/de/src_de_acc/z/p3.parquet", LAST + HOUR, {"id": ["z"]})
-        expected = [*expected[:3], "z"]
-    elif extra == "odd name":
-        put(root, f"src/de/src_de_acc/{LOAD_ID}/p$", CURRENT + HOUR, {"id": ["4"]})
-        expected = [*expected, "4"]
-    plan = plan_of(spark, root, pulled=["ACC"])
-    found, item = land(spark, plan, root, tmp_path / "t", limit)
-    assert not item.by_folder("src/de/")
-    assert (item.pull_folder is not None) is (extra == "nothing")
-    assert sorted(row.id for row in found.collect()) == expected
+def test_widened_types():
+    def wide(one, other):
+        kinds = [schemas.T.StructType.fromDDL(f"c {kind}") for kind in (one, other)]
+        back = schemas.widened(*kinds[::-1])
+        assert back == schemas.widened(*kinds)
+        return back[0].dataType.simpleString()
+
+    assert wide("tinyint", "smallint") == "smallint"
+    assert wide("int", "double") == "double"
+    assert wide("decimal(5,2)", "decimal(6,4)") == "decimal(7,4)"
+    assert wide("int", "decimal(5,2)") == "decimal(12,2)"
+    assert wide("map<string,int>", "map<string,bigint>") == "map<string,bigint>"
+    for one, other in (("bigint", "double"), ("string", "int"), ("decimal(38,0)", "decimal(38,2)"),
+                       ("array<int>", "int"), ("timestamp", "date")):
+        with pytest.raises(schemas.NotWidened, match="column c"):
+            wide(one, other)
 
 
 def test_prefix_inside_the_folder(spark, tmp_path):
@@ -112,39 +114,57 @@ def test_prefix_inside_the_folder(spark, tmp_path):
         for n in range(3):
             key = f"src/de/src_de_acc/{folder}/{folder}{n}.parquet"
             put(root, key, LAST + SECOND, {"id": [f"{folder}{n}"]})
-    plan = plan_of(spark, root, prefix)
-    found, item = land(spark, plan, root, tmp_path / "t", limit=1, prefix=prefix)
-    assert not item.by_folder(prefix)
+    found = land(spark, plan_of(spark, root, prefix), root, tmp_path / "t", 2)
     assert sorted(row.id for row in found.collect()) == ["a0", "a1", "a2"]
 
 
-def test_rewrite_replaces(spark, tmp_path):
-    fill(tmp_path / "s")
-    plan = plan_of(spark, tmp_path / "s")
-    for _ in range(2):
-        for limit in (100, 2):
-            found, _item = land(spark, plan, tmp_path / "s", tmp_path / "t", limit)
-            assert found.count() == 7
+def test_many_overwritten_targets(spark, tmp_path):
+    """A third of the files share one target: the last key wins."""
+    root = tmp_path / "s"
+    for n in range(10):
+        put(root, f"src/de/src_de_acc/d{n}/same.parquet", LAST + SECOND, {"id": [n]})
+    for n in range(20):
+        put(root, f"src/de/src_de_acc/d{n}/own{n}.parquet", LAST + SECOND, {"id": [100 + n]})
+    found = land(spark, plan_of(spark, root), root, tmp_path / "t", 7)
+    assert sorted(row.id for row in found.collect()) == [9, *range(100, 120)]
+
+
+def test_entity_names_that_differ_in_case(spark, tmp_path):
+    root = tmp_path / "s"
+    put(root, "src/de/src_de_Acc/a/f.parquet", LAST + SECOND, {"id": [1]})
+    put(root, "src/de/src_de_acc/a/f.parquet", LAST + SECOND, {"id": [2]})
+    put(root, "src/de/src_de_acc/a/g.parquet", LAST + SECOND, {"id": [3]})
+    found = land(spark, plan_of(spark, root), root, tmp_path / "t", 7)
+    assert sorted(row.id for row in found.collect()) == [2, 3]
+
+
+def test_the_root_may_be_spelled_in_any_way(spark, tmp_path):
+    put(tmp_path / "s", "src/de/src_de_acc/a/f0.parquet", LAST + SECOND, {"id": [1]})
+    spellings = [f"{tmp_path}/s", f"{tmp_path}/s/", f"file:{tmp_path}/s", f"file://{tmp_path}/s", f"{tmp_path}//s"]
+    for root in spellings:
+        assert values(files.listing(spark, root, "src/de/"), "path") == [("src/de/src_de_acc/a/f0.parquet",)]
 
 
 def test_profile_and_publish(spark, tmp_path):
     """Entities whose schemas clash, upper case, nested types, no rows."""
     root = tmp_path / "landed"
     spark.range(5).write.parquet(f"{root}/acc")
-    spark.sql("select 'a' id, 1L z").write.parquet(f"{root}/Ord")
-    spark.sql("select 'b' id, 2L z").write.parquet(f"{root}/ord")
+    spark.sql("select 'b' id, 2L z").write.parquet(f"{root}/Ord")
     spark.sql(
         "select '1' id, array('t') tags, map('k', 'v') attrs, "
         "cast(1.5 as decimal(18,2)) amount, timestamp'2022-01-01 00:00:00' at"
     ).write.parquet(f"{root}/doc")
     spark.range(0).write.parquet(f"{root}/none")
     (root / "empty").mkdir()
+    spark.range(9).coalesce(1).write.parquet(f"{tmp_path}/lone")
+    next((tmp_path / "lone").glob("part-*.parquet")).rename(root / "acc.parquet")
+    (root / "manifest.json").write_text("{}")
     assert values(profile.row_counts(spark, str(root)), "entity", "row_count") == [
-        ("acc", 5), ("doc", 1), ("none", 0), ("ord", 2),
+        ("acc", 5), ("doc", 1), ("none", 0), ("ord", 1),
     ]
     found = files.entities(files.children(files.listing(spark, str(root))))
     locations = {row.entity: f"{root}/{row.folder}" for row in found.collect()}
-    assert locations["ord"].endswith("/ord") and "empty" not in locations
+    assert locations["ord"].endswith("/Ord") and "empty" not in locations
     schemas = profile.schemas(spark, locations, merge_schema=True)
     columns = profile.columns(spark, schemas).where("entity = 'doc'").orderBy("position")
     assert [(row.name, row.type) for row in columns.collect()] == [
@@ -163,7 +183,6 @@ def test_profile_and_publish(spark, tmp_path):
     catalog.publish(spark, database, tables)
     assert sorted(catalog.tables(spark, database)) == ["acc", "doc", "none", "ord"]
     assert spark.table(f"{database}.acc").count() == 5
-    # The table of two folders that differ in case is the last in key order.
     assert values(spark.table(f"{database}.ord")) == [("b", 2)]
     catalog.publish(spark, database, [t for t in tables if t.entity == "doc"])
     assert catalog.tables(spark, database) == ["doc"]
@@ -183,16 +202,51 @@ def test_only_known_formats(spark, tmp_path):
         files.entity(spark, str(tmp_path), "csv")
 
 
-def test_odd_names_are_read_by_name(spark, tmp_path):
-    """The folder read skips names that end in ``$``; such a file is no marker."""
-    root = tmp_path / "s"
-    for name in ("a$", "b", "c"):
-        put(root, f"src/de/src_de_acc/x/{name}", LAST + SECOND, {"id": [name]})
-    plan = plan_of(spark, root)
-    found, item = land(spark, plan, root, tmp_path / "t", limit=1)
-    assert not item.by_folder("src/de/")
-    assert sorted(row.id for row in found.collect()) == ["a$", "b", "c"]
-    assert plan.where(F.col("lands")).count() == 3
+def test_publish_over_views_and_moved_tables(spark, tmp_path):
+    for n in range(3):
+        spark.range(n + 1).write.parquet(str(tmp_path / f"v{n}"))
+    schema = spark.read.parquet(str(tmp_path / "v0")).schema
+    database = f"db_{tmp_path.name}"
+
+    def publish(**entities):
+        catalog.publish(
+            spark, database,
+            [catalog.EntityTable(name, str(tmp_path / at), schema) for name, at in entities.items()],
+        )
+        return {name: spark.table(f"{database}.{name}").count() for name in catalog.tables(spark, database)}
+
+    assert publish(a="v0", b="v1") == {"a": 1, "b": 2}
+    made = spark.sql(f"describe table extended {database}.a").where("col_name = 'Created Time'").collect()
+    spark.sql(f"create view {database}.v as select 1 x")
+    spark.sql(f"drop table {database}.b")
+    spark.sql(f"create view {database}.b as select 1 x")
+    assert publish(a="v0", b="v2") == {"a": 1, "b": 3}
+    assert spark.sql(f"describe table extended {database}.a").where("col_name = 'Created Time'").collect() == made
+    assert publish(a="v1", b="v2") == {"a": 2, "b": 3}
+    spark.sql(f"create view {database}.v as select 1 x")
+    assert catalog.clear(spark, database) == ["a", "b", "v"]
+    spark.sql(f"create table {database}.own using parquet as select 1 x")
+    for refused in (lambda: publish(a="v0"), lambda: catalog.clear(spark, database)):
+        with pytest.raises(ValueError, match="own their data: own"):
+            refused()
+    assert spark.table(f"{database}.own").count() == 1
+    spark.sql(f"drop table {database}.own")
+
+
+@pytest.mark.parametrize("rows", [0, 5])
+def test_a_pull_scans_its_source_once(spark, tmp_path, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch.slice(0, rows)
+
+    source = spark.range(100).coalesce(1).mapInArrow(counted, "id bigint")
+    assert landing.write_pull(source, str(tmp_path / "p" / "q")) is (rows > 0)
+    assert seen.value == 100
+    assert [f.name for f in (tmp_path / "p").glob("*") if f.name != "q"] == []
+    assert (tmp_path / "p" / "q").exists() is (rows > 0)
 
 
 def test_a_pull_is_written_to_few_files(spark, tmp_path):

@@ -34,7 +34,7 @@ def test_rows_by_name_in_page_order(spark, tmp_path):
         page([{"tags": {"x": [1, 2]}, "name": True, "id": "3", "extra": 9}]),
     )
     found = pages.read(spark, folder, COLUMNS)
-    assert pages.check(found).row_count == 3
+    assert pages.summary(found).first().row_count == 3
     rows = pages.to_rows(found)
     assert rows.columns == COLUMNS
     one, two, three = values(rows)
@@ -57,15 +57,15 @@ def test_failed_page(spark, tmp_path, status):
         tmp_path / "pages", page([{"id": 1}]), page(None, status=status, errors="no session")
     )
     found = pages.read(spark, folder, COLUMNS)
-    assert pages.failed(found).count() == 1
-    with pytest.raises(RuntimeError, match="1 response page.*no session"):
-        pages.check(found)
+    assert pages.summary(found).first().failed_pages == 1
+    with pytest.raises(Exception, match="response page .* failed: no session"):
+        pages.to_rows(pages.checked(found)).collect()
 
 
 def test_broken_page_fails(spark, tmp_path):
     (tmp_path / "page.json").write_text('{"responseStatus": "SUCCESS", "data": [{')
     with pytest.raises(Exception, match="MALFORMED|Malformed|FAILED_READ"):
-        pages.check(pages.read(spark, str(tmp_path), COLUMNS))
+        pages.to_rows(pages.checked(pages.read(spark, str(tmp_path), COLUMNS))).collect()
 
 
 def test_empty_pull_keeps_the_old_one(spark, tmp_path):
@@ -73,6 +73,6 @@ def test_empty_pull_keeps_the_old_one(spark, tmp_path):
     full = pages.read(spark, write(tmp_path / "full", page([{"id": 1}])), COLUMNS)
     empty = pages.read(spark, write(tmp_path / "empty", page([])), COLUMNS)
     assert landing.write_pull(all_string(pages.to_rows(full), COLUMNS), target)
-    assert pages.check(empty).row_count == 0
+    assert pages.summary(empty).first().row_count == 0
     assert not landing.write_pull(all_string(pages.to_rows(empty), COLUMNS), target)
     assert values(spark.read.parquet(target)) == [("1", None, None)]

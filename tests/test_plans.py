@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.plans import acceptance
-from quayside.sources import files, pull
-from tools import LAST, SECOND, WINDOW, files_read, plan_text, put, values
+from quayside.sources import pull
+from tools import plan_text, values
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -69,8 +69,6 @@ def test_no_shuffle(spark, name):
 
 @pytest.mark.parametrize("query", acceptance.QUERIES, ids=lambda query: query.__name__)
 def test_no_row_python_no_cross_join(spark, query):
-    if query.__name__ in ("land_batch", "landed_entities"):
-        pytest.skip("covered by its own tests; writes a whole landing zone")
     text = plan_text(query(spark, SF_DIR))
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
                 "NestedLoopJoin", "Window", "ExistingRDD"):
@@ -122,12 +120,3 @@ def test_hot_entity_with_own_watermark(spark):
         if 1_700_000_000 + len(row.e) * 1000 <= row.s <= 1_700_008_000
     ]
     assert sorted(row.id for row in found.collect()) == sorted(expected)
-
-
-def test_folder_read_opens_only_changed_files(spark, tmp_path):
-    for n in range(10):
-        put(tmp_path, f"e/f{n}.parquet", LAST + (n - 4) * SECOND, {"id": [n]})
-    rows = files.entity_window(spark, str(tmp_path / "e"), WINDOW)
-    assert sorted(row.id for row in rows.collect()) == [5, 6, 7, 8, 9]
-    assert files_read(rows) == 5
-    assert "Filter (" not in plan_text(rows)
