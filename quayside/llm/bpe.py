@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -33,13 +33,17 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 #: `` ?\p{L}+| ?\p{N}+|...|\s+(?!\S)|\s+`` divide them: no match goes on past one.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: A worker forgets its chunks once it knows more than so many.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Pieces of up to so many bytes are merged together, longer ones alone.
 TOGETHER = 64
-#: Texts of so many characters are encoded at once.
-AT_ONCE = 8_000_000
+#: Texts of about so many characters are encoded at once, and divided at once.
+AT_ONCE, PART = 4_000_000, 2_000_000
 WORD_BITS = 9
 LOW = (1 << WORD_BITS) - 1
+#: White space of more than one byte in UTF-8.
+ODD_SPACE = re.compile(f"[{SPACE}]".replace(r"\t-\r ", ""))
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -147,8 +151,8 @@ def merge_all(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
     ends = np.cumsum(lengths)
     n = int(ends[-1])
     token = np.append(pairs.bytes[np.frombuffer(b"".join(pieces), dtype=np.uint8)], -1)
-    owner = np.repeat(np.arange(len(pieces)), lengths)
-    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     after[ends - 1] = before[ends - lengths] = n  # n: no such place
     alive = np.ones(n, dtype=bool)
     pair = np.append(pairs.rank(token[:n], token[after[:n]]), -1)
@@ -202,6 +206,81 @@ def merge_all(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
     return [packed[a:b] for a, b in zip([0, *stops], stops)]
 
 
+def chunk_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the chunks in a buffer, and the text of each.
+
+    Divides as ``CHUNK`` does. Every text stands between bytes of 255, which are
+    in no text.
+    """
+    space, edge = _SPACES[data], data == 255
+    word = ~(space | edge)
+    begins = edge.copy()
+    head = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+    begins[np.where(data[head - 1] == 32, head - 1, head)] = True
+    run = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    stop = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    final = edge[stop]
+    begins[run[final | (stop - run > 1)]] = True
+    begins[(stop - 1)[~final & (data[stop - 1] != 32)]] = True
+    bounds = np.flatnonzero(begins)
+    inner = ~edge[bounds]
+    ends = np.append(bounds[1:], len(data))[inner]
+    return bounds[inner], ends, (np.cumsum(edge[bounds]) - 1)[inner]
+
+
+def same_chunks(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk the number of its class of equal chunks, and for each class
+    the number of a chunk of it.
+
+    Chunks of up to 16 bytes are compared by their first and last eight; longer
+    ones, and any that share a hash without being equal, are classes of their own.
+    ``buffer`` goes on for eight bytes past the last chunk.
+    """
+    eights = np.ndarray((len(buffer) - 7,), dtype="<u8", buffer=buffer, strides=(1,))
+    sizes = ends - starts
+    short = np.flatnonzero(sizes <= 16)
+    n, first = sizes[short], starts[short]
+    head = eights[first] & _HEADS[np.minimum(n, 8)]
+    tail = np.where(n > 8, eights[np.maximum(ends[short] - 8, 0)], np.uint64(0))
+    hashed = (head * np.uint64(0x9E3779B97F4A7C15)) ^ (tail * np.uint64(0xC2B2AE3D27D4EB4F)) ^ n.astype(np.uint64)
+    hashed ^= hashed >> np.uint64(29)
+    _, one, of = np.unique(hashed, return_index=True, return_inverse=True)
+    equal = (head == head[one][of]) & (tail == tail[one][of]) & (n == n[one][of])
+    which = np.empty(len(starts), dtype=np.int64)
+    which[short] = of
+    alone = np.concatenate((np.flatnonzero(sizes > 16), short[~equal]))
+    which[alone] = len(one) + np.arange(len(alone))
+    return which, np.concatenate((short[one], alone))
+
+
+def in_parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in turn, some ``PART`` characters together."""
+    held, chars = [], 0
+    for text in texts:
+        held.append(text)
+        chars += len(text)
+        if chars >= PART:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
+def divided(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, int]:
+    """Different chunks of some texts; of every chunk in order which of them it is
+    and its text; and the number of texts."""
+    if any(map(ODD_SPACE.search, texts)):
+        found = [CHUNK.findall(text) for text in texts]
+        classes: dict[str, int] = {}
+        which = np.array([classes.setdefault(c, len(classes)) for chunks in found for c in chunks], dtype=np.int64)
+        of = np.repeat(np.arange(len(texts)), [len(chunks) for chunks in found])
+        return [chunk.encode() for chunk in classes], which, of, len(texts)
+    buffer = b"\xff" + b"".join(text.encode() + b"\xff" for text in texts) + bytes(8)
+    starts, ends, of = chunk_bounds(np.frombuffer(buffer, dtype=np.uint8)[:-8])
+    which, first = same_chunks(buffer, starts, ends)
+    return [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], which, of, len(texts)
+
+
 class Encoder:
     """Encodes batches of texts; remembers the ids of words it has met."""
 
@@ -214,32 +293,55 @@ class Encoder:
         self.tokens = [b""] * self.pairs.size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.known: dict[str, bytes] = {}
+        self.packed = [np.int32(rank).tobytes() for rank in range(self.pairs.size)]
+        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, chunks: Iterable[str]) -> None:
+    def learn(self, chunks: Iterable[bytes]) -> None:
         """Remember the packed ids of ``chunks``."""
-        cut = {chunk: [piece.encode() for piece in self.pieces(chunk)] for chunk in chunks}
+        chunks, cuts, flat = list(chunks), [0], []
+        for chunk in chunks:
+            text = chunk.decode()
+            if (text[1:] if text[0] == " " else text).isalpha():  # one run of letters
+                flat.append(chunk)
+            else:
+                flat += [piece.encode() for piece in self.pieces(text)]
+            cuts.append(len(flat))
         ids, short = {}, []
-        for piece in {piece for pieces in cut.values() for piece in pieces}:
-            if piece in self.ranks:
-                ids[piece] = np.int32(self.ranks[piece]).tobytes()
+        for piece in set(flat):
+            rank = self.ranks.get(piece)
+            if rank is not None:
+                ids[piece] = self.packed[rank]
             elif len(piece) <= TOGETHER:
                 short.append(piece)
             else:
                 ids[piece] = np.array(merge(piece, self.ranks), dtype=np.int32).tobytes()
         if short:
             ids.update(zip(short, merge_all(short, self.pairs)))
-        for chunk, pieces in cut.items():
-            self.known[chunk] = b"".join(map(ids.__getitem__, pieces))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as packed 32-bit integers."""
-        chunks = [CHUNK.findall(text) for text in texts]
-        self.learn(set().union(*chunks).difference(self.known))
-        packed = [b"".join(map(self.known.__getitem__, found)) for found in chunks]
+        packed = list(map(ids.__getitem__, flat))
+        for chunk, a, b in zip(chunks, cuts, cuts[1:]):
+            self.known[chunk] = packed[a] if b == a + 1 else b"".join(packed[a:b])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text.
+
+        Each chunk of a part of the texts is looked up once, and what no part has
+        met before is merged together.
+        """
+        parts = [divided(part) for part in in_parts(texts)]
+        self.learn(dict.fromkeys(chunk for part in parts for chunk in part[0] if chunk not in self.known))
+        found = []
+        for chunks, which, of, size in parts:
+            packed = list(map(self.known.__getitem__, chunks))
+            sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+            ids, at = np.frombuffer(b"".join(packed), dtype=np.int32), np.cumsum(sizes) - sizes
+            counts = sizes[which]
+            total = np.cumsum(counts)
+            source = np.repeat(at[which] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)
+            stops = np.cumsum(np.bincount(of, weights=counts, minlength=size).astype(np.int64))
+            found += np.split(ids[source], stops[:-1])
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        return packed
+        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -257,17 +359,17 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         known = encoder(path, pattern)
-        packed, held, chars = [], [], 0
+        found, held, chars = [], [], 0
         for text in texts:
             held.append(text.as_py() or "")
             chars += len(held[-1])
             if chars >= AT_ONCE:
-                packed += known.encode(held)
+                found += known.encode(held)
                 held, chars = [], 0
-        packed += known.encode(held)
-        ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        found += known.encode(held)
+        ends = np.cumsum([0, *map(len, found)])
+        values = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
     return ids(text)
 
@@ -278,6 +380,8 @@ def decode(ids: Column | str, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decoded(rows: pa.Array) -> pa.Array:
         known = encoder(path, pattern)
-        return pa.array([known.decode(r.as_py() or ()) for r in rows], pa.binary())
+        flat = rows.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+        return pa.array([known.decode(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
 
     return decoded(ids)
