@@ -353,23 +353,30 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def encoded(texts: pa.Array, known: Encoder) -> Iterator[np.ndarray]:
+    """Ids of each text in turn, of some ``AT_ONCE`` characters together."""
+    held, chars = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        chars += len(held[-1])
+        if chars >= AT_ONCE:
+            yield from known.encode(held)
+            held, chars = [], 0
+    yield from known.encode(held)
+
+
+def lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    values = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def encode(text: Column | str, path: str, pattern: str) -> Column:
     """``array<int>`` of ids; ``path`` must be there on every worker."""
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        known = encoder(path, pattern)
-        found, held, chars = [], [], 0
-        for text in texts:
-            held.append(text.as_py() or "")
-            chars += len(held[-1])
-            if chars >= AT_ONCE:
-                found += known.encode(held)
-                held, chars = [], 0
-        found += known.encode(held)
-        ends = np.cumsum([0, *map(len, found)])
-        values = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        return lists(list(encoded(texts, encoder(path, pattern))))
 
     return ids(text)
 
@@ -380,8 +387,24 @@ def decode(ids: Column | str, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decoded(rows: pa.Array) -> pa.Array:
         known = encoder(path, pattern)
-        flat = rows.flatten().to_numpy(zero_copy_only=False).tolist()
-        ends = np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-        return pa.array([known.decode(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
+        return pa.array([known.decode(row.as_py() or ()) for row in rows], pa.binary())
 
     return decoded(ids)
+
+
+def round_trip(text: Column | str, path: str, pattern: str) -> Column:
+    """``struct<ids: array<int>, decoded: binary>``: ids, and the bytes they stand for.
+
+    As ``decode`` of ``encode``, which next to ``encode`` itself would encode twice.
+    """
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        known = encoder(path, pattern)
+        found, back = [], []
+        for ids in encoded(texts, known):
+            found.append(ids)
+            back.append(known.decode(ids.tolist()))
+        return pa.StructArray.from_arrays([lists(found), pa.array(back, pa.binary())], names=["ids", "decoded"])
+
+    return both(text)

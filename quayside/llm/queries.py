@@ -21,10 +21,9 @@ BPE = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = documents(spark, sf_dir).select("doc_id", bpe.encode("text", *BPE).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode("ids", *BPE))
+    coded = documents(spark, sf_dir).select("doc_id", bpe.round_trip("text", *BPE).alias("both")).select("doc_id", "both.*")
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),

@@ -78,7 +78,9 @@ def test_columns_keep_rows_and_nulls(spark):
     docs = spark.createDataFrame(rows, "doc_id int, text string, ids int")
     out = docs.select("doc_id", "ids", "text", bpe.encode("text", PATH, public_tokenizers.PATTERN).alias("found"))
     out = out.withColumn("back", bpe.decode("found", PATH, public_tokenizers.PATTERN))
+    both = docs.select(bpe.round_trip("text", PATH, public_tokenizers.PATTERN).alias("b"))
     found = out.collect()
+    assert [(r.b.ids, r.b.decoded) for r in both.collect()] == [(r.found, r.back) for r in found]
     assert sorted((r.doc_id or 0, r.ids, bytes(r.back).decode()) for r in found) == sorted(
         (a or 0, c, b or "") for a, b, c in rows
     )
