@@ -46,14 +46,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
     on_workers(spark)
-    ids = docs.select("doc_id", "lang", "source", bpe.encode("text", *BPE).alias("ids"))
-    return ids.select(
+    both = docs.select("doc_id", "lang", "source", bpe.round_trip("text", *BPE).alias("both"))
+    return both.select("doc_id", "lang", "source", "both.*").select(
         "doc_id",
         "lang",
         "source",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.decode("ids", *BPE), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
