@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import math
+import re
+
+import pytest
+
+from quayside.llm import mixing
+
+DOCS = "doc_id bigint, text string, source string, size int, key string"
+
+
+def filled(sizes, weights=(5, 2, 1), cap=3.0):
+    """Targets by resharing the excess until none is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    full, left, open_ = {}, float(sum(sizes.values())), set(names)
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        over = {n for n in open_ if level * weight[n] >= cap * sizes[n]}
+        if not over:
+            return full | {n: level * weight[n] for n in open_}
+        for n in over:
+            full[n] = cap * sizes[n]
+            left -= full[n]
+        open_ -= over
+    return full
+
+
+def rows_of(spark, docs):
+    sizes = mixing.sized(docs.drop("size", "key")).select("doc_id", "source", "key", "size").cache()
+    return mixing.mixed(sizes, mixing.plan(sizes)).collect()
+
+
+def test_targets_and_copies(spark):
+    """A source with a third of all rows, small ones that fill up, a null one."""
+    rows = []
+    for n in range(900):
+        source = "hot" if n % 3 == 0 else None if n % 50 == 1 else f"s{n % 7}" if n % 11 else "zz"
+        rows.append((n, "w\t" * (1 + n * 37 % 61), source, 1, "x"))
+    rows += [(900, None, "a", 1, "x"), (901, "", "a", 1, "x"), (902, "one  two\n", "a", 1, "x"), (902, "one  two\n", "a", 1, "x")]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = rows_of(spark, docs)
+    sizes, taken, longest = {}, {}, {}
+    for r in found:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.size * r.copies
+        longest[r.source] = max(longest.get(r.source, 0), r.size)
+        assert 0 <= r.copies <= 3
+    texts = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows}
+    assert all(texts[r.doc_id] == r.size for r in found) and len(found) == len(rows)
+    expected = filled(sizes)
+    for r in found:
+        assert r.target == pytest.approx(expected[r.source]) and r.source_size == sizes[r.source]
+    for source, words in taken.items():
+        assert abs(words - expected[source]) <= max(2, longest[source]), source
+    assert taken["a"] == 3 * sizes["a"]  # filled to the cap
+    again = {(r.doc_id, r.copies) for r in rows_of(spark, docs.repartition(7))}
+    assert again == {(r.doc_id, r.copies) for r in found}
+
+
+def test_rates_are_those_of_the_dual(spark):
+    """Every rate is min(cap, exp(lam x)) with one lam a source, and they sum up."""
+    docs = spark.createDataFrame([(n, "w " * (1 + n % 17), "ab"[n % 4 > 0], 1, "x") for n in range(400)], DOCS)
+    by_source = {}
+    for r in rows_of(spark, docs):
+        by_source.setdefault(r.source, []).append(r)
+    for rows in by_source.values():
+        assert sum(r.rate * r.size for r in rows) == pytest.approx(rows[0].target, rel=1e-6)
+        inner = [math.log(r.rate) / r.size for r in rows if r.rate < 3]
+        assert max(inner) == pytest.approx(min(inner), rel=1e-6)
+
+
+@pytest.mark.xfail(reason="open: a text without words gets rate 3, not 1, in a source filled to its cap")
+def test_copied_rows_are_whole(spark):
+    docs = spark.createDataFrame([(n, "w " * 9, "s", n, "k") for n in range(50)] + [(99, None, None, None, None)], DOCS)
+    found = mixing.copied(docs)
+    assert found.columns == docs.columns
+    counts = {}
+    for r in found.collect():
+        assert (r.size, r.key) in ((r.doc_id, "k"), (None, None))
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
+    assert counts[99] == 1 and sum(n for d, n in counts.items() if d != 99) == 50
+    assert mixing.copied(docs.where("false")).count() == 0
