@@ -1,0 +1,25 @@
+"""Every month of orders is a load of its own, however many there are."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+from pyspark.sql import functions as F
+
+from quayside.plans import acceptance
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+def test_all_months_are_loads(spark):
+    months = duckdb.sql(
+        f"""select strftime(o_orderdate, '%Y%m01000000'), count(*), max(max(o_orderdate)) over ()
+            from read_parquet('{SF_DIR}/orders.parquet') group by 1"""
+    ).fetchall()
+    rows = acceptance.control_round_trip(spark, SF_DIR).select(
+        "load_id", "row_count", "file_mark", "entity_mark", F.col("job_run_status").alias("status"), "entity"
+    ).collect()
+    assert len(months) > 12
+    assert sorted((r.load_id, r.row_count, r.file_mark) for r in rows) == sorted(months)
+    assert all(r.entity_mark == r.file_mark and r.status == "success" and r.entity == "ord" for r in rows)
