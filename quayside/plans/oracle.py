@@ -204,7 +204,7 @@ SQL = {
     "control_round_trip": """
         with m as (select strftime(o_orderdate, '%Y%m01000000') as load_id, count(*) as row_count,
                           max(o_orderdate) as last
-                   from orders group by 1 order by 1 limit 12)
+                   from orders group by 1)
         select load_id, 'success' as job_run_status, 'ord' as entity, row_count,
                (select max(last) from m) as file_mark, (select max(last) from m) as entity_mark
         from m""",
