@@ -17,15 +17,18 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as in Unicode's White_Space, which tokenizer patterns mean by \s.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -38,6 +41,8 @@ REMEMBERED = 100_000
 TOGETHER = 64
 #: Texts of about so many characters are encoded at once, and divided at once.
 AT_ONCE, PART = 4_000_000, 2_000_000
+#: Rows leave ``tokenized`` after so many characters, so that a task holds few ids.
+STREAMED = 500_000
 WORD_BITS = 9
 LOW = (1 << WORD_BITS) - 1
 #: White space of more than one byte in UTF-8.
@@ -408,3 +413,41 @@ def round_trip(text: Column | str, path: str, pattern: str) -> Column:
         return pa.StructArray.from_arrays([lists(found), pa.array(back, pa.binary())], names=["ids", "decoded"])
 
     return both(text)
+
+
+def slices(texts: pa.Array, chars: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of some ``chars`` bytes together, or of one longer text."""
+    begin, held = 0, 0
+    for at, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if begin < at and held + (size or 0) > chars:
+            yield begin, at
+            begin, held = at, 0
+        held += size or 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def tokenized(docs: DataFrame, path: str, pattern: str, keep: Sequence[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of every row with ``ids``, ``n_tokens``, and ``decoded_sha256``,
+    the digest of the bytes that the ids decode to.
+
+    Rows go in and out in small parts: neither the ids nor the decoded bytes of a
+    whole Arrow batch are held. ``text`` may be among ``keep``.
+    """
+    rows = docs.select(*[F.col(name) for name in keep], F.col(text).alias("_text"))
+    more = T.StructType.fromDDL("ids array<int>, n_tokens bigint, decoded_sha256 string")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = encoder(path, pattern)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for a, b in slices(texts, STREAMED):
+                ids = known.encode([t or "" for t in texts[a:b].to_pylist()])
+                digests = [sha256(known.decode(i.tolist())).hexdigest() for i in ids]
+                kept = [column.slice(a, b - a) for column in batch.columns[:-1]]
+                counts = pa.array(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, lists(ids), counts, pa.array(digests, pa.string())], names=[*keep, *more.names]
+                )
+
+    return rows.mapInArrow(coded, T.StructType([*rows.schema.fields[:-1], *more.fields]))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -95,3 +96,25 @@ def test_words_are_forgotten_in_time(library, monkeypatch):
     for text in texts:
         assert ids(encoder, [text, text]) == [library.encode_ordinary(text)] * 2
         assert len(encoder.known) <= 10
+
+
+def test_streamed_rows_are_whole(spark, encoder, monkeypatch):
+    texts = ["the cat", None, "", "x " * 300_000, "the cat", "é" * 1_000] * 3
+    schema = "doc_id int, text string, ids string, lang string"
+    docs = spark.createDataFrame([(i or None, t, "own", None) for i, t in enumerate(texts)], schema).coalesce(1)
+    out = bpe.tokenized(docs.drop("ids"), PATH, public_tokenizers.PATTERN, ["doc_id", "lang", "text"])
+    assert out.columns == ["doc_id", "lang", "text", "ids", "n_tokens", "decoded_sha256"]
+    found = out.collect()
+    assert [(r.doc_id, r.lang, r.text) for r in found] == [(i or None, None, t) for i, t in enumerate(texts)]
+    for r, expected in zip(found, ids(encoder, [t or "" for t in texts])):
+        assert r.ids == expected and r.n_tokens == len(expected)
+        assert r.decoded_sha256 == sha256((r.text or "").encode()).hexdigest()
+    assert out.where("false").count() == 0
+
+
+def test_slices_cover_all_texts():
+    import pyarrow as pa
+
+    texts = pa.array(["aaaa", None, "", "bbbbbbbbbbbb", "cc", "dd", "ee"])
+    assert list(bpe.slices(texts, 5)) == [(0, 3), (3, 4), (4, 6), (6, 7)]
+    assert list(bpe.slices(pa.array([], pa.string()), 5)) == []
