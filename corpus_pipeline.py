@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.llm import bpe, exact_dedup, mixing, qda, simhash
 from quayside.llm.spread import on_workers
@@ -46,15 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
     on_workers(spark)
-    both = docs.select("doc_id", "lang", "source", bpe.round_trip("text", *BPE).alias("both"))
-    return both.select("doc_id", "lang", "source", "both.*").select(
-        "doc_id",
-        "lang",
-        "source",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.tokenized(docs, *BPE, keep=["doc_id", "lang", "source"])
 
 
 STAGES = [
