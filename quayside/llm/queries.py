@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, mixing, order_minhash, qda, simhash, site_style, token_counts, warc
+from quayside.llm import bpe, exact_dedup, langid, merkle, mixing, order_minhash, qda, simhash, site_style, token_counts, warc, whitening
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import shared_folder, written
 
@@ -117,7 +118,43 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_section(documents(spark, sf_dir), *BPE)
 
 
-QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text, op10_token_counts)
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.by_component(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    # A deviation beyond a long is null there and exact beside it.
+    return found.withColumnRenamed("deviation", "deviation_exact").select(
+        "vec_id",
+        "component",
+        "n",
+        F.col("deviation_exact").try_cast("bigint").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+        "deviation_exact",
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    rows = documents(spark, sf_dir).select(
+        "doc_id",
+        "source",
+        merkle.record_digest([*fields, "text"]).alias("digest"),
+        F.when(chosen, merkle.record_digest([*fields, lowered])).alias("altered"),
+    )
+    found = merkle.manifest(rows, "source", "doc_id", "digest", ["doc_id", "altered"])
+    return found.select(
+        "doc_id",
+        merkle.hexadecimal("leaf").alias("leaf"),
+        merkle.hexadecimal("subroot").alias("subroot"),
+        merkle.hexadecimal("root").alias("root"),
+        merkle.proof_digest().alias("proof_sha256"),
+        merkle.folded(F.coalesce("altered", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text, op10_token_counts, op11_embedding_whitening, op12_merkle_manifest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -132,7 +169,65 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    def field(name: str) -> str:
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({name}::VARCHAR) || ':' || {name}::VARCHAR END"
+
+    record = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
     return {
+        "op12_merkle_manifest": f"""
+            WITH RECURSIVE d AS (
+                SELECT *, translate(text, '{ascii_uppercase}', '{ascii_lowercase}') AS lowered,
+                    list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                            lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+                FROM documents),
+            l AS (
+                SELECT doc_id, source, sha256({record} || {field("text")}) AS leaf,
+                    CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256({record} || {field("lowered")}) END AS altered
+                FROM d),
+            n AS (
+                SELECT *, row_number() OVER () AS id, count(*) OVER (PARTITION BY source) AS size,
+                    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+                FROM l),
+            up AS (
+                SELECT source, 0 AS lvl, place, size, leaf AS digest FROM n
+                UNION ALL
+                SELECT source, lvl + 1, place >> 4, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+                FROM up WHERE size > 1 GROUP BY source, lvl, place >> 4, size),
+            s AS (
+                SELECT source, digest AS subroot, count(*) OVER () AS size,
+                    row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+                FROM up WHERE size = 1),
+            top AS (
+                SELECT 0 AS lvl, place, size, subroot AS digest FROM s
+                UNION ALL
+                SELECT lvl + 1, place >> 4, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+                FROM top WHERE size > 1 GROUP BY lvl, place >> 4, size),
+            runs AS (
+                SELECT n.id, u.lvl, u.place, u.digest, n.place >> (4 * u.lvl) AS own
+                FROM n JOIN up u ON u.source IS NOT DISTINCT FROM n.source AND u.size > 1
+                    AND u.place >> 4 = n.place >> (4 * u.lvl + 4)
+                UNION ALL
+                SELECT n.id, 1000 + t.lvl, t.place, t.digest, s.place >> (4 * t.lvl)
+                FROM n JOIN s ON s.source IS NOT DISTINCT FROM n.source
+                    JOIN top t ON t.size > 1 AND t.place >> 4 = s.place >> (4 * t.lvl + 4)),
+            steps AS (
+                SELECT id, row_number() OVER (PARTITION BY id ORDER BY lvl) AS step,
+                    coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < own), '') AS before,
+                    coalesce(string_agg(digest, '' ORDER BY place) FILTER (place > own), '') AS after
+                FROM runs GROUP BY id, lvl),
+            fold AS (
+                SELECT id, 0 AS step, coalesce(altered, leaf) AS digest FROM n
+                UNION ALL
+                SELECT id, steps.step, sha256(before || digest || after)
+                FROM fold JOIN steps USING (id) WHERE steps.step = fold.step + 1),
+            folded AS (SELECT id, arg_max(digest, step) AS folded_root FROM fold GROUP BY id),
+            proofs AS (SELECT id, string_agg(before || after, '' ORDER BY step) AS others FROM steps GROUP BY id),
+            r AS (SELECT digest AS root FROM top WHERE size = 1)
+            SELECT doc_id, leaf, subroot, root, sha256(coalesce(others, '')) AS proof_sha256, folded_root,
+                folded_root = root AS verified
+            FROM n JOIN s ON s.source IS NOT DISTINCT FROM n.source JOIN folded USING (id)
+                LEFT JOIN proofs USING (id), r""",
         "op7_warc_index": """
             WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
             d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
