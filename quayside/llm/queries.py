@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, exact_dedup, langid, merkle, mixing, order_minhash, qda, simhash, site_style, token_counts, warc, whitening
+from quayside.llm import bpe, exact_dedup, langid, merkle, mixing, order_minhash, qda, secret_scan, simhash, site_style, token_counts, warc, whitening
 from quayside.llm.spread import learnt_from, on_workers
 from quayside.sources.relations import shared_folder, written
 
@@ -154,7 +154,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text, op10_token_counts, op11_embedding_whitening, op12_merkle_manifest)
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    base = [rule.kind for rule in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *[secret_scan.count("spans", kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed("spans").alias("spans"),
+    )
+
+
+QUERIES = (op1_byte_bpe, op2_order_minhash, op3_quality_discriminant, op4_exact_dedup, op5_source_mix, op6_simhash_components, op7_warc_index, op8_language, op9_main_text, op10_token_counts, op11_embedding_whitening, op12_merkle_manifest, op13_secret_scan)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -172,8 +183,30 @@ def oracle_sql() -> dict[str, str]:
     def field(name: str) -> str:
         return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({name}::VARCHAR) || ':' || {name}::VARCHAR END"
 
+    def spans(rank: int, rule: secret_scan.Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        return f"""list_transform(
+            list_filter(list_transform(range(1, len(regexp_extract_all(t, {pattern})) + 1), lambda i: {{
+                'start': list_sum(list_transform(string_split_regex(t, {pattern})[:i], lambda s: length(s)))
+                    + coalesce(list_sum(list_transform(regexp_extract_all(t, {pattern})[:i - 1], lambda s: length(s))), 0),
+                'size': length(regexp_extract_all(t, {pattern})[i]),
+                'counted': length(regexp_extract_all(t, {pattern}, {rule.group})[i]) >= {rule.least}}}), lambda m: m.counted),
+            lambda m: {{'start': m.start, 'rank': {rank}, 'kind': '{rule.kind}', 'stop': m.start + m.size}})"""
+
+    def joined(spans: str) -> str:
+        return f"array_to_string(list_transform({spans}, lambda m: m.kind || ':' || m.start || ':' || m.stop), ',')"
+
+    secrets = " || ".join(spans(rank, rule) for rank, rule in enumerate(secret_scan.RULES))
+    base = ", ".join(f"'{rule.kind}'" for rule in secret_scan.BASE)
+    counts = ", ".join(f"len(list_filter(found, lambda m: m.kind = '{rule.kind}')) AS n_{rule.kind}" for rule in secret_scan.BASE)
     record = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
     return {
+        "op13_secret_scan": f"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+            f AS (SELECT doc_id, list_sort({secrets}) AS found FROM d)
+            SELECT doc_id, {counts}, sha256({joined(f"list_filter(found, lambda m: m.kind IN ({base}))")}) AS base_sha256,
+                {joined("found")} AS spans
+            FROM f""",
         "op12_merkle_manifest": f"""
             WITH RECURSIVE d AS (
                 SELECT *, translate(text, '{ascii_uppercase}', '{ascii_lowercase}') AS lowered,
