@@ -209,11 +209,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     counts = groups.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")
     )
-    stay = written(counts.where("stays").select("doc_id", "n"), "representatives")
+    # Rows that stay as they are need no partner: only the others, which are fewer, are joined.
+    other = written(counts.where("NOT stays OR n > 1").select("doc_id", "stays"), "others")
     keyed = docs.select(whole(docs), F.col(doc_id).cast("bigint").alias("_id"))
-
-    def chosen(which: DataFrame) -> DataFrame:
-        return keyed.join(which, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
-
-    again = chosen(stay.where("n > 1")).dropDuplicates(["_id"])
-    return chosen(stay.where("n = 1")).unionByName(again).select("_whole.*")
+    same = F.col("_id").eqNullSafe(F.col("doc_id"))
+    again = keyed.join(other.where("stays"), same, "left_semi").dropDuplicates(["_id"])
+    return keyed.join(other, same, "left_anti").unionByName(again).select("_whole.*")
