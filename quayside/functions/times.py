@@ -55,6 +55,11 @@ def from_micros(micros: int) -> datetime:
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
 
 
+def to_micros(value: datetime) -> int:
+    """The ``unix_micros`` of a time."""
+    return (utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 def run_time() -> Column:
     """Time of the running query, for start, end and log times."""
     return F.current_timestamp()

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.constants import FAILED, LAYER, SUCCESS
-from quayside.functions.times import run_time
+from quayside.functions.times import run_time, utc
 from quayside.params import LoadParams
 from quayside.sources.control import ControlStore, latest, lookup
-from quayside.sources.relations import relation
 
 LOAD_KEYS = ["layer", "load_id", "process_id", "country_code"]
 
@@ -56,12 +55,11 @@ def status_row(params: LoadParams, status: str, message: str | None = None,
     }
 
 
-def append_status(control: ControlStore, params: LoadParams, status: str,
-                  message: str | None = None, job_id: str | None = None) -> None:
+def append_status(control: ControlStore, params: LoadParams, status: str, message: str | None = None,
+                  job_id: str | None = None, token: str | None = None) -> None:
     """Log a status of this load."""
-    ddl = ", ".join(f"{name} string" for name in status_row(params, status))
-    row = relation(control.spark, [status_row(params, status, message, job_id)], ddl)
-    control.append("process_log", row.withColumn("logged_at", run_time()))
+    row = status_row(params, status, message, job_id)
+    control.append_rows("process_log", [{**row, "logged_at": datetime.now(timezone.utc)}], token)
 
 
 def append_failure(control: ControlStore, params: LoadParams, error: BaseException,
@@ -89,9 +87,12 @@ def details(counts: DataFrame, load_id: str, start: datetime | None = None,
     )
 
 
-def append_details(control: ControlStore, counts: DataFrame, load_id: str,
-                   start: datetime, job_id: str | None = None) -> None:
-    control.append("run_details", details(counts, load_id, start, job_id=job_id))
+def append_details(control: ControlStore, counts: DataFrame, load_id: str, start: datetime,
+                   job_id: str | None = None, token: str | None = None) -> None:
+    """Log the details of a run, one row per entity."""
+    found = details(counts, load_id, None, job_id=job_id).drop("start_time", "end_time").collect()
+    times = {"start_time": utc(start), "end_time": datetime.now(timezone.utc)}
+    control.append_rows("run_details", [{**row.asDict(), **times} for row in found], token)
 
 
 def entity_report(active: DataFrame, counts: DataFrame, match_case: bool = False) -> DataFrame:

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.concurrency import run_all
 from quayside.constants import CLUSTER, ENTITY, FILE, LOAD_ID, SOURCE_SYSTEM, SUCCESS
 from quayside.functions import paths
-from quayside.functions.times import from_micros, run_time
+from quayside.functions.times import from_micros, to_micros
 from quayside.functions.values import all_string
 from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
-from quayside.sources import catalog, files, folders, landing, pages, pull
-from quayside.sources.control import ControlStore, first, lookup
-from quayside.sources.relations import relation, written
+from quayside.sources import catalog, commits, files, folders, landing, pages, pull
+from quayside.sources.control import ControlStore, first, latest, lookup
+from quayside.sources.journal import Journal, Progress
+from quayside.sources.relations import relation, scratch, shared_folder
 
 REBUILT = "rebuilt"
 CLEARED = "cleared"
+REJECTED_DDL = "path string, modified timestamp"
 
 
 @dataclass(frozen=True)
@@ -164,48 +169,89 @@ class LoadOutcome:
 def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
                pull_source: PullSource | None = None, inventory: DataFrame | None = None,
                relands: bool = False, allow_rejected: bool = False,
-               rebalance_pulls: bool = True, workers: int = 8) -> LoadOutcome:
+               rebalance_pulls: bool = True, workers: int = 8,
+               landed_by_others: bool = False, progress: Progress | None = None) -> LoadOutcome:
     """Run one load.
 
-    Every step can be repeated for the same load id. Watermarks move only after
-    the tables are published and the success row comes last, so a load that
-    fails halfway is done again in full. A failure is logged and raised.
+    Its steps are journalled (``sources/journal.py``): windows are frozen when the load
+    opens, and a load run again under its id goes on after the last step that ended.
+    So a load that was stopped anywhere comes to the rows, counts and watermarks it
+    would have come to undisturbed. Files are selected anew until they have landed.
+    Watermarks move only after the tables are published and the success row comes
+    last. A failure is logged and raised.
+
+    What earlier loads landed is known from the control table ``landed``;
+    ``landed_by_others`` also lists the landing zone, for files put there by hand.
     """
     start = datetime.now(timezone.utc)
     job_id: str | None = None
     try:
-        job_id = _job_id(control, params)
-        layout = Layout.of(control, params)
-        is_rerun = runs.succeeded(control.read("process_log"), params).first().is_rerun
-        pulls: list[EntityPull] = []
-        pulled: list[str] = []
-        landed = Landed(0, None, frozenset())
-        if not is_rerun:
-            pulls = pull_plan(control, params)
-            pulled = pull_entities(
-                spark, layout, params, pulls, pull_source, rebalance_pulls, workers
-            )
+        job_id, layout, is_rerun, planned = run_all(
+            spark,
+            lambda read: read(),
+            [
+                partial(_job_id, control, params),
+                partial(Layout.of, control, params),
+                lambda: runs.succeeded(control.read("process_log"), params).first().is_rerun,
+                partial(pull_plan, control, params),
+            ],
+        )
+        if is_rerun:
+            report = rebuild(spark, layout, params, control, start, job_id, landed_by_others)
+            runs.append_status(control, params, SUCCESS, job_id=job_id)
+            return LoadOutcome(REBUILT, True, 0, (), report)
+        journal = Journal(spark, control.root, params, progress)
+        layout, pulls = _opened(journal, layout, planned(), params)
+        pulled = pull_entities(spark, layout, params, pulls, pull_source, rebalance_pulls, workers, journal)
+
+        def land() -> dict:
             listed = source_files(spark, layout, params, pulls, inventory)
-            landed = land_files(
-                spark, layout, params, pulls, listed, relands, allow_rejected, workers
-            )
-            lost = [name for name in pulled if _pull_name(params, name) not in landed.pulled]
+            found = land_files(spark, layout, params, pulls, listed, control, relands, allow_rejected, workers, journal.token)
+            lost = [name for name in pulled if _pull_name(params, name) not in found.pulled]
             if lost:
                 raise ValueError(f"pulls of {', '.join(lost)} were not landed")
-        report = None
-        if is_rerun or landed.files or _landed_before(spark, layout, params):
-            report = rebuild(spark, layout, params, control, start, landed.files, job_id)
-            action = REBUILT
-        else:
-            catalog.clear(spark, layout.database)
-            action = CLEARED
-        if not is_rerun:
-            _advance_watermarks(control, params, pulls, landed.files)
-        runs.append_status(control, params, SUCCESS, job_id=job_id)
+            return {"files": found.files, "rejected": found.rejected}
+
+        def publish() -> dict:
+            if not (landed["files"] or _landed_before(spark, layout, params, control, landed_by_others)):
+                catalog.clear(spark, layout.database)
+                return {"action": CLEARED}
+            counts = publish_landed(spark, layout, params, control, landed["files"], landed_by_others)
+            runs.append_details(control, counts, params.load_id, start, job_id, journal.token)
+            return {"action": REBUILT, "counts": [row.asDict() for row in counts.collect()]}
+
+        def mark() -> dict:
+            _advance_watermarks(control, params, pulls, landed["files"], journal.token)
+            return {}
+
+        landed = journal.once("landed", land)
+        published = journal.once("published", publish)
+        journal.once("marked", mark)
+        runs.append_status(control, params, SUCCESS, job_id=job_id, token=journal.token)
+        control.maintain()
     except Exception as error:
         runs.append_failure(control, params, error, job_id)
         raise
-    return LoadOutcome(action, is_rerun, landed.files, tuple(pulled), report, landed.rejected)
+    rejected = landed["rejected"] and spark.read.schema(REJECTED_DDL).parquet(landed["rejected"])
+    report = None
+    if published["action"] == REBUILT:
+        report = _report(control, params, relation(spark, published["counts"], profile.COUNTS_DDL))
+    return LoadOutcome(published["action"], False, landed["files"], tuple(pulled), report, rejected)
+
+
+def _opened(journal: Journal, layout: Layout, planned: list[EntityPull], params: LoadParams) -> tuple[Layout, list[EntityPull]]:
+    """Layout and pulls with the windows the load had when it was first opened."""
+
+    def bounds() -> dict:
+        pulls = [{**vars(item), "last": to_micros(item.last), "current": None} for item in planned]
+        return {"last": to_micros(layout.last), "pulls": pulls}
+
+    facts = journal.once("opened", bounds)
+    pulls = [
+        EntityPull(**{**item, "columns": tuple(item["columns"]), "last": from_micros(item["last"]), "current": params.current})
+        for item in facts["pulls"]
+    ]
+    return replace(layout, last=from_micros(facts["last"])), pulls
 
 
 def _job_id(control: ControlStore, params: LoadParams) -> str | None:
@@ -223,27 +269,32 @@ def _pull_name(params: LoadParams, entity: str) -> str:
     return f"{params.source}_{params.country}_{entity}".lower()
 
 
-def pull_plan(control: ControlStore, params: LoadParams) -> list[EntityPull]:
-    """Query entities of this load with columns and window, one row each."""
+def pull_plan(control: ControlStore, params: LoadParams) -> Callable[[], list[EntityPull]]:
+    """Query entities of this load with columns and window, one row each; raises, when
+    called, for those without a watermark."""
     meta = control.source_metadata()
     queried = metadata.query_entities(meta, params.source, params.country)
     config = metadata.entity_config(queried, meta, params.source, params.country)
     rows = config.withColumn("last", F.unix_micros("last_run_ts")).orderBy("entity").collect()
-    missing = [row.entity for row in rows if row.last is None]
-    if missing:
-        raise ValueError(f"no watermark for {', '.join(missing)}")
-    return [
-        EntityPull(
-            row.entity, row.source_metadata_id, tuple(row.columns), row.ts_column,
-            from_micros(row.last), params.current,
-        )
-        for row in rows
-    ]
+
+    def pulls() -> list[EntityPull]:
+        missing = [row.entity for row in rows if row.last is None]
+        if missing:
+            raise ValueError(f"no watermark for {', '.join(missing)}")
+        return [
+            EntityPull(
+                row.entity, row.source_metadata_id, tuple(row.columns), row.ts_column,
+                from_micros(row.last), params.current,
+            )
+            for row in rows
+        ]
+
+    return pulls
 
 
 def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
                   pulls: list[EntityPull], pull_source: PullSource | None, rebalance: bool,
-                  workers: int) -> list[str]:
+                  workers: int, journal: Journal) -> list[str]:
     """Write the changed rows of each query entity below the source root, all
     columns as text. Returns the entities that had rows."""
     if pulls and pull_source is None:
@@ -267,19 +318,29 @@ def pull_entities(spark: SparkSession, layout: Layout, params: LoadParams,
             "folder of the entity's name and the load id in it"
         )
 
-    def write(item: EntityPull) -> bool:
-        rows = all_string(pull_source(item), item.columns)
-        folder = folders_of[item.entity].rstrip("/")
-        return landing.write_pull(rows, f"{layout.source_root}/{folder}", rebalance)
+    def write(item: EntityPull) -> int:
+        folder = f"{layout.source_root}/{folders_of[item.entity].rstrip('/')}"
+
+        def pull() -> dict:
+            rows = all_string(pull_source(item), item.columns)
+            commit = landing.write_pull(rows, folder, rebalance)
+            return {"rows": commit.rows if commit else 0}
+
+        known = journal.known(f"pulled {item.entity}")
+        if known and known["rows"]:
+            commits.tidy(spark, folder)
+        return journal.once(f"pulled {item.entity}", pull)["rows"]
 
     wrote = run_all(spark, write, pulls, workers)
-    return [item.entity for item, had_rows in zip(pulls, wrote) if had_rows]
+    return [item.entity for item, rows in zip(pulls, wrote) if rows]
 
 
 @dataclass(frozen=True)
 class Landed:
+    """Files taken, folder of the rejected keys if they are wanted, and pull folders that landed."""
+
     files: int
-    rejected: DataFrame | None
+    rejected: str | None
     pulled: frozenset[str]
 
 
@@ -306,41 +367,77 @@ def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
 
 
 def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: list[EntityPull],
-               listed: DataFrame, relands: bool, allow_rejected: bool, workers: int) -> Landed:
-    """Select the files of this load and write each entity's to its folder."""
+               listed: DataFrame, control: ControlStore, relands: bool = False, allow_rejected: bool = False,
+               workers: int = 8, token: str | None = None) -> Landed:
+    """Select the files of this load, write each entity's to its folder, and note what landed."""
     window = ChangeWindow(layout.last, params.current)
     queried = relation(spark, [{"entity": item.entity} for item in pulls], "entity string")
     pulls_in = selection.pull_folders(queried, params.source, params.country)
     found = selection.candidates(listed, window, pulls_in, params.load_id, relands)
     rule = paths.EntityRule.of(layout.source_template)
     # Listing and selection run once; all later steps read this table.
-    found = written(
-        found.withColumn("fits", paths.is_mappable(F.col("path"), rule)), "selection"
-    )
-    rejected = found.where("taken AND NOT fits").select("path", "modified")
-    if not allow_rejected:
-        example = rejected.select(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
-        if example.n:
-            raise ValueError(f"{example.n} key(s) do not fit the template, e.g. {example.path}")
-    targeted = selection.with_target(
-        found.where("fits"), rule, layout.landing_template, layout.source_system,
-        layout.cluster, params.load_id,
-    )
-    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
-    items = landing.entity_summary(plan)
+    with scratch(spark) as keep:
+        found = keep(found.withColumn("fits", paths.is_mappable(F.col("path"), rule)), "selection")
+        rejected, folder = found.where("taken AND NOT fits").select("path", "modified"), None
+        if allow_rejected:
+            folder = shared_folder(spark, "rejected")
+            rejected.write.parquet(folder)
+        else:
+            example = rejected.select(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
+            if example.n:
+                raise ValueError(f"{example.n} key(s) do not fit the template, e.g. {example.path}")
+        targeted = selection.with_target(
+            found.where("fits"), rule, layout.landing_template, layout.source_system,
+            layout.cluster, params.load_id,
+        )
+        plan = keep(selection.landing_plan(targeted), "landing-plan", by=("entity",))
+        items = landing.entity_summary(plan)
+        targets = {item.entity: layout.entity_folder(params.load_id, item.entity) for item in items}
+        done = landing.write_entities(plan, list(targets), layout.source_root, targets, workers)
+        pulled = plan.where("forced AND taken").select(paths.segment(F.col("path"), -3)).distinct()
+        pulled_folders = frozenset(row[0] for row in pulled.collect())
+    note_landed(control, params, {entity: (targets[entity], commit) for entity, commit in done.items()}, token)
+    return Landed(sum(item.taken for item in items), folder, pulled_folders)
+
+
+def note_landed(control: ControlStore, params: LoadParams, done: Mapping[str, tuple[str, commits.Commit]],
+                token: str | None = None) -> None:
+    """Add what landed, an entity a row, to the control table ``landed``."""
+    rows = [
+        {
+            "source_cluster": params.source_cluster,
+            "load_id": params.load_id,
+            "entity": entity,
+            "folder": folder,
+            "files": len(commit.names),
+            "row_count": commit.rows,
+            "bytes": commit.bytes,
+            "columns": commit.schema,
+            "landed_at": datetime.now(timezone.utc),
+        }
+        for entity, (folder, commit) in done.items()
+    ]
+    if rows:
+        control.append_rows("landed", rows, token)
 
-    targets = {item.entity: layout.entity_folder(params.load_id, item.entity) for item in items}
-    landing.write_entities(plan, list(targets), layout.source_root, targets, workers)
-    pulled = plan.where("forced AND taken").select(paths.segment(F.col("path"), -3)).distinct()
-    return Landed(sum(item.taken for item in items), rejected, frozenset(row[0] for row in pulled.collect()))
 
+def landed_since(control: ControlStore, source_cluster: str, window: ChangeWindow) -> DataFrame:
+    """One row ``files``: landed files of a source whose commits fall in the window. Nothing is listed."""
+    of_source = lookup(control.read("landed"), {"source_cluster": source_cluster}, ["files", "landed_at"])
+    return selection.changed(of_source, "landed_at", window).agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
 
-def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> bool:
+
+def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
+                   landed_by_others: bool) -> bool:
     """This load has landed files but not finished, or files landed since the
     last watermark."""
     if layout.last == params.current:
         return True
     window = ChangeWindow(layout.last, params.current)
+    if landed_since(control, params.source_cluster, window).first().files > 0:
+        return True
+    if not landed_by_others:
+        return False
     landed = files.listing(spark, layout.landing_root, layout.all_loads_prefix())
     data = selection.changed(landed, "modified", window).where(
         paths.is_data_file(F.col("path"))
@@ -348,54 +445,84 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams) -> b
     return selection.summary(data, "modified", window).first().in_window > 0
 
 
-def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
-            start: datetime, landed_files: int, job_id: str | None = None) -> DataFrame:
-    """Count and publish what this load landed; returns the entity report."""
+@dataclass(frozen=True)
+class LandedEntity:
+    """A landed entity: its rows and schema, and the folder that holds them."""
+
+    rows: int
+    folder: str
+    schema: T.StructType
+
+
+def landed_entities(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
+                    landed_by_others: bool = False) -> dict[str, LandedEntity]:
+    """Entities of this load, by what it noted when it wrote them: no listing, no footers.
+
+    A load without notes, or one whose folder others write to as well, is listed and
+    its footers are read.
+    """
+    noted = lookup(
+        control.read("landed"),
+        {"source_cluster": params.source_cluster, "load_id": params.load_id},
+        ["source_cluster", "load_id", "entity", "folder", "row_count", "columns", "landed_at"],
+    )
+    known = latest(noted, ["source_cluster", "load_id", "entity"], ["landed_at"]).orderBy("entity").collect()
+    if known and not landed_by_others:
+        root = folders.key_root(spark, layout.landed_root)
+        outside = [row.folder for row in known if folders.key_root(spark, row.folder).rpartition("/")[0] != root]
+        if outside:
+            raise ValueError(f"files were landed, but none below {layout.landed_root}: {outside[0]}")
+        return {
+            row.entity: LandedEntity(row.row_count, row.folder, T.StructType.fromJson(json.loads(row.columns)))
+            for row in known
+        }
     children = files.collected_children(spark, layout.landed_root)
     locations = {
         row.entity: f"{layout.landed_root}/{row.folder}"
         for row in files.entities(children).orderBy("entity").collect()
     }
-    if landed_files and not locations:
-        raise ValueError(f"files were landed, but none below {layout.landed_root}")
-    counts = profile.row_counts(spark, layout.landed_root, children)
+    counts = {row.entity: row.row_count for row in profile.row_counts(spark, layout.landed_root, children).collect()}
     schemas = profile.schemas(spark, locations, fmt=layout.source_format)
+    return {name: LandedEntity(counts[name], locations[name], schemas[name]) for name in locations}
+
+
+def publish_landed(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
+                   landed_files: int, landed_by_others: bool = False) -> DataFrame:
+    """Publish what this load landed; returns its counts."""
+    found = landed_entities(spark, layout, params, control, landed_by_others)
+    if landed_files and not found:
+        raise ValueError(f"files were landed, but none below {layout.landed_root}")
     catalog.publish(
         spark,
         layout.database,
-        [catalog.EntityTable(name, locations[name], schemas[name]) for name in locations],
+        [catalog.EntityTable(name, item.folder, item.schema) for name, item in found.items()],
     )
+    rows = [{"entity": name, "row_count": item.rows} for name, item in found.items()]
+    return relation(spark, rows, profile.COUNTS_DDL)
+
+
+def rebuild(spark: SparkSession, layout: Layout, params: LoadParams, control: ControlStore,
+            start: datetime, job_id: str | None = None, landed_by_others: bool = False) -> DataFrame:
+    """Count and publish again what a load landed; returns the entity report."""
+    counts = publish_landed(spark, layout, params, control, 0, landed_by_others)
     runs.append_details(control, counts, params.load_id, start, job_id)
-    active = metadata.active_entities(
-        control.read("source_metadata"), params.source, params.country
-    )
+    return _report(control, params, counts)
+
+
+def _report(control: ControlStore, params: LoadParams, counts: DataFrame) -> DataFrame:
+    active = metadata.active_entities(control.read("source_metadata"), params.source, params.country)
     return runs.entity_report(active, counts)
 
 
 def _advance_watermarks(control: ControlStore, params: LoadParams, pulls: list[EntityPull],
-                        landed_files: int) -> None:
-    load = {"load_id": params.load_id}
-    if pulls:
-        rows = [
-            {
-                "source_metadata_id": item.source_metadata_id,
-                "source_system": params.source,
-                "last_run_ts": item.current,
-                **load,
-            }
-            for item in pulls
-        ]
-        ddl = "source_metadata_id string, source_system string, last_run_ts timestamp, load_id string"
-        marks = relation(control.spark, rows, ddl).withColumn("logged_at", run_time())
-        control.append("entity_watermark", marks)
+                        landed_files: int, token: str | None = None) -> None:
+    load = {"load_id": params.load_id, "logged_at": datetime.now(timezone.utc)}
+    marks = [
+        {"source_metadata_id": item.source_metadata_id, "source_system": params.source, "last_run_ts": item.current, **load}
+        for item in pulls
+    ]
+    if marks:
+        control.append_rows("entity_watermark", marks, token)
     if landed_files:
-        rows = [
-            {
-                "source_cluster": params.source_cluster,
-                "last_run_start_time": params.current,
-                **load,
-            }
-        ]
-        ddl = "source_cluster string, last_run_start_time timestamp, load_id string"
-        marks = relation(control.spark, rows, ddl).withColumn("logged_at", run_time())
-        control.append("file_watermark", marks)
+        mark = {"source_cluster": params.source_cluster, "last_run_start_time": params.current, **load}
+        control.append_rows("file_watermark", [mark], token)

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from quayside.concurrency import run_all
+from quayside.functions import paths
+from quayside.sources import folders
 from quayside.sources.relations import relation
 
 SCHEMAS = {
@@ -47,7 +53,36 @@ SCHEMAS = {
         "source_metadata_id string, source_system string, last_run_ts timestamp, "
         "load_id string, logged_at timestamp"
     ),
+    "landed": (
+        "source_cluster string, load_id string, entity string, folder string, files bigint, "
+        "row_count bigint, bytes bigint, columns string, landed_at timestamp"
+    ),
+}
+
+WATERMARK_ORDER = ["logged_at", "load_id"]
+#: Tables of which only the last row of a key counts.
+LAST_BY = {
+    "file_watermark": ["source_cluster"],
+    "entity_watermark": ["source_metadata_id", "source_system"],
+    "landed": ["source_cluster", "load_id", "entity"],
 }
+ORDERS = {"file_watermark": WATERMARK_ORDER, "entity_watermark": WATERMARK_ORDER, "landed": ["landed_at"]}
+#: Appended files of a table before they are compacted, and compacted parts before they are merged.
+TAIL, PARTS = 64, 16
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What a control table consists of: compacted parts, and the names appended since."""
+
+    number: int
+    parts: tuple[str, ...]
+    covered: tuple[str, ...]
+    tail: tuple[str, ...]
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return (*self.parts, *self.tail)
 
 
 class ControlStore:
@@ -55,8 +90,15 @@ class ControlStore:
 
     Tables are only appended to. Parquet tables cannot be updated in place, and
     a lost writer must not leave one half rewritten, so an update is a new row
-    and reading takes the latest. Every append has a folder of its own, so loads
+    and reading takes the latest. Every append is a file of its own, so loads
     that append at the same time share no committer.
+
+    Now and then the appended files are compacted into a part, of which only the last
+    row of a key stays where no other counts. A pointer, a small file, then names the
+    parts and the appended files they cover; the pointer with the highest name counts.
+    What is appended meanwhile is covered by none and so still read. Covered files
+    are removed by the compaction after the next pointer, when no reader that
+    found them can be at work still, unless it takes as long as that.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -66,21 +108,75 @@ class ControlStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def snapshot(self, name: str) -> Snapshot:
+        """One listing of the table's folder, which holds no more than its parts and tail."""
+        found = [entry.name for entry in folders.entries(self.spark, self.path(name))]
+        pointers = [entry for entry in found if entry.startswith("_pointer-")]
+        facts = {"number": 0, "parts": [], "covered": []}
+        if pointers:
+            facts = folders.get_json(self.spark, f"{self.path(name)}/{max(pointers)}")
+        covered = set(facts["covered"])
+        tail = [entry for entry in found if entry.startswith("append-") and entry not in covered]
+        return Snapshot(facts["number"], tuple(facts["parts"]), tuple(facts["covered"]), tuple(tail))
+
     def read(self, name: str) -> DataFrame:
-        try:
-            reader = self.spark.read.schema(SCHEMAS[name]).option("recursiveFileLookup", True)
-            return reader.parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        return self._rows(name, self.snapshot(name).names)
+
+    def _rows(self, name: str, names: Sequence[str]) -> DataFrame:
+        if not names:
             return relation(self.spark, [], SCHEMAS[name])
+        reader = self.spark.read.schema(SCHEMAS[name]).option("recursiveFileLookup", True)
+        return reader.parquet(*[paths.literal_path(f"{self.path(name)}/{part}") for part in names])
+
+    def append_rows(self, name: str, rows: Sequence[Mapping], token: str | None = None) -> None:
+        """Append a few rows. An append with the token of an earlier one is that one: it adds nothing."""
+        schema = T.StructType.fromDDL(SCHEMAS[name])
+        place = f"{self.path(name)}/append-{token or uuid4().hex}"
+        # A compacted append leaves its name in the pointer until long after.
+        if token and (folders.exists(self.spark, place) or place.rpartition("/")[2] in self.snapshot(name).covered):
+            return
+        content = pa.BufferOutputStream()
+        pq.write_table(pa.Table.from_pylist(list(rows), schema=to_arrow_schema(schema)), content)
+        folders.put(self.spark, place, content.getvalue().to_pybytes())
 
     def append(self, name: str, rows: DataFrame) -> None:
+        """Append rows of any number."""
         columns = T.StructType.fromDDL(SCHEMAS[name]).names
         rows.select(*columns).coalesce(1).write.parquet(f"{self.path(name)}/append-{uuid4().hex}")
 
-    def append_rows(self, name: str, rows: Sequence[Mapping]) -> None:
-        self.append(name, relation(self.spark, rows, SCHEMAS[name]))
+    def compact(self, name: str) -> Snapshot:
+        """Bring the appended rows of a table into a part; see the class."""
+        before = self.snapshot(name)
+        if not before.tail:
+            return before
+        merged = name in LAST_BY or len(before.parts) >= PARTS
+        rows = self._rows(name, before.names if merged else before.tail)
+        if name in LAST_BY:
+            rows = latest(rows, LAST_BY[name], ORDERS[name]).select(*rows.columns)
+        part = f"part-{before.number + 1:010d}-{uuid4().hex}"
+        rows.hint("rebalance").write.parquet(f"{self.path(name)}/{part}")
+        parts = (part,) if merged else (*before.parts, part)
+        facts = {"number": before.number + 1, "parts": parts, "covered": (*before.covered, *before.tail)}
+        stale = self._stale(name, before)
+        facts["covered"] = [entry for entry in facts["covered"] if entry not in stale]
+        pointer = f"_pointer-{facts['number']:010d}-{uuid4().hex}.json"
+        folders.put_json(self.spark, f"{self.path(name)}/{pointer}", facts)
+        for entry in stale:
+            folders.remove(self.spark, f"{self.path(name)}/{entry}")
+        return self.snapshot(name)
+
+    def _stale(self, name: str, before: Snapshot) -> set[str]:
+        """What the pointer of ``before`` has replaced: files it covers, parts and pointers older than it."""
+        found = [entry.name for entry in folders.entries(self.spark, self.path(name))]
+        pointers = sorted(entry for entry in found if entry.startswith("_pointer-"))[:-1]
+        parts = [e for e in found if e.startswith("part-") and e not in before.parts and int(e.split("-")[1]) < before.number]
+        return {*pointers, *parts, *(e for e in before.covered if e in found)}
+
+    def maintain(self, tail: int = TAIL) -> list[str]:
+        """Compact the tables that have more appended files than ``tail``; their names."""
+        due = [name for name in SCHEMAS if len(self.snapshot(name).tail) > tail]
+        run_all(self.spark, self.compact, due)
+        return due
 
     def path_config(self) -> DataFrame:
         """Path configuration with the latest file watermark of each source."""
@@ -95,9 +191,6 @@ class ControlStore:
         return _overlay(self.read("source_metadata"), marks.select(*keys, "last_run_ts"), keys)
 
 
-WATERMARK_ORDER = ["logged_at", "load_id"]
-
-
 def lookup(table: DataFrame, keys: Mapping[str, object], attributes: Sequence[str]) -> DataFrame:
     """Attributes of the rows that match all key values."""
     matches = reduce(and_, [F.col(name) == F.lit(value) for name, value in keys.items()])

@@ -5,36 +5,29 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import batched
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.concurrency import run_all
 from quayside.constants import PATHS_PER_READ
-from quayside.sources import files, folders
+from quayside.sources import commits, files
 
 
-def write_pull(rows: DataFrame, folder: str, rebalance: bool = True) -> bool:
+def write_pull(rows: DataFrame, folder: str, rebalance: bool = True) -> commits.Commit | None:
     """Write a pull over an earlier one; an empty pull leaves that in place.
 
-    The pull is read once: it is written beside its folder, under a name the
-    readers hide, and put there if it has rows. A pull takes few rows out of each
-    of many splits, so it is rebalanced into files of the advisory size. That
-    shuffles only what is written; a first full pull can do without.
+    The pull is read once, and counted by the tasks that write it. A pull takes few
+    rows out of each of many splits, so it is rebalanced into files of the advisory
+    size. That shuffles only what is written; a first full pull can do without.
     """
-    spark = rows.sparkSession
-    parent, _, _ = folder.rstrip("/").rpartition("/")
-    attempt = f"{parent}/_attempt-{uuid4().hex}"
     sized = rows.hint("rebalance") if rebalance else rows
-    try:
-        sized.write.parquet(attempt)
-        if spark.read.schema(rows.schema).parquet(attempt).isEmpty():
-            return False
-        folders.replace(spark, attempt, folder)
-        return True
-    finally:
-        folders.remove(spark, attempt)
+
+    def fill(attempt: str) -> tuple[int, T.StructType]:
+        return commits.counted(sized, attempt), rows.schema
+
+    return commits.write(rows.sparkSession, folder, fill, keep_if_empty=True)
 
 
 @dataclass(frozen=True)
@@ -58,13 +51,13 @@ def entity_summary(plan: DataFrame) -> list[EntityFiles]:
 
 
 def write_entity(plan: DataFrame, entity: str, source_root: str, target: str,
-                 paths_per_read: int = PATHS_PER_READ) -> None:
-    """Write the files the plan lands for one entity to its target folder.
+                 paths_per_read: int = PATHS_PER_READ) -> commits.Commit:
+    """Write the files the plan lands for one entity to its target folder, in one commit.
 
     Files are read by name, exactly those of the plan, in one schema found
     before. ``paths_per_read`` bounds the names the driver holds at a time; each
-    such read is a write of its own, the first of which replaces the folder. No
-    row is shuffled, joined or tested to tell whether its file belongs here.
+    such read is a write of its own to the same attempt. No row is shuffled, joined
+    or tested to tell whether its file belongs here.
     """
     spark = plan.sparkSession
     lands = plan.where((F.col("entity") == entity) & F.col("lands"))
@@ -74,19 +67,21 @@ def write_entity(plan: DataFrame, entity: str, source_root: str, target: str,
         for rows in batched(in_time.toLocalIterator(), paths_per_read):
             yield [f"{source_root.rstrip('/')}/{row.path}" for row in rows]
 
-    schema = files.merged_schema(spark, entity, chunks())
-    for number, names in enumerate(chunks()):
-        rows = files.entity_files(spark, names, schema)
-        rows.write.mode("append" if number else "overwrite").parquet(target)
+    def fill(attempt: str) -> tuple[int, T.StructType]:
+        schema = files.merged_schema(spark, entity, chunks())
+        written = [commits.counted(files.entity_files(spark, names, schema), attempt, "append") for names in chunks()]
+        return sum(written), schema
+
+    return commits.write(spark, target, fill)
 
 
 def write_entities(plan: DataFrame, entities: Sequence[str], source_root: str,
                    targets: Mapping[str, str], workers: int = 8,
-                   paths_per_read: int = PATHS_PER_READ) -> None:
+                   paths_per_read: int = PATHS_PER_READ) -> dict[str, commits.Commit]:
     """Write several entities at a time, each by its own jobs: their schemas
     differ, and alone the end of one job would leave the cluster idle."""
 
-    def write(entity: str) -> None:
-        write_entity(plan, entity, source_root, targets[entity], paths_per_read)
+    def write(entity: str) -> commits.Commit:
+        return write_entity(plan, entity, source_root, targets[entity], paths_per_read)
 
-    run_all(plan.sparkSession, write, entities, workers)
+    return dict(zip(entities, run_all(plan.sparkSession, write, entities, workers)))

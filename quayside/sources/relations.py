@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quayside.sources import folders
+
 
 def relation(spark: SparkSession, rows: Iterable[Mapping], ddl: str) -> DataFrame:
     """Control-plane rows as a DataFrame.
@@ -38,7 +41,25 @@ def written(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     Cuts the lineage: later steps reread files instead of recomputing, also
     after executors are lost, and see exact sizes.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
+    return _kept(df, shared_folder(df.sparkSession, name), by)
+
+
+def _kept(df: DataFrame, path: str, by: tuple[str, ...]) -> DataFrame:
     df.write.partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """``written`` for tables that nothing needs after the block: their files go with it."""
+    made: list[str] = []
+
+    def keep(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+        made.append(shared_folder(spark, name))
+        return _kept(df, made[-1], by)
+
+    try:
+        yield keep
+    finally:
+        for path in made:
+            folders.remove(spark, path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.params import LoadParams
 from quayside.plans import batch
-from quayside.sources import catalog, control
+from quayside.sources import catalog, control, journal
 from tools import CURRENT, HOUR, LANDING, LAST, LOAD_ID, SECOND, TEMPLATE, put, touch, values
 
 NEXT_ID = "20220118101112"
@@ -167,7 +167,7 @@ def test_files_landed_since_the_watermark_rebuild(spark, tmp_path):
     """No new source files, but the landing zone changed in the window."""
     site = Site(spark, tmp_path, query=False)
     put(site.landing, "src/de/20220116235959/acc/f.parquet", LAST + HOUR, {"id": [1]})
-    outcome = site.load()
+    outcome = site.load(landed_by_others=True)
     assert (outcome.action, outcome.files) == (batch.REBUILT, 0)
     assert site.tables() == {} and outcome.report.count() == 0
 
@@ -330,3 +330,109 @@ def test_job_id_in_the_records(spark, tmp_path):
     assert {row.job_id for row in site.store.read("run_details").collect()} == {"j2"}
     status = site.store.read("process_log").where("job_run_status = 'success'")
     assert [row.job_id for row in status.collect()] == ["j2"]
+
+
+STEPS = ["opened", "pulled Ord", "landed", "published", "marked"]
+
+
+def stopped(step, state):
+    def progress(*at):
+        if at == (step, state):
+            raise KeyboardInterrupt(at)
+
+    return progress
+
+
+def outcome_of(site):
+    """Rows, counts and marks after a load."""
+    ordered = values(site.spark.table(f"{site.database}.ord"), "id")
+    details = values(site.store.read("run_details"), "entity", "row_count", "load_id")
+    return ordered, site.tables(), details, site.marks()
+
+
+@pytest.mark.parametrize("state", ["did", "noted"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_load_stopped_after_any_step_goes_on(spark, tmp_path, step, state):
+    """With rows on both bounds, which a pull from a moved watermark would take for all there is."""
+
+    def make(folder):
+        site = Site(spark, folder)
+        put(site.source, "src/de/src_de_acc/a/f1.parquet", LAST + SECOND, {"id": [1, 2]})
+        return site
+
+    calm, rough = make(tmp_path / f"calm_{state}"), make(tmp_path / f"rough_{state}")
+    expected = calm.load()
+    with pytest.raises(KeyboardInterrupt):
+        rough.load(progress=stopped(step, state))
+    assert rough.statuses() == []
+    found = rough.load()
+    assert (found.action, found.is_rerun, found.files, found.pulled) == (
+        expected.action, False, expected.files, expected.pulled,
+    )
+    assert values(found.report) == values(expected.report)
+    assert outcome_of(rough) == outcome_of(calm)
+    assert outcome_of(rough)[0] == [("2",), ("3",), ("4",)]
+    assert rough.statuses() == [(LOAD_ID, "success")]
+    # The next load starts where an undisturbed one would have.
+    for site in (calm, rough):
+        for file in (site.source / f"src/de/src_de_ord/{LOAD_ID}").glob("*.parquet"):
+            touch(site.source, str(file.relative_to(site.source)), CURRENT + HOUR)
+        assert site.load(NEXT_ID).pulled == ("Ord",)
+        assert values(spark.table(f"{site.database}.ord"), "id") == [("4",), ("5",)]
+
+
+def test_a_load_whose_success_row_was_not_written(spark, tmp_path, monkeypatch):
+    """Ten rows were published and watermarks moved; a retry must not pull the rows on the bound alone."""
+    site = Site(spark, tmp_path)
+    written = batch.runs.append_status
+
+    def fails(control, params, status, *args, **options):
+        if status == "success":
+            raise OSError("no space left")
+        return written(control, params, status, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batch.runs, "append_status", fails)
+        with pytest.raises(OSError):
+            site.load()
+    assert site.marks() == (seconds(CURRENT), seconds(CURRENT))
+    outcome = site.load()
+    assert outcome.action == batch.REBUILT and site.tables() == {"ord": 3}
+    assert site.statuses() == [(LOAD_ID, "Failed"), (LOAD_ID, "success")]
+
+
+def test_what_a_journal_says(spark, tmp_path):
+    site = Site(spark, tmp_path)
+    site.load()
+    rows = journal.table(spark, site.store.root)
+    assert sorted(row.step for row in rows.collect()) == sorted(STEPS)
+    opened = json.loads(rows.where("step = 'opened'").first().facts)
+    assert opened["last"] == seconds(LAST) * 1_000_000
+    assert values(rows, "process_id", "country_code", "load_id")[0] == ("src_eu", "de", LOAD_ID)
+    assert journal.table(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_load_neither_lists_nor_reads_footers_of_what_it_landed(spark, tmp_path, monkeypatch):
+    site = Site(spark, tmp_path)
+    put(site.source, "src/de/src_de_acc/a/f1.parquet", LAST + SECOND, {"id": [1, 2]})
+    monkeypatch.setattr(batch.files, "collected_children", None)
+    monkeypatch.setattr(batch.profile, "row_counts", None)
+    monkeypatch.setattr(batch.profile, "schemas", None)
+    outcome = site.load()
+    assert values(outcome.report, "entity", "row_count") == [("acc", 2), ("ord", 3)]
+    noted = site.store.read("landed")
+    assert values(noted, "entity", "files", "row_count", "load_id") == [("acc", 1, 2, LOAD_ID), ("ord", 1, 3, LOAD_ID)]
+    # Two hundred loads later nothing is listed either to tell whether any landed since.
+    window = batch.ChangeWindow(CURRENT, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    assert batch.landed_since(site.store, "src-de", window).first().files == 2
+    assert batch.landed_since(site.store, "src-fr", window).first().files == 0
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    site = Site(spark, tmp_path)
+    before = set(shared.glob("*")) if shared.exists() else set()
+    site.load()
+    assert (set(shared.glob("*")) if shared.exists() else set()) == before

@@ -243,7 +243,8 @@ def test_a_pull_scans_its_source_once(spark, tmp_path, rows):
             yield batch.slice(0, rows)
 
     source = spark.range(100).coalesce(1).mapInArrow(counted, "id bigint")
-    assert landing.write_pull(source, str(tmp_path / "p" / "q")) is (rows > 0)
+    commit = landing.write_pull(source, str(tmp_path / "p" / "q"))
+    assert (commit.rows if commit else 0) == rows
     assert seen.value == 100
     assert [f.name for f in (tmp_path / "p").glob("*") if f.name != "q"] == []
     assert (tmp_path / "p" / "q").exists() is (rows > 0)
