@@ -6,8 +6,9 @@ columns alike.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from uuid import uuid4
 
@@ -15,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.concurrency import run_all
+from quayside.constants import PATHS_PER_READ
 from quayside.functions import paths, times, values
 from quayside.operators import metadata, profile, runs, selection
 from quayside.params import ChangeWindow, LoadParams
 from quayside.plans import batch, reports
-from quayside.sources import catalog, control, files, landing, pages, pull
+from quayside.sources import catalog, commits, control, files, landing, pages, pull
 from quayside.sources.relations import relation, shared_folder, written
 
 WINDOW = ChangeWindow(datetime(2024, 1, 8), datetime(2024, 1, 15, 12))
@@ -375,21 +377,10 @@ FEED_TEMPLATE = "<source-system>/<cluster>/feed=<source-system>_<cluster>_<entit
 
 def landed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a source of five entities, listed, selected and landed."""
-    events = table(spark, sf_dir, "events")
-    source, target = shared_folder(spark, "source"), shared_folder(spark, "landing")
-    _write_feed(spark, events, F.col("event_type"), source)
-    nothing_pulled = relation(spark, [], "pull_folder string")
-    found = selection.candidates(
-        files.listing(spark, source, "src/de/"), ALWAYS, nothing_pulled, LOAD_ID
-    )
-    rule = paths.EntityRule.of(FEED_TEMPLATE)
-    targeted = selection.with_target(found, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
-    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
-    folders = {item.entity: f"{target}/{item.entity}" for item in landing.entity_summary(plan)}
-    landing.write_entities(plan, list(folders), source, folders)
+    _, done = _landed_events(spark, sf_dir)
     landed = [
         files.entity(spark, folder).withColumn("entity", F.lit(entity))
-        for entity, folder in folders.items()
+        for entity, (folder, _) in done.items()
     ]
     return pages.union_all(landed).select(
         "entity", "event_id", "ts", "user_id", "event_type", "value", "props"
@@ -440,88 +431,226 @@ PULLED = {
 }
 
 
+def _site(spark: SparkSession, source: str, entities: list[tuple[str, str | None, list[str], str]],
+          last: datetime) -> control.ControlStore:
+    """Control tables of a source ``src`` whose entities are ``(name, time column, columns, kind)``."""
+    store = control.ControlStore(spark, shared_folder(spark, "control"))
+    metadata_rows = [
+        {
+            "source_metadata_id": f"de_{name}",
+            "source_system": "src",
+            "country_code": "de",
+            "entity": name.title(),
+            "entity_status": "1",
+            "subject_area": kind,
+            "data_product": f"product {name}",
+            "table_type": kind,
+            "timestamp_fields": [ts] if ts else [],
+            "column_metadata": [{"name": column} for column in columns],
+            "last_run_ts": times.utc(last),
+        }
+        for name, ts, columns, kind in entities
+    ]
+    store.append_rows("source_metadata", metadata_rows)
+    target = shared_folder(spark, "landing")
+    database = f"landing_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
+    process = {
+        "source_system": "src",
+        "tenant": "t",
+        "source_prefix": "src/<country>/<loadid>/",
+        "landing_bucket": target,
+        "source_format": "parquet",
+        "landing_database": database,
+    }
+    store.append_rows("process_config", [process])
+    place = {
+        "source_cluster": "src-de",
+        "source_bucket": source,
+        "source_template": SOURCE_TEMPLATE,
+        "search_template": "<source-system>/<cluster>/",
+        "landing_root": target,
+        "landing_template": LANDING_TEMPLATE,
+        "cluster": "de",
+        "source_system": "src",
+        "last_run_start_time": times.utc(datetime(1970, 1, 1)),
+    }
+    store.append_rows("path_config", [place])
+    return store
+
+
 def land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole load: three tables pulled by watermark, documents by language as
     files, all landed, counted, published and reported."""
-    source, target = shared_folder(spark, "source"), shared_folder(spark, "landing")
-    documents = table(spark, sf_dir, "documents")
-    languages = ("de", "en", "es", "fr")
-    for lang in languages:
-        folder = f"{source}/src/de/src_de_doc_{lang}/all"
-        documents.where(F.col("lang") == lang).write.parquet(folder)
+    source = shared_folder(spark, "source")
+    lang = F.coalesce("lang", F.lit("none"))
+    documents = table(spark, sf_dir, "documents").withColumn("_feed", lang)
+    languages = sorted(row[0] for row in documents.select("_feed").distinct().collect())
+    for name in languages:
+        rows = documents.where(F.col("_feed") == name).drop("_feed")
+        rows.write.parquet(f"{source}/src/de/src_de_doc_{name}/all")
     entities = [(name, *PULLED[name], "query") for name in PULLED]
-    entities += [(f"doc_{lang}", None, [], "file") for lang in languages]
-    store = control.ControlStore(spark, shared_folder(spark, "control"))
-    store.append_rows(
-        "source_metadata",
-        [
-            {
-                "source_metadata_id": f"de_{name}",
-                "source_system": "src",
-                "country_code": "de",
-                "entity": name.title(),
-                "entity_status": "1",
-                "subject_area": kind,
-                "data_product": f"product {name}",
-                "table_type": kind,
-                "timestamp_fields": [ts] if ts else [],
-                "column_metadata": [{"name": column} for column in columns],
-                "last_run_ts": times.utc(datetime(1990, 1, 1)),
-            }
-            for name, ts, columns, kind in entities
-        ],
-    )
-    database = f"landing_{uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
-    store.append_rows(
-        "process_config",
-        [
-            {
-                "source_system": "src",
-                "tenant": "t",
-                "source_prefix": "src/<country>/<loadid>/",
-                "landing_bucket": target,
-                "source_format": "parquet",
-                "landing_database": database,
-            }
-        ],
-    )
-    store.append_rows(
-        "path_config",
-        [
-            {
-                "source_cluster": "src-de",
-                "source_bucket": source,
-                "source_template": SOURCE_TEMPLATE,
-                "search_template": "<source-system>/<cluster>/",
-                "landing_root": target,
-                "landing_template": LANDING_TEMPLATE,
-                "cluster": "de",
-                "source_system": "src",
-                "last_run_start_time": times.utc(datetime(1970, 1, 1)),
-            }
-        ],
-    )
+    entities += [(f"doc_{name}", None, [], "file") for name in languages]
+    store = _site(spark, source, entities, datetime(1990, 1, 1))
     tables = {name: table(spark, sf_dir, name) for name in PULLED}
     outcome = batch.land_batch(spark, BATCH, store, batch.from_tables(tables))
     return outcome.report
 
 
+class _Stopped(Exception):
+    """A load was ended on purpose."""
+
+
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load stopped before and after each step's record, and run again each time: the
+    rows it publishes, the counts it logs and the watermarks it leaves. Its upper bound is
+    the time of the last orders, so rows lie exactly on it."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.date_format(F.max("o_orderdate"), "yyyyMMddHHmmss")).first()[0]
+    columns = ["o_orderkey", "o_orderdate"]
+    store = _site(spark, shared_folder(spark, "source"), [("orders", "o_orderdate", columns, "query")], datetime(1995, 1, 1))
+    params = LoadParams(source="src", country="de", region="eu", load_id=last)
+    source = batch.from_tables({"orders": orders})
+    for stop in [(step, state) for step in ("opened", "pulled Orders", "landed", "published", "marked") for state in ("did", "noted")]:
+
+        def progress(*at: str) -> None:
+            if at == stop:
+                raise _Stopped(*at)
+
+        try:
+            batch.land_batch(spark, params, store, source, progress=progress)
+        except _Stopped:
+            continue
+        raise RuntimeError(f"the load did not come to {stop}")
+    outcome = batch.land_batch(spark, params, store, source)
+    report = outcome.report.select("entity", "row_count")
+    details = store.read("run_details").groupBy("entity").agg(F.count(F.lit(1)).alias("details"), F.sum("row_count").alias("detailed"))
+    marks = {
+        "file_mark": store.path_config().select(F.col("last_run_start_time").cast("timestamp_ntz")).scalar(),
+        "entity_mark": store.source_metadata().select(F.col("last_run_ts").cast("timestamp_ntz")).scalar(),
+    }
+    database = store.read("process_config").first().landing_database
+    rows = spark.table(f"{database}.orders").withColumn("entity", F.lit("orders"))
+    return rows.join(report, "entity").join(details, "entity").select(*columns, "row_count", "details", "detailed").withColumns(marks)
+
+
+def committed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder over which two writes fail and one succeeds: how many rows readers found after
+    the first write and after the failures, and the rows they find at the end."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    folder = shared_folder(spark, "committed")
+    share = F.pmod("o_orderkey", F.lit(3))
+    landing.write_pull(orders.where(share == 0), folder)
+    seen = [commits.read(spark, folder).count()]
+
+    def stopped(attempt: str) -> tuple:
+        commits.counted(orders.where(share == 1), attempt)
+        raise _Stopped(attempt)
+
+    for _ in range(2):
+        try:
+            commits.write(spark, folder, stopped)
+        except _Stopped:
+            seen.append(commits.read(spark, folder).count())
+    done = landing.write_pull(orders.where(share == 2), folder)
+    counts = {"first": seen[0], "after_one": seen[1], "after_two": seen[2], "written": done.rows}
+    return commits.read(spark, folder).withColumns({name: F.lit(n).cast("bigint") for name, n in counts.items()})
+
+
+def compacted_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A status and a watermark for every user and type of events, written by several writers
+    while the tables are compacted: the last status and mark of each user, and whether
+    the tables were read through few files."""
+    events = table(spark, sf_dir, "events")
+    loads = events.groupBy("user_id", "event_type").agg(F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
+    last = F.unix_micros(F.col("last").cast("timestamp")).alias("at")
+    rows = loads.select("user_id", "event_type", last, "n").orderBy("user_id", "event_type").collect()
+    store = control.ControlStore(spark, shared_folder(spark, "control"))
+    users: dict[int, list[Row]] = {}
+    for row in rows:
+        users.setdefault(row.user_id, []).append(row)
+
+    def record(user: int) -> None:
+        common = {"layer": "Landing", "load_id": str(user), "process_id": "p", "country_code": "de"}
+        found = [(row, times.from_micros(row.at)) for row in users[user]]
+        log = [{**common, "job_run_status": row.event_type, "error_message": str(row.n), "logged_at": at} for row, at in found]
+        store.append_rows("process_log", log)
+        for row, at in found:
+            mark = {"source_metadata_id": str(user), "source_system": "src", "last_run_ts": at, "load_id": row.event_type, "logged_at": at}
+            store.append_rows("entity_watermark", [mark])
+
+    people = sorted(users)
+    for part in range(3):
+        writers = [lambda user=user: record(user) for user in people[part::3]]
+        compactions = [lambda name=name: store.compact(name) for name in ("process_log", "entity_watermark")] if part else []
+        run_all(spark, lambda action: action(), compactions + writers)
+    kept = store.maintain(tail=0)
+    few = all(len(store.snapshot(name).names) <= control.PARTS for name in kept) and len(kept) == 2
+    status = runs.latest_status(store.read("process_log")).select(F.col("load_id").cast("bigint").alias("user_id"), "job_run_status", "error_message")
+    logged = store.read("process_log").groupBy(F.col("load_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("logged"))
+    keys = ["source_metadata_id", "source_system"]
+    marks = control.latest(store.read("entity_watermark"), keys, control.WATERMARK_ORDER).select(
+        F.col("source_metadata_id").cast("bigint").alias("user_id"), F.col("last_run_ts").cast("timestamp_ntz").alias("mark")
+    )
+    return status.join(logged, "user_id").join(marks, "user_id").withColumn("few_files", F.lit(few))
+
+
+def _landed_events(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, tuple[str, commits.Commit]]]:
+    """Events landed by type: the root, and each entity's folder and commit."""
+    source, target = shared_folder(spark, "source"), shared_folder(spark, "landing")
+    _write_feed(spark, table(spark, sf_dir, "events"), F.col("event_type"), source)
+    nothing_pulled = relation(spark, [], "pull_folder string")
+    listed = files.listing(spark, source, "src/de/")
+    found = selection.candidates(listed, ALWAYS, nothing_pulled, LOAD_ID)
+    targeted = selection.with_target(found, paths.EntityRule.of(FEED_TEMPLATE), LANDING_TEMPLATE, "src", "de", LOAD_ID)
+    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
+    targets = {item.entity: f"{target}/{item.entity}" for item in landing.entity_summary(plan)}
+    done = landing.write_entities(plan, list(targets), source, targets)
+    return target, {entity: (targets[entity], commit) for entity, commit in done.items()}
+
+
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each landed entity as the tasks that wrote it counted them, beside those its footers have."""
+    target, done = _landed_events(spark, sf_dir)
+    rows = [{"entity": entity, "observed": commit.rows, "columns": len(json.loads(commit.schema)["fields"])} for entity, (_, commit) in done.items()]
+    return relation(spark, rows, "entity string, observed bigint, columns bigint").join(profile.row_counts(spark, target), "entity")
+
+
+def landed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three loads noted of what they landed: rows of each within a window, without a listing."""
+    _, done = _landed_events(spark, sf_dir)
+    store = control.ControlStore(spark, shared_folder(spark, "control"))
+    begin = datetime.now(timezone.utc)
+    for load_id in ("20240101000000", "20240102000000", "20240103000000"):
+        batch.note_landed(store, LoadParams("src", "de", "eu", load_id), done, token=load_id)
+        # Noted again by a retry, and by another source.
+        batch.note_landed(store, LoadParams("src", "de", "eu", load_id), done, token=load_id)
+        batch.note_landed(store, LoadParams("src", "fr", "eu", load_id), done)
+    window = ChangeWindow(begin, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    number = sum(len(commit.names) for _, commit in done.values())
+    found = batch.landed_since(store, "src-de", window).select((F.col("files") / number).cast("bigint").alias("loads"))
+    before = batch.landed_since(store, "src-de", ChangeWindow(datetime(2000, 1, 1), begin)).select(F.col("files").alias("before"))
+    noted = store.read("landed").where("source_cluster = 'src-de'").groupBy("load_id").agg(F.sum("row_count").alias("row_count"))
+    return noted.withColumns({"loads": found.scalar(), "before": before.scalar()})
+
+
 def landed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a source whose folders hold more than a load may take: an old
-    nested folder, an overwritten target, a key that fits no template, and a
-    column whose type grew."""
+    """Orders as a source whose folders hold more than a load may take: files of the same names
+    in two folders, of which the later key overwrites the other, an old nested folder,
+    keys that fit no template, and a column whose type grew. Landed by one, two and
+    very many names at a time."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     root = shared_folder(spark, "source")
-    places = (
-        ("src/de/src_de_ord/a", 0, "int"), ("src/de/src_de_ord/a/deeper/nested", 1, "int"),
-        ("src/de/src_de_ord/b", 2, "bigint"), ("src/de", 3, "bigint"),
-    )
-    for place, share, kind in places:
-        rows = orders.where(F.pmod("o_orderkey", F.lit(4)) == share)
-        rows.withColumn("o_orderkey", F.col("o_orderkey").cast(kind)).coalesce(1).write.mode("append").parquet(f"{root}/{place}")
-    listed = files.listing(spark, root, "src/de/")
+    share = F.pmod("o_orderkey", F.lit(5))
+    narrow = orders.withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    # One write to both folders gives the parts of a task the same name in each.
+    twice = narrow.where(share < 2).withColumn("folder", F.when(share == 0, F.lit("a")).otherwise(F.lit("b")))
+    twice.repartition(6, "o_custkey").write.partitionBy("folder").parquet(f"{root}/src/de/src_de_ord")
+    orders.where(share == 2).write.parquet(f"{root}/src/de/src_de_ord/c")
+    narrow.where(share == 3).write.parquet(f"{root}/src/de/src_de_ord/c/deeper/nested")
+    orders.where(share == 4).write.mode("append").parquet(f"{root}/src/de")
     # The nested folder counts as changed before the window.
+    listed = files.listing(spark, root, "src/de/")
     old = F.contains("path", F.lit("/nested/"))
     timed = written(listed.withColumn("modified", F.when(old, F.lit(datetime(1960, 1, 1))).otherwise(F.col("modified"))), "listing")
     rule = paths.EntityRule.of(SOURCE_TEMPLATE)
@@ -529,9 +658,12 @@ def landed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits, _ = selection.mappable(found, rule)
     targeted = selection.with_target(fits, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
     plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
-    target = shared_folder(spark, "landing")
-    landing.write_entity(plan, "ord", root, target, paths_per_read=1)
-    return files.entity(spark, target)
+    landed = []
+    for chunk in (1, 2, PATHS_PER_READ):
+        target = shared_folder(spark, "landing")
+        landing.write_entity(plan, "ord", root, target, paths_per_read=chunk)
+        landed.append(files.entity(spark, target).select("o_orderkey", "o_custkey", F.lit(chunk).alias("chunk")))
+    return pages.union_all(landed)
 
 
 def control_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,7 +727,9 @@ def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
     kinds = profile.schemas(spark, places)
     catalog.publish(spark, database, [catalog.EntityTable(n, places[n], kinds[n]) for n in places])
-    rows = [{"entity": n, "table_count": spark.table(f"{database}.{n}").count()} for n in catalog.tables(spark, database)]
+    names = catalog.tables(spark, database)
+    numbers = run_all(spark, lambda name: spark.table(f"{database}.{name}").count(), names)
+    rows = [{"entity": name, "table_count": number} for name, number in zip(names, numbers)]
     return counts.join(relation(spark, rows, "entity string, table_count bigint"), "entity")
 
 
@@ -667,6 +801,11 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     published_counts,
     cleared_tables,
     inventory_selection,
+    resumed_load,
+    committed_landing,
+    compacted_control,
+    observed_counts,
+    landed_since,
 )
 
 

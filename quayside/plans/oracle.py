@@ -200,7 +200,39 @@ SQL = {
         select lower(event_type) as entity, event_id, ts, user_id, event_type, value, props
         from events""",
     "landed_exactly": """
-        select o_orderkey, o_custkey from orders where o_orderkey % 4 in (0, 2)""",
+        select o_orderkey, o_custkey, chunk from orders, (values (1), (2), (20000)) c(chunk)
+        where o_orderkey % 5 in (1, 2)""",
+    "resumed_load": """
+        with h as (select max(o_orderdate) as hi from orders),
+        p as (select o_orderkey, o_orderdate, hi from orders, h
+              where o_orderdate between timestamp '1995-01-01 00:00:00' and hi)
+        select cast(o_orderkey as varchar) as o_orderkey,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate,
+               (select count(*) from p) as row_count, cast(1 as bigint) as details,
+               (select count(*) from p) as detailed, hi as file_mark, hi as entity_mark
+        from p""",
+    "committed_landing": """
+        select o_orderkey, o_custkey,
+               (select count(*) from orders where o_orderkey % 3 = 0) as first,
+               (select count(*) from orders where o_orderkey % 3 = 0) as after_one,
+               (select count(*) from orders where o_orderkey % 3 = 0) as after_two,
+               (select count(*) from orders where o_orderkey % 3 = 2) as written
+        from orders where o_orderkey % 3 = 2""",
+    "compacted_control": """
+        with l as (select user_id, event_type, max(ts) as last, count(*) as n
+                   from events group by user_id, event_type)
+        select user_id, arg_max(event_type, last) as job_run_status,
+               cast(arg_max(n, last) as varchar) as error_message, count(*) as logged,
+               max(last) as mark, true as few_files
+        from l group by user_id""",
+    "observed_counts": """
+        select lower(event_type) as entity, count(*) as observed, cast(6 as bigint) as columns,
+               count(*) as row_count
+        from events group by 1""",
+    "landed_since": """
+        select load_id, (select count(*) from events) as row_count, cast(3 as bigint) as loads,
+               cast(0 as bigint) as before
+        from (values ('20240101000000'), ('20240102000000'), ('20240103000000')) l(load_id)""",
     "control_round_trip": """
         with m as (select strftime(o_orderdate, '%Y%m01000000') as load_id, count(*) as row_count,
                           max(o_orderdate) as last
@@ -230,10 +262,9 @@ SQL = {
             for name in PULLED
         ]
         + [
-            f"select 'doc_{lang}' as entity, 'product doc_{lang}' as data_product, "
-            f"'file' as subject_area, count(*) as row_count from documents "
-            f"where lang = '{lang}'"
-            for lang in ("de", "en", "es", "fr")
+            "select 'doc_' || coalesce(lang, 'none') as entity, "
+            "'product doc_' || coalesce(lang, 'none') as data_product, "
+            "'file' as subject_area, count(*) as row_count from documents group by lang"
         ]
     ),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import metadata, runs
 from quayside.params import LoadParams
-from quayside.sources import control
+from quayside.sources import control, folders
 from quayside.sources.relations import relation, shared_folder
 from tools import CURRENT, LAST, values
 
@@ -173,3 +173,77 @@ def test_appends_at_the_same_time(spark, tmp_path):
         list(pool.map(write, range(16)))
     found = sorted(row.load_id for row in store.read("process_log").collect())
     assert found == sorted(f"{writer}-{n}" for writer in range(16) for n in range(6))
+
+
+#: Appends of a writer; the test was run once with 625, ten thousand in all.
+EACH = 60
+
+
+def test_many_appends_are_read_through_few_files(spark, tmp_path):
+    """Appends of 16 writers, compacted by two others meanwhile, are neither lost nor doubled."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+
+    def write(writer):
+        for n in range(EACH):
+            row = runs.status_row(LoadParams("src", "de", "eu", f"{writer}-{n}"), "success")
+            store.append_rows("process_log", [{**row, "logged_at": CURRENT}])
+
+    with ThreadPoolExecutor(18) as pool:
+        writers = [pool.submit(write, writer) for writer in range(16)]
+
+        def compact():
+            while not all(writer.done() for writer in writers):
+                store.compact("process_log")
+
+        compactors = [pool.submit(compact) for _ in range(2)]
+        for future in (*writers, *compactors):
+            future.result()
+    expected = sorted(f"{writer}-{n}" for writer in range(16) for n in range(EACH))
+    assert sorted(row.load_id for row in store.read("process_log").collect()) == expected
+    store.maintain(tail=0)
+    assert len(store.snapshot("process_log").names) <= control.PARTS
+    found = store.read("process_log")
+    assert sorted(row.load_id for row in found.collect()) == expected
+    assert len(found.inputFiles()) <= 4 * control.PARTS
+    # Covered files go with the compactions that follow.
+    for _ in range(3):
+        runs.append_status(store, PARAMS, "success")
+        store.compact("process_log")
+    left = [e.name for e in folders.entries(spark, store.path("process_log"))]
+    assert len(left) < 3 * control.PARTS
+    assert store.read("process_log").count() == 16 * EACH + 3
+
+
+def test_only_the_last_mark_of_a_key_stays(spark, tmp_path):
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    for n in range(40):
+        at = LAST + timedelta(seconds=n)
+        mark = {"source_cluster": f"s{n % 2}", "last_run_start_time": at, "load_id": str(n), "logged_at": at}
+        store.append_rows("file_watermark", [mark])
+        if n % 10 == 9:
+            store.compact("file_watermark")
+    found = store.read("file_watermark")
+    assert values(found, "source_cluster", "load_id") == [("s0", "38"), ("s1", "39")]
+    assert store.compact("file_watermark").tail == ()
+
+
+def test_an_append_with_a_token_is_made_once(spark, tmp_path):
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    for _ in range(2):
+        for _ in range(2):
+            runs.append_status(store, PARAMS, "success", token="src-load")
+        store.compact("process_log")
+    runs.append_status(store, PARAMS, "success", token="other-load")
+    assert store.read("process_log").count() == 2
+
+
+def test_a_table_of_folders_is_still_read(spark, tmp_path):
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    rows = relation(spark, [{"process_id": "p", "job_id": "1", "job_name": "a", "seq": 1}], control.SCHEMAS["job_config"])
+    store.append("job_config", rows)
+    store.append_rows("job_config", [{"process_id": "p", "job_id": "2", "job_name": "b", "seq": 2}])
+    assert values(store.read("job_config"), "job_id") == [("1",), ("2",)]
+    store.compact("job_config")
+    assert values(store.read("job_config"), "job_id") == [("1",), ("2",)]
