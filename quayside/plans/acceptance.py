@@ -757,6 +757,28 @@ def inventory_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.select_files(known, WINDOW, _document_folders(spark), LOAD_ID).select("path", "modified")
 
 
+def listed_by_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a folder a month and priority, listed by tasks over few and over many
+    folders and by the driver: files and bytes that each finds, and rows they hold."""
+    orders = table(spark, sf_dir, "orders")
+    root = shared_folder(spark, "tree")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    placed = orders.select("o_orderkey", "o_orderpriority", month.alias("month")).repartition(8, "month")
+    placed.write.partitionBy("month", "o_orderpriority").parquet(root)
+    found = [
+        files.listing(spark, root, "month=").withColumn("by", F.lit("driver")),
+        files.listing_by_tasks(spark, root, "month=", enough=1).withColumn("by", F.lit("one")),
+        files.listing_by_tasks(spark, root, "month=").withColumn("by", F.lit("tasks")),
+    ]
+    part = F.regexp_extract("path", "month=([^/]*)/", 1)
+    listed = pages.union_all(found).groupBy(part.alias("month"), "path", "modified", "size").agg(F.count(F.lit(1)).alias("ways"))
+    folders_of = listed.groupBy("month").agg(
+        F.count_distinct(F.substring_index("path", "/", 2)).alias("folders"), F.min("ways").alias("ways")
+    )
+    held = spark.read.parquet(root).groupBy(F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("row_count"))
+    return folders_of.join(held, "month")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     landing_report,
     entity_row_counts,
@@ -806,6 +828,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     compacted_control,
     observed_counts,
     landed_since,
+    listed_by_tasks,
 )
 
 

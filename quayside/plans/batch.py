@@ -352,7 +352,7 @@ def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
     are listed besides it.
     """
     if inventory is None:
-        return files.listing(spark, layout.source_root, layout.search_prefix)
+        return files.listing_by_tasks(spark, layout.source_root, layout.search_prefix)
     # Versions that cannot matter leave before the inventory is brought together:
     # of a key whose latest version is in the window, that version stays.
     later = F.col("modified") > F.lit(layout.last)
@@ -362,7 +362,7 @@ def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
     own = [name for name in own if folders.exists(spark, f"{layout.source_root}/{name}")]
     if not own:
         return known
-    pulled = files.with_prefix(files.listing(spark, layout.source_root, *own), layout.search_prefix)
+    pulled = files.with_prefix(files.listing_by_tasks(spark, layout.source_root, *own), layout.search_prefix)
     return pulled.unionByName(known.join(pulled, "path", "left_anti"))
 
 
@@ -438,7 +438,7 @@ def _landed_before(spark: SparkSession, layout: Layout, params: LoadParams, cont
         return True
     if not landed_by_others:
         return False
-    landed = files.listing(spark, layout.landing_root, layout.all_loads_prefix())
+    landed = files.listing_by_tasks(spark, layout.landing_root, layout.all_loads_prefix())
     data = selection.changed(landed, "modified", window).where(
         paths.is_data_file(F.col("path"))
     )

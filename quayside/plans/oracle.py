@@ -229,6 +229,10 @@ SQL = {
         select lower(event_type) as entity, count(*) as observed, cast(6 as bigint) as columns,
                count(*) as row_count
         from events group by 1""",
+    "listed_by_tasks": """
+        select strftime(o_orderdate, '%Y-%m') as month, count(distinct o_orderpriority) as folders,
+               cast(3 as bigint) as ways, count(*) as row_count
+        from orders group by 1""",
     "landed_since": """
         select load_id, (select count(*) from events) as row_count, cast(3 as bigint) as loads,
                cast(0 as bigint) as before

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quayside.constants import FORMATS, METADATA_TASKS
 from quayside.functions import paths, schemas
-from quayside.sources import folders
+from quayside.sources import folders, tree
 from quayside.sources.relations import relation
 
 LISTING_DDL = "path string, uri string, modified timestamp, size bigint"
@@ -51,6 +51,19 @@ def listing(spark: SparkSession, root: str, *prefixes: str) -> DataFrame:
     return with_prefix(keyed, *prefixes)
 
 
+def listing_by_tasks(spark: SparkSession, root: str, *prefixes: str, enough: int = tree.FOLDERS) -> DataFrame:
+    """As ``listing``, by tasks that walk the folders, so that the driver holds folders only.
+
+    ``uri`` is null. A store that tasks cannot reach is listed by the driver.
+    """
+    if not tree.reachable(spark, root):
+        return listing(spark, root, *prefixes)
+    below = sorted({prefix.rpartition("/")[0] for prefix in prefixes or ("",)})
+    # A folder within another would be walked twice.
+    outer = [f for f in below if not any(f != o and (not o or f.startswith(f"{o}/")) for o in below)]
+    return with_prefix(tree.listed(spark, root, outer, enough), *prefixes)
+
+
 def inventory(files: DataFrame) -> DataFrame:
     """An inventory table ``(path, modified)`` in the form of a listing.
 

@@ -21,6 +21,11 @@ def key_root(spark: SparkSession, path: str) -> str:
     return _at(spark, path)[1].toUri().getPath().rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, without a slash at its end."""
+    return _at(spark, path)[1].toString().rstrip("/")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     store, place = _at(spark, path)
     return store.exists(place)
