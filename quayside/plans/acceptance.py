@@ -273,6 +273,84 @@ def failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.summary(found).select("failed_pages", "row_count")
 
 
+def ordered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a page of its conversation's response that names the page after it: the
+    place of each along those links."""
+    turns = table(spark, sf_dir, "conversations")
+    ahead = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.lit(True).alias("more"))
+    page = F.struct(
+        F.lit("SUCCESS").alias("responseStatus"),
+        F.struct(F.when(F.col("more"), F.concat(F.lit("/api/turns?page="), (F.col("turn") + 1).cast("string"))).alias("next_page")).alias("responseDetails"),
+        F.array(F.struct("text", "role", "turn", "conv_id")).alias("data"),
+    )
+    folder = shared_folder(spark, "response-pages")
+    turns.join(ahead, ["conv_id", "turn"], "left").select(F.to_json(page).alias("value")).write.text(folder)
+    found = pages.read(spark, folder, ["conv_id", "turn", "role"], one_per_line=True)
+    record = F.get("data", F.lit(0))
+    placed = pages.ordered(pages.checked(found), name=record["turn"], follows=F.nullif(F.regexp_extract("responseDetails.next_page", "page=(.*)$", 1), F.lit("")), response=record["conv_id"])
+    return placed.select("place", F.inline("data"))
+
+
+def switched_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views over three generations of tables, of which the second cannot be built: rows
+    before and after the failure, and of the generation shown at last."""
+    database = f"landing_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'database')}'")
+    names = ("region", "nation", "orders", "customer")
+    locations = {name: f"{sf_dir}/{name}.parquet" for name in names}
+    kinds = profile.schemas(spark, locations)
+    swapped = dict(zip(names, (*names[1:], names[0])))
+
+    def generation(places: dict[str, str]) -> list[catalog.EntityTable]:
+        return [catalog.EntityTable(name, locations[at], kinds[at]) for name, at in places.items()]
+
+    def shown() -> dict[str, int]:
+        found = catalog.views(spark, database)
+        return dict(zip(found, run_all(spark, lambda name: spark.table(f"{database}.{name}").count(), found)))
+
+    same = {name: name for name in names}
+    catalog.switch(spark, database, [*generation(same), catalog.EntityTable("gone", locations["region"], kinds["region"])], "g1")
+    before = shown()
+    broken = generation(swapped)
+    try:
+        catalog.switch(spark, database, [*broken[:2], catalog.EntityTable("bad", "nostore://x", kinds["region"]), *broken[2:]], "g2")
+    except Exception:
+        after = shown()
+    catalog.switch(spark, database, generation(swapped), "g3")
+    rows = [{"name": name, "first": before.get(name), "after_failure": after.get(name), "last": shown().get(name)} for name in sorted({*before, *after})]
+    return relation(spark, rows, "name string, first bigint, after_failure bigint, last bigint")
+
+
+def sliced_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items pulled from a watermark for each part, a third of them being of one entity:
+    by a join of time slices, and for the lines of few suppliers by one filter."""
+    lines = table(spark, sf_dir, "lineitem")
+    hot = F.pmod("l_orderkey", F.lit(3)) == 0
+    feed = lines.select("l_orderkey", "l_linenumber", "l_shipdate", F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("p"), "l_partkey")).alias("entity"))
+    since = _ntz("1995-01-01 00:00:00") + F.make_dt_interval(F.length("entity") * 100)
+    marks = feed.select("entity").distinct().withColumn("last_ts", since)
+    current = datetime(1997, 6, 30)
+    joined = pull.incremental_sliced(feed, marks, "entity", "l_shipdate", current, filtered=0)
+    few = pull.incremental_sliced(feed, marks.where("entity in ('hot', 'p1', 'p22')"), "entity", "l_shipdate", current)
+    return joined.withColumn("way", F.lit("joined")).unionByName(few.withColumn("way", F.lit("filtered")))
+
+
+def pull_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders pulled in three windows that meet on days with orders: no row comes twice, and
+    rows that reach a bound after it was pulled come once."""
+    orders = table(spark, sf_dir, "orders")
+    bounds = [datetime(1993, 1, 1), datetime(1994, 6, 15), datetime(1996, 2, 29), datetime(1998, 1, 1)]
+    known = pull.Boundaries(spark, shared_folder(spark, "boundaries"))
+    late = F.pmod("o_orderkey", F.lit(7)) == 0
+    found = []
+    for number, (last, current) in enumerate(zip(bounds, bounds[1:])):
+        # Every seventh order of the bound is not there yet when that bound is pulled.
+        there = orders.where(~(late & (F.col("o_orderdate") == times.bound(orders, "o_orderdate", current))))
+        rows = known.pulled(there, "de_orders", ["o_orderkey", "o_custkey", "o_orderdate"], "o_orderdate", last, current)
+        found.append(written(rows.withColumn("pull", F.lit(number)), "pulled"))
+    return pages.union_all(found)
+
+
 def _turns_as_pages(spark: SparkSession, sf_dir: str, status: Column) -> DataFrame:
     record = F.struct("text", "role", "turn", "conv_id")
     page = F.struct(
@@ -523,15 +601,16 @@ def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             continue
         raise RuntimeError(f"the load did not come to {stop}")
     outcome = batch.land_batch(spark, params, store, source)
-    report = outcome.report.select("entity", "row_count")
-    details = store.read("run_details").groupBy("entity").agg(F.count(F.lit(1)).alias("details"), F.sum("row_count").alias("detailed"))
-    marks = {
+    details = store.read("run_details").where("entity = 'orders'").agg(F.count(F.lit(1)).alias("details"), F.sum("row_count").alias("detailed"))
+    found = {
+        "row_count": outcome.report.select("row_count").scalar(),
+        "details": details.select("details").scalar(),
+        "detailed": details.select("detailed").scalar(),
         "file_mark": store.path_config().select(F.col("last_run_start_time").cast("timestamp_ntz")).scalar(),
         "entity_mark": store.source_metadata().select(F.col("last_run_ts").cast("timestamp_ntz")).scalar(),
     }
     database = store.read("process_config").first().landing_database
-    rows = spark.table(f"{database}.orders").withColumn("entity", F.lit("orders"))
-    return rows.join(report, "entity").join(details, "entity").select(*columns, "row_count", "details", "detailed").withColumns(marks)
+    return spark.table(f"{database}.orders").select(*columns).withColumns(found)
 
 
 def committed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -829,6 +908,10 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     observed_counts,
     landed_since,
     listed_by_tasks,
+    ordered_pages,
+    switched_tables,
+    sliced_pull,
+    pull_without_repeats,
 )
 
 

@@ -44,23 +44,30 @@ class EntityPull:
 PullSource = Callable[[EntityPull], DataFrame]
 
 
-def from_tables(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame]) -> PullSource:
-    """Pull entities from tables Spark can read, by lower-cased entity name."""
+def from_tables(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
+                boundaries: pull.Boundaries | None = None) -> PullSource:
+    """Pull entities from tables Spark can read, by lower-cased entity name. With
+    ``boundaries`` a row on the bound between two loads comes with the first only."""
     find = tables.__getitem__ if isinstance(tables, Mapping) else tables
 
     def rows(item: EntityPull) -> DataFrame:
         table = find(item.entity.lower())
-        return pull.incremental(table, item.columns, item.ts_column, item.last, item.current)
+        if boundaries is None:
+            return pull.incremental(table, item.columns, item.ts_column, item.last, item.current)
+        return boundaries.pulled(table, item.source_metadata_id, item.columns, item.ts_column, item.last, item.current)
 
     return rows
 
 
 def from_pages(spark: SparkSession, folder: Callable[[str], str],
-               one_per_line: bool = False) -> PullSource:
-    """Pull entities from landed response pages; a failed page fails the load."""
+               one_per_line: bool = False, linked: bool = False) -> PullSource:
+    """Pull entities from landed response pages; a failed page fails the load. So does, with
+    ``linked``, a page that is not there though another leads to it by its file's name."""
 
     def rows(item: EntityPull) -> DataFrame:
         found = pages.read(spark, folder(item.entity.lower()), item.columns, one_per_line)
+        if linked:
+            found = pages.ordered(found)
         return pages.to_rows(pages.checked(found))
 
     return rows

@@ -229,6 +229,35 @@ SQL = {
         select lower(event_type) as entity, count(*) as observed, cast(6 as bigint) as columns,
                count(*) as row_count
         from events group by 1""",
+    "ordered_pages": """
+        select row_number() over (partition by conv_id order by turn) - 1 as place,
+               cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn, role
+        from conversations""",
+    "switched_tables": f"""
+        select n.name, a.row_count as first, a.row_count as after_failure, b.row_count as last
+        from (values ('region', 'region', 'nation'), ('nation', 'nation', 'orders'),
+                     ('orders', 'orders', 'customer'), ('customer', 'customer', 'region'),
+                     ('gone', 'region', null)) n(name, now, later)
+             join ({ROW_COUNTS}) a on a.entity = n.now
+             left join ({ROW_COUNTS}) b on b.entity = n.later""",
+    "sliced_pull": """
+        with f as (select l_orderkey, l_linenumber, l_shipdate,
+                          case when l_orderkey % 3 = 0 then 'hot' else 'p' || l_partkey end as entity
+                   from lineitem),
+        p as (select * from f
+              where l_shipdate between timestamp '1995-01-01 00:00:00' + length(entity) * interval '100' day
+                                   and timestamp '1997-06-30 00:00:00')
+        select *, 'joined' as way from p
+        union all select *, 'filtered' as way from p where entity in ('hot', 'p1', 'p22')""",
+    "pull_without_repeats": """
+        with b as (select * from (values
+                (0, timestamp '1993-01-01 00:00:00', timestamp '1994-06-15 00:00:00'),
+                (1, timestamp '1994-06-15 00:00:00', timestamp '1996-02-29 00:00:00'),
+                (2, timestamp '1996-02-29 00:00:00', timestamp '1998-01-01 00:00:00')) b(pull, lo, hi))
+        select o_orderkey, o_custkey, o_orderdate, pull
+        from orders join b on (o_orderdate > lo and o_orderdate < hi)
+             or (o_orderdate = hi and o_orderkey % 7 <> 0)
+             or (o_orderdate = lo and (pull = 0 or o_orderkey % 7 = 0))""",
     "listed_by_tasks": """
         select strftime(o_orderdate, '%Y-%m') as month, count(distinct o_orderpriority) as folders,
                cast(3 as bigint) as ways, count(*) as row_count

@@ -258,3 +258,62 @@ def test_a_pull_is_written_to_few_files(spark, tmp_path):
     sized, as_read = (len(list((tmp_path / n).glob("part-*"))) for n in ("sized", "as_read"))
     assert (sized, as_read) == (1, 64)
     assert spark.read.parquet(str(tmp_path / "sized")).count() == 64
+
+
+def five(spark, tmp_path, rows):
+    names = "abcde"
+    for name in names:
+        spark.range(rows).selectExpr("id", f"'{rows}' as c{rows}").write.mode("overwrite").parquet(str(tmp_path / f"{name}{rows}"))
+    schema = spark.read.parquet(str(tmp_path / f"a{rows}")).schema
+    return [catalog.EntityTable(name, str(tmp_path / f"{name}{rows}"), schema) for name in names]
+
+
+def counts_of(spark, database):
+    return {name: (spark.table(f"{database}.{name}").count(), spark.table(f"{database}.{name}").columns[1]) for name in catalog.tables(spark, database)}
+
+
+def third_fails(monkeypatch, spark, statement):
+    """The third statement of a kind fails."""
+    done, plain = [], spark.sql
+
+    def sql(text, *args, **options):
+        if text.startswith(statement):
+            done.append(text)
+            if len(done) == 3:
+                raise RuntimeError("catalog is away")
+        return plain(text, *args, **options)
+
+    monkeypatch.setattr(spark, "sql", sql)
+
+
+@pytest.mark.parametrize("fails", ["table", "view"])
+def test_a_switch_that_fails_at_the_third_of_five(spark, tmp_path, monkeypatch, fails):
+    database = f"db_{tmp_path.name}"
+    catalog.switch(spark, database, five(spark, tmp_path, 3), "g1")
+    old = counts_of(spark, database)
+    assert old == {name: (3, "c3") for name in "abcde"}
+    new = five(spark, tmp_path, 5)
+    with monkeypatch.context() as patch:
+        if fails == "view":
+            third_fails(patch, spark, "CREATE OR REPLACE VIEW")
+        broken = [*new[:2], catalog.EntityTable("c", "nostore://x", new[2].schema), *new[3:]] if fails == "table" else new
+        with pytest.raises(Exception):
+            catalog.switch(spark, database, broken, "g2")
+    assert counts_of(spark, database) == old
+    catalog.switch(spark, database, new[:4], "g3")
+    assert counts_of(spark, database) == {name: (5, "c5") for name in "abcd"}
+    for number in range(4, 7):
+        catalog.switch(spark, database, new, f"g{number}")
+    assert len(catalog._generations(spark, database)) <= 3
+
+
+def test_a_publish_that_fails_puts_tables_back(spark, tmp_path):
+    database = f"db_{tmp_path.name}"
+    catalog.publish(spark, database, five(spark, tmp_path, 3)[:4])
+    old = counts_of(spark, database)
+    new = five(spark, tmp_path, 5)
+    with pytest.raises(Exception):
+        catalog.publish(spark, database, [*new[:2], catalog.EntityTable("c", "nostore://x", new[2].schema), *new[3:]])
+    assert counts_of(spark, database) == old
+    catalog.publish(spark, database, new)
+    assert counts_of(spark, database) == {name: (5, "c5") for name in "abcde"}

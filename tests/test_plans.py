@@ -120,3 +120,58 @@ def test_hot_entity_with_own_watermark(spark):
         if 1_700_000_000 + len(row.e) * 1000 <= row.s <= 1_700_008_000
     ]
     assert sorted(row.id for row in found.collect()) == sorted(expected)
+
+
+def test_a_hot_entity_is_many_keys(spark):
+    """A third of all rows in one entity, no broadcast: the largest task is near the median."""
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id"), F.lit(10_000)))
+    name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(900))))
+    feed = spark.range(90_000).select(name.alias("e"), at.alias("ts"), "id")
+    marks = feed.select(F.col("e").alias("entity")).distinct().withColumn("last_ts", F.timestamp_seconds(F.lit(1_700_000_000)))
+    current = datetime.fromtimestamp(1_700_010_000, timezone.utc)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.adaptive.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = pull.incremental_sliced(feed, marks, "e", "ts", current, filtered=0)
+        sizes = sorted(row[0] for row in found.groupBy(F.spark_partition_id()).count().select("count").collect())
+        whole = pull.incremental_many(feed, marks, "e", "ts", current)
+        skewed = sorted(row[0] for row in whole.groupBy(F.spark_partition_id()).count().select("count").collect())
+        assert values(found) == values(whole) and sum(sizes) == 90_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    median = sizes[len(sizes) // 2]
+    assert sizes[-1] < 1.6 * median < skewed[-1]
+
+
+def test_few_windows_are_one_pushed_filter(spark):
+    feed = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type", "ts", "event_id")
+    marks = feed.select(F.col("event_type").alias("entity")).distinct().withColumn("last_ts", F.lit("2024-01-02").cast("timestamp_ntz"))
+    found = pull.incremental_sliced(feed, marks, "event_type", "ts", datetime(2024, 1, 9))
+    text = details(found)
+    assert "Join" not in text and "Exchange" not in text and "GreaterThanOrEqual(ts" in text
+
+
+def test_rows_on_a_bound_come_once(spark, tmp_path):
+    """Equal rows count: as many are left out as were pulled before."""
+    def day(n):
+        return datetime(2024, 1, n)
+
+    def table(*rows):
+        return spark.createDataFrame([(day(n), key, None) for n, key in rows], "at timestamp_ntz, id string, x string")
+
+    known = pull.Boundaries(spark, str(tmp_path / "b"))
+
+    def ids(source, last, current):
+        return sorted(row.id for row in known.pulled(source, "de/ord", ["id", "x"], "at", day(last), day(current)).collect())
+
+    rows = [(1, "a"), (2, "b"), (2, "b"), (3, "c")]
+    assert ids(table(*rows), 1, 2) == ["a", "b", "b"]
+    assert ids(table(*rows, (2, "b"), (2, "late")), 2, 3) == ["b", "c", "late"]
+    assert ids(table(*rows), 3, 4) == []
+    # The same window again gives the same rows.
+    assert ids(table(*rows, (2, "b"), (2, "late")), 2, 3) == ["b", "c", "late"]
