@@ -5,6 +5,10 @@ A batch is reduced to one row per digest before and after its shuffle; a
 sort-merge anti join with the index leaves what is new, which is appended. Only
 DataFrame operations are used.
 
+Every row of the index names the batch that added it. A batch that is run again under its
+id, because what came after it was lost, meets its own rows as if they were not there
+yet and so keeps what it kept before.
+
 Null texts count as empty. Of equal texts in a batch the row with the largest id
 stays; a digest that an earlier batch added stays with the row that added it, so
 adding a batch again changes nothing. Ids may be null (the smallest) or repeat.
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from quayside.llm.spread import join_unique, whole
 from quayside.sources.relations import shared_folder, written
 
-SCHEMA = "digest binary, keep_id bigint, group_size bigint, repeats bigint"
+SCHEMA = "digest binary, keep_id bigint, group_size bigint, repeats bigint, batch string"
 
 
 def digest(text: str = "text") -> Column:
@@ -46,14 +50,18 @@ class DigestIndex:
         """Forget the table's name; its files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
-    def add(self, batch: DataFrame, doc_id: str = "doc_id") -> None:
-        """Add the digests of ``batch(digest, doc_id)`` that the index lacks.
+    def add(self, rows: DataFrame, doc_id: str = "doc_id", batch: str | None = None) -> DataFrame:
+        """Add the digests of ``rows(digest, doc_id)`` that no other batch added; returns them.
 
         ``group_size`` is the number of rows with the digest in the batch that
         added it, ``repeats`` how many of them have the id that stays.
         """
-        known = self.rows().select("digest").hint("merge")
-        self.append(one_per_digest(batch, doc_id).join(known, "digest", "left_anti"))
+        batch = batch or uuid4().hex
+        known = self.rows().where(F.col("batch") != batch).select("digest").hint("merge")
+        fresh = written(one_per_digest(rows, doc_id).join(known, "digest", "left_anti"), "fresh")
+        mine = self.rows().where(F.col("batch") == batch).select("digest").hint("merge")
+        self.append(fresh.join(mine, "digest", "left_anti").withColumn("batch", F.lit(batch)))
+        return fresh
 
     def append(self, fresh: DataFrame) -> None:
         """Append rows whose digests the index lacks."""
@@ -75,25 +83,24 @@ def one_per_digest(batch: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     )
 
 
-def memberships(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id") -> DataFrame:
-    """``(doc_id, digest, keep_id, group_size)`` of every row; adds it to the index."""
+def memberships(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", batch: str | None = None) -> DataFrame:
+    """``(doc_id, digest, keep_id, group_size)`` of every row; adds it to the index, which
+    may be closed after."""
     digests = written(docs.select(F.col(doc_id).alias("doc_id"), digest().alias("digest")), "digests")
-    index.add(digests)
+    index.add(digests, batch=batch)
     counts = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("share"))
-    facts = index.rows().drop("repeats").join(counts, "digest")
+    facts = written(index.rows().drop("repeats", "batch").join(counts, "digest"), "facts")
     return join_unique(digests, facts, "digest", "share")
 
 
-def keep_one(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, whole: one per text that is new to the index.
 
-    The join is by digest and id, so copies of a text spread by their ids.
+    The join is by digest and id, so copies of a text spread by their ids. The index may
+    be closed after; a caller whose rows are lost runs it again with the same ``batch``.
     """
     keyed = docs.select(whole(docs), F.col(doc_id).alias("_id"), digest(text).alias("_digest"))
-    batch = keyed.select(F.col("_id").alias("keep_id"), F.col("_digest").alias("digest"))
-    known = index.rows().select("digest").hint("merge")
-    fresh = written(one_per_digest(batch, "keep_id").join(known, "digest", "left_anti"), "kept")
-    index.append(fresh)
+    fresh = index.add(keyed.select(F.col("_id").alias("keep_id"), F.col("_digest").alias("digest")), "keep_id", batch)
 
     def chosen(which: DataFrame) -> DataFrame:
         which = which.select("digest", "keep_id")

@@ -29,6 +29,8 @@ DIMENSIONS, LONGEST = 4_096, 3
 SAMPLE, CENTROIDS, ROUNDS = 400, 4, 12
 REJECTED = 0.002
 UNKNOWN = "und"
+#: What the likeness of a text to its own centre may differ by between batches.
+ROUNDING = 1e-4
 #: Texts of so many rows are held as dense vectors at once.
 BLOCK = 256
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -73,8 +75,9 @@ def clustered(rows: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.ndarra
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     like = rows @ centres.T
     near = like.argmax(axis=1)
-    limits = [np.quantile(like[near == c, c], REJECTED) if (near == c).any() else 0.0 for c in range(len(centres))]
-    return centres.astype(np.float32), np.array(limits)
+    held = np.unique(near)  # a centre that lost all its rows says nothing
+    limits = [np.quantile(like[near == c, c], REJECTED) - ROUNDING for c in held]
+    return centres[held].astype(np.float32), np.array(limits)
 
 
 @dataclass(frozen=True)

@@ -65,7 +65,8 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float
 
 
 def rate(cap: float) -> Column:
-    return F.least(F.lit(cap), F.exp(F.least(F.lit(30.0), F.col("lam") * F.col("size") / F.col("unit"))))
+    tilted = F.least(F.lit(cap), F.exp(F.least(F.lit(30.0), F.col("lam") * F.col("size") / F.col("unit"))))
+    return F.when(F.col("size") > 0, tilted).otherwise(1.0)
 
 
 def balance(counts: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
@@ -113,6 +114,9 @@ def balance(counts: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
             ),
             "dual",
         )
+    left = state.where("not done").select("key").first()
+    if left is not None:
+        raise ArithmeticError(f"source {left.key[1:]!r} has no rates after {STEPS} steps")
     return state
 
 

@@ -59,7 +59,9 @@ def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.fresh_index(spark)
-    return exact_dedup.memberships(documents(spark, sf_dir), index).select(
+    found = exact_dedup.memberships(documents(spark, sf_dir), index)
+    index.close()
+    return found.select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -85,7 +87,8 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives, index = shared_folder(spark, "warc"), shared_folder(spark, "capture-index")
     warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), archives)
     warc.index(spark, archives, index)
-    found = warc.records(warc.indexed(spark, index))
+    urls = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url")
+    found = warc.records(warc.lookup(spark, index, urls))
     response = F.col("record_type") == "response"
     return found.select(
         "page_id",

@@ -12,7 +12,8 @@ goes to one section by an explicit rule:
 A token whose place lies in no section is counted in section -1, so the sum over
 sections is the document's count. A token that is part of a character lies at that
 character. Null and empty texts have one section, 0, from 0 to 0 without tokens,
-and so have documents with no sections besides any tokens outside.
+and so have documents with no sections besides any tokens outside. A token crosses if it
+is neither within one section nor outside of all. Sections out of order or overlapping fail.
 """
 
 from __future__ import annotations
@@ -73,7 +74,10 @@ def allocated(
         return np.where((at >= 0) & (place < ends[np.maximum(at, 0)]), at, OUTSIDE) if len(starts) else np.full(len(place), OUTSIDE)
 
     head, tail = section(first), section(last)
-    crosses = head != tail
+    # A token with both ends outside may still have whole sections within it.
+    filled = starts[ends > starts]
+    within = np.searchsorted(filled, last, side="right") > np.searchsorted(filled, first, side="left")
+    crosses = (head != tail) | ((head == OUTSIDE) & within)
     if rule == "start":
         return head, crosses
     if rule == "end":
@@ -89,12 +93,14 @@ def allocated(
             crosses[i] = shared.max() < last[i] + 1 - first[i]
         else:
             chosen[i] = OUTSIDE
-            crosses[i] = bool(len(shared))
+            crosses[i] = shared.sum() > 0
     return chosen, crosses
 
 
 def counts(text: str, starts: np.ndarray, ends: np.ndarray, known: tuple, rule: str = "start") -> np.ndarray:
     """Rows of section, start, end, tokens and crossing tokens."""
+    if (starts > ends).any() or (starts[1:] < ends[:-1]).any():
+        raise ValueError("sections must be in order and must not overlap")
     encoder, lengths = known
     first, last = spans(text, encoder.encode_ordinary(text), lengths) if text else (np.zeros(0, int),) * 2
     at, crosses = allocated(first, last, starts, ends, rule)

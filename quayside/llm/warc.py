@@ -7,12 +7,14 @@ are revisits that refer to it and leave the payload out.
 
 ``index`` reads the archives' headers and sorts the captures by reversed-host key
 into compressed blocks of ``LINES`` lines; a directory keeps the first key of each
-block and its place. ``lookup`` searches the directory by bisection, reads the
-blocks it names and, with ``records``, the byte ranges of the captures.
+block and its place. ``lookup`` deals the keys of a table of urls to the parts of the
+directory, each of which a task holds and bisects; the blocks found are read once
+each, and ``records`` reads the byte ranges of the captures.
 
 Null html is an empty payload; a null url gives a record without target and an
 empty key; null ids refer to and are referred to by none. Rows with equal ids and
-payloads are all responses. Archives are read in tasks by pyarrow's file systems,
+payloads are all responses; of rows with one id and different payloads each is
+judged by its own. Archives are read in tasks by pyarrow's file systems,
 which know local, HDFS, S3 and GCS addresses.
 """
 
@@ -23,7 +25,7 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from hashlib import sha256
+from itertools import groupby
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -61,7 +63,7 @@ def surt(url: str | None) -> str:
 
 
 def revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html", least: int = LEAST) -> DataFrame:
-    """``(page_id, refers_to)`` of the pages that repeat an earlier one's payload."""
+    """``(page_id, digest, refers_to)`` of the pages that repeat an earlier one's payload."""
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     digests = written(
         pages.where((F.octet_length(payload) >= least) & F.col(page_id).isNotNull())
@@ -71,7 +73,12 @@ def revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html", lea
     groups = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("share"))
     facts = written(groups.where("share > 1"), "repeated")
     found = join_unique(digests, facts, "digest", "share").where("page_id > refers_to")
-    return written(found.select("page_id", "refers_to").distinct(), "revisits")
+    return written(found.select("page_id", "digest", "refers_to").distinct(), "revisits")
+
+
+def escaped(url: str) -> Column:
+    """A url as records hold it, on one line."""
+    return F.replace(F.replace(F.col(url).cast("string"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
 def record(page_id: str, url: str, html: str, refers_to: str, date: str) -> Column:
@@ -81,7 +88,7 @@ def record(page_id: str, url: str, html: str, refers_to: str, date: str) -> Colu
     size = F.octet_length(payload).cast("string")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
     block = F.when(again, http).otherwise(F.concat(http, payload))
-    target = F.replace(F.replace(F.col(url), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    target = escaped(url)
 
     def line(name: str, *value: Column) -> Column:
         return F.coalesce(F.concat(F.lit(f"{name}: "), *value, F.lit("\r\n")), F.lit(""))
@@ -111,8 +118,9 @@ def write(
 ) -> None:
     """Write the archives of ``pages`` to the new folder ``path``."""
     again = revisits(pages, page_id, html, least).withColumnRenamed("page_id", "of")
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    marked = rows.join(again, F.col("page_id") == F.col("of"), "left")
+    digest = F.unhex(F.sha2(F.coalesce(F.col(html), F.lit("")).cast("binary"), 256))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), digest.alias("_digest"))
+    marked = rows.join(again, (F.col("page_id") == F.col("of")) & (F.col("_digest") == F.col("digest")), "left")
     marked.select(record("page_id", "url", "html", "refers_to", date).alias("value")).write.option("lineSep", END.decode()).text(path)
 
 
@@ -182,14 +190,18 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
     return files(spark, path).mapInArrow(read, CAPTURE)
 
 
+#: Between the key and the rest of a line. No url of a record holds it: ``record`` escapes it.
+GAP = "\r"
+
+
 def line(row: tuple) -> bytes:
     """A capture as its key and the rest as JSON, on one line."""
-    return f"{row[0]} {json.dumps(row[1:])}\n".encode()
+    return f"{row[0]}{GAP}{json.dumps(row[1:])}\n".encode()
 
 
 def capture(text: str) -> tuple:
-    key, _, rest = text.rpartition(" [")
-    return (key, *json.loads(f"[{rest}"))
+    key, _, rest = text.partition(GAP)
+    return (key, *json.loads(rest))
 
 
 def index(spark: SparkSession, archives: str, path: str, lines: int = LINES) -> None:
@@ -227,7 +239,7 @@ def index(spark: SparkSession, archives: str, path: str, lines: int = LINES) ->
                     at, size = 0, file.size()
                     while at < size:
                         first, length = _first_line(file, at, size)
-                        row = [[first.rpartition(" [")[0]], [uri], [at], [length]]
+                        row = [[first.partition(GAP)[0]], [uri], [at], [length]]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(row, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
                             names=["first_key", "file", "offset", "length"],
@@ -252,57 +264,91 @@ def _first_line(file: pa.NativeFile, at: int, size: int) -> tuple[str, int]:
     return text[: text.index(b"\n")].decode(), read - len(reader.unused_data)
 
 
-def opened_blocks(entries: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Captures in the blocks that ``entries(file, offset, length)`` of a directory
-    name, all or those with one of ``keys``."""
-    wanted = None if keys is None else set(keys)
+def indexed(spark: SparkSession, path: str) -> DataFrame:
+    """All captures of an index."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for uri, at, length in zip(*(batch.column(n).to_pylist() for n in ("file", "offset", "length"))):
-                    with opened(uri) as file:
-                        text = zlib.decompress(file.read_at(length, at), wbits=31).decode()
-                    for found in map(capture, text.split("\n")[:-1]):
-                        if wanted is None or found[0] in wanted:
-                            yield found
+        yield from _batches(
+            row for b in batches for uri, at, length in zip(*(c.to_pylist() for c in b.columns)) for row in block_at(uri, at, length)
+        )
 
-        yield from _batches(rows())
+    entries = spark.read.parquet(f"{path}/directory").select("file", "offset", "length")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return entries.repartition(parts, "file", "offset").mapInArrow(read, CAPTURE)
 
-    return entries.select("file", "offset", "length").mapInArrow(read, CAPTURE)
 
+def block_at(uri: str, at: int, length: int) -> list[tuple]:
+    """The captures of one block."""
+    with opened(uri) as file:
+        text = zlib.decompress(file.read_at(length, at), wbits=31).decode()
+    return [capture(found) for found in text.split("\n")[:-1]]
 
-def indexed(spark: SparkSession, path: str) -> DataFrame:
-    """All captures of an index."""
-    entries = spark.read.parquet(f"{path}/directory")
-    return opened_blocks(entries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "offset"))
 
+def keys_of(urls: DataFrame, url: str = "url") -> DataFrame:
+    """``key`` of each different url."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(map(surt, batch.column(0).to_pylist()), pa.string())], names=["key"])
+
+    return urls.select(escaped(url)).distinct().mapInArrow(keyed, "key string").distinct()
 
-def lookup(spark: SparkSession, path: str, urls: list[str]) -> DataFrame:
-    """Captures of the given urls, by bisection in each part of the directory."""
-    keys = sorted({surt(url) for url in urls})
+
+def blocks_of(key: str, firsts: list[str]) -> range:
+    """Blocks, by number, that can hold a key: the last that begins before it, and those that begin with it."""
+    return range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key))
+
+
+def lookup(spark: SparkSession, path: str, urls: DataFrame, url: str = "url") -> DataFrame:
+    """Captures of a table of urls, however many; each capture once.
+
+    The driver holds the first key of each part of the directory. A key goes to the parts
+    that can have its blocks; a task has the entries of one part and bisects them.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    directory = spark.read.parquet(f"{path}/directory").select("first_key", "file", "offset", "length", F.input_file_name().alias("part"))
+    begins = directory.groupBy("part").agg(F.min(F.struct("first_key", "file", "offset")).alias("first")).orderBy("first").collect()
+    names, fences = [row.part for row in begins], [row["first"].first_key for row in begins]
+    kind = "part string, key string, file string, offset bigint, length bigint"
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(names[i], key) for key in batch.column(0).to_pylist() for i in blocks_of(key, fences)]
+            to, keys = (list(c) for c in zip(*found)) if found else ([], [])
+            none = [pa.nulls(len(to), t) for t in (pa.string(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.string()), pa.array(keys, pa.string()), *none], names=["part", "key", "file", "offset", "length"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # in the order of first keys
-            firsts = batch.column(0).to_pylist()
-            rows = []
-            for key in keys:
-                low, high = bisect_left(firsts, key), bisect_right(firsts, key)
-                rows += [(key, i == low - 1, i) for i in range(max(0, low - 1), high)]
-            at = pa.array([r[2] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_()), *(c.take(at) for c in batch.columns)],
-                names=["key", "before", "first_key", "file", "offset", "length"],
-            )
-
-    schema = "key string, before boolean, first_key string, file string, offset bigint, length bigint"
-    entries = spark.read.parquet(f"{path}/directory").select("first_key", "file", "offset", "length")
-    found = entries.mapInArrow(search, schema)
-    # Of the blocks that begin before a key only the last can have it.
-    place = F.struct("first_key", "file", "offset", "length").alias("e")
-    last = found.where("before").groupBy("key").agg(F.max(place).alias("e")).select("e.*")
-    same = found.where("not before").select(place).select("e.*")
-    return opened_blocks(last.unionByName(same).distinct(), keys)
+        of, firsts, places = None, [], []
+        for batch in batches:
+            found = []
+            for part, key, file, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != of:
+                    of, firsts, places = part, [], []
+                if file is not None:  # entries of a part stand before its keys
+                    firsts.append(key)
+                    places.append((file, offset, length))
+                else:
+                    found += [(part, key, *places[i]) for i in blocks_of(key, firsts)]
+            columns = list(zip(*found)) or [()] * 5
+            types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["part", "key", "file", "offset", "length"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            asked = (row for batch in batches for row in zip(*(batch.column(n).to_pylist() for n in ("file", "offset", "length", "key"))))
+            for place, keys in groupby(asked, key=lambda row: row[:3]):
+                wanted = {row[3] for row in keys}
+                yield from (found for found in block_at(*place) if found[0] in wanted)
+
+        yield from _batches(rows())
+
+    entries = directory.select("part", F.col("first_key").alias("key"), "file", "offset", "length")
+    sent = keys_of(urls, url).mapInArrow(dealt, kind)
+    both = entries.unionByName(sent).repartition(parts, "part")
+    searched = both.sortWithinPartitions("part", F.col("file").isNull(), "key", "file", "offset").mapInArrow(search, kind)
+    blocks = searched.select("file", "offset", "length", "key").distinct().repartition(parts, "file", "offset")
+    return blocks.sortWithinPartitions("file", "offset", "length").mapInArrow(read, CAPTURE)
 
 
 def records(found: DataFrame) -> DataFrame:

@@ -64,3 +64,21 @@ def test_plan_has_no_python_and_merges_by_sort(spark):
     plan = exact_dedup.one_per_digest(digests).join(known, "digest", "left_anti")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "Python" not in text and "Arrow" not in text
+
+
+def test_a_batch_run_again_keeps_what_it_kept(spark):
+    """What came after the index was lost; texts of other batches stay known."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None)], "doc_id bigint, text string")
+    more = spark.createDataFrame([(5, "b"), (6, "c"), (7, "c")], "doc_id bigint, text string")
+    index = exact_dedup.fresh_index(spark, 4)
+
+    def kept(rows, batch):
+        return sorted(r.doc_id for r in exact_dedup.keep_one(rows, index, batch=batch).collect())
+
+    assert kept(docs, "one") == kept(docs, "one") == [1, 3, 4]
+    assert kept(more, "two") == kept(more, "two") == [7]
+    assert kept(docs, "one") == [1, 3, 4] and kept(docs, "three") == []
+    assert index.rows().count() == 4
+    found = exact_dedup.keep_one(docs, index, batch="one")
+    index.close()
+    assert found.count() == 3 and not [t for t in spark.catalog.listTables() if t.name == index.table]

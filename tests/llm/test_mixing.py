@@ -71,7 +71,6 @@ def test_rates_are_those_of_the_dual(spark):
         assert max(inner) == pytest.approx(min(inner), rel=1e-6)
 
 
-@pytest.mark.xfail(reason="open: a text without words gets rate 3, not 1, in a source filled to its cap")
 def test_copied_rows_are_whole(spark):
     docs = spark.createDataFrame([(n, "w " * 9, "s", n, "k") for n in range(50)] + [(99, None, None, None, None)], DOCS)
     found = mixing.copied(docs)
@@ -82,3 +81,17 @@ def test_copied_rows_are_whole(spark):
         counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
     assert counts[99] == 1 and sum(n for d, n in counts.items() if d != 99) == 50
     assert mixing.copied(docs.where("false")).count() == 0
+
+
+def test_texts_without_words_come_once(spark):
+    """Also in a source that is filled to its cap, and in one without any words."""
+    rows = [(n, "w " * 40, "big", 1, "x") for n in range(200)] + [(300, "w", "a", 1, "x"), (301, None, "a", 1, "x"), (302, " ", "none", 1, "x")]
+    found = {r.doc_id: r for r in rows_of(spark, spark.createDataFrame(rows, DOCS))}
+    assert found[300].copies == 3 and found[301].copies == found[302].copies == 1
+
+
+def test_rates_that_are_not_found_fail(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    docs = spark.createDataFrame([(n, "w " * (1 + n % 17), "ab"[n % 4 > 0], 1, "x") for n in range(400)], DOCS)
+    with pytest.raises(ArithmeticError, match="no rates after 1 steps"):
+        rows_of(spark, docs)
