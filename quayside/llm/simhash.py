@@ -9,9 +9,11 @@ bits; table ``v`` (one for each non-zero ``v``) keeps the positions whose vector
 has an odd product with ``v``. The up to ``radius`` positions where two fingerprints
 differ have vectors that some ``v`` is orthogonal to; that table keeps none of
 them and has the two under one key: no pair is missed. Equal fingerprints are first reduced
-to one. Within a table's group the links are reduced to a spanning forest, so no
-group emits its pairs; a large group is divided again by a covering of the bits
-its mask leaves free, until it is small enough to compare.
+to one. A group that is too large to compare is dealt out again, by a covering of the
+bits its mask leaves free, and so on until every group is small; as a mask leaves half
+of the free bits, few rounds do, and the last groups hold no more values than their
+free bits can tell apart. Within a group the links are reduced to a spanning forest, so
+no group emits its pairs.
 
 Null texts are empty; texts without words have fingerprint 0 and are linked like
 any other. Ids may repeat; a null id is the smallest of its component only if
@@ -21,6 +23,7 @@ there is no other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.spread import join_unique, whole
-from quayside.sources.relations import written
+from quayside.sources.relations import relation, written
 
 SHINGLE, RADIUS, BITS, SEED = 3, 3, 64, 42
 #: Groups up to this size are compared pair by pair.
 COMPARED = 1_024
+#: Edges a task hands on at a time.
+EDGES = 10_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -75,31 +80,9 @@ def covering(free: int, radius: int, seed: int = 7) -> list[int]:
     ]
 
 
-def forest(values: np.ndarray, fixed: int, radius: int) -> list[tuple[int, int]]:
-    """Edges that connect what links within ``radius`` bits connect among ``values``.
-
-    ``values`` are distinct and equal on the bits of ``fixed``.
-    """
-    if len(values) < 2:
-        return []
-    free = ~fixed & (2**BITS - 1)
-    if len(values) > COMPARED and bin(free).count("1") > 2 * (radius + 1):
-        edges = []
-        for mask in covering(free, radius):
-            if mask == 0:  # too few bits are free to divide by
-                return compared(values, radius)
-            keys = values & np.uint64(mask)
-            order = np.argsort(keys, kind="stable")
-            cuts = np.flatnonzero(np.diff(keys[order])) + 1
-            for part in np.split(values[order], cuts):
-                if len(part) > 1:
-                    edges += forest(part, fixed | mask, radius)
-        return edges
-    return compared(values, radius)
-
-
 def compared(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """As ``forest``, by comparing each value with those not yet reached."""
+    """Edges that connect what links within ``radius`` bits connect among different values:
+    each value is compared with those not yet reached."""
     edges, rest = [], values
     while len(rest) > 1:
         front, rest = rest[:1], rest[1:]
@@ -112,44 +95,75 @@ def compared(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return edges
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(a, b)``: a forest of links between the distinct fingerprints ``fp``."""
-    masks = covering(2**BITS - 1, radius)
-    signed = [m - 2**BITS if m >= 2 ** (BITS - 1) else m for m in masks]
-    table = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.lit(m).alias("m")) for i, m in enumerate(signed)]))
-    keyed = distinct.select("fp", table.alias("x")).select("fp", "x.t", F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
-    groups = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # Most keys are alone in their table; they leave before rows are brought together.
-    ordered = keyed.join(groups, ["t", "key"], "left_semi").repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+def signed(mask: int) -> int:
+    return mask - 2**BITS if mask >= 2 ** (BITS - 1) else mask
+
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def dealt(rows: DataFrame, radius: int, of: list[int]) -> DataFrame:
+    """``rows(fp, fixed)`` under every mask that covers what ``fixed`` leaves free, once each:
+    ``(fp, fixed, key)``. ``of`` are the values ``fixed`` has, at most one a mask."""
+    wider = {f: sorted({signed(f | m) for m in covering(2**BITS - 1 & ~f, radius)}) for f in of}
+    if len(of) == 1:
+        out = rows.select("fp", F.explode(F.array(*[F.lit(m).cast("bigint") for m in wider[of[0]]])).alias("fixed"))
+    else:
+        table = relation(rows.sparkSession, [{"fixed": signed(f), "wider": m} for f, m in wider.items()], "fixed bigint, wider array<bigint>")
+        # Two ways may come to one mask.
+        out = rows.join(F.broadcast(table), "fixed").select("fp", F.explode("wider").alias("fixed")).distinct()
+    return out.withColumn("key", F.col("fp").bitwiseAND(F.col("fixed")))
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, most: int = COMPARED) -> DataFrame:
+    """``(a, b)``: a forest of links between the distinct fingerprints ``fp``.
+
+    Groups of up to ``most`` are compared, each in a task; larger ones are dealt again,
+    unless the few bits left free bound them.
+    """
+    edges, now, of = [], distinct.select("fp", F.lit(0).cast("bigint").alias("fixed")), [0]
+    group = ["fixed", "key"]
+    while True:
+        rows = dealt(now, radius, of)
+        sizes = written(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "groups")
+        large = (F.col("n") > most) & (BITS - F.bit_count("fixed") > 2 * (radius + 1))
+        # Most keys are alone in their table; they leave before rows are brought together.
+        edges.append(linked(rows.join(sizes.where(~large), group, "left_semi"), radius))
+        of = [row.fixed % 2**BITS for row in sizes.where(large).select("fixed").distinct().collect()]
+        if not of:
+            return reduce(DataFrame.unionByName, edges).distinct()
+        now = written(rows.join(sizes.where(large), group, "left_semi").select("fp", "fixed").distinct(), "large-groups")
+
+
+def linked(rows: DataFrame, radius: int) -> DataFrame:
+    """Edges within each group ``(fixed, key)``."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         now: tuple[int, int] | None = None
+        edges: list[tuple[int, int]] = []
 
-        def flush() -> list[tuple[int, int]]:
-            return forest(np.concatenate(held).view(np.uint64), masks[now[0]], radius) if held else []
-
-        def out(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+        def out() -> pa.RecordBatch:
             both = np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            edges.clear()
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t, key, fp = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("t", "key", "fp"))
-            cuts = np.flatnonzero((np.diff(t) != 0) | (np.diff(key) != 0)) + 1
-            edges: list[tuple[int, int]] = []
+            fixed, key, fp = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("fixed", "key", "fp"))
+            cuts = np.flatnonzero((np.diff(fixed) != 0) | (np.diff(key) != 0)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(fp)]):
-                this = (int(t[a]), int(key[a]))
+                this = (int(fixed[a]), int(key[a]))
                 if this != now:
-                    edges += flush()
+                    edges += compared(np.concatenate(held).view(np.uint64), radius) if held else []
                     held, now = [], this
+                    if len(edges) >= EDGES:
+                        yield out()
                 held.append(fp[a:b])
-            yield out(edges)
         if held:
-            yield out(flush())
+            edges += compared(np.concatenate(held).view(np.uint64), radius)
+        yield out()
 
-    return ordered.select("t", "key", "fp").mapInArrow(linked, "a bigint, b bigint").distinct()
+    ordered = rows.repartition("fixed", "key").sortWithinPartitions("fixed", "key", "fp")
+    return ordered.select("fixed", "key", "fp").mapInArrow(found, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

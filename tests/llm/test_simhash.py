@@ -72,12 +72,26 @@ def test_masks_cover_every_change_within_the_radius():
         assert min(sizes) >= 30 and max(sizes) <= 38
 
 
-@pytest.mark.parametrize("limit", [4, 1_024])
-def test_forest_connects_what_links_connect(monkeypatch, limit):
-    monkeypatch.setattr(simhash, "COMPARED", limit)
+def components_of(spark, values, **options):
+    signed = [(simhash.signed(v),) for v in values]
+    distinct = spark.createDataFrame(signed, "fp bigint")
+    found = {}
+    for r in simhash.components(simhash.links(distinct, **options)).collect():
+        found.setdefault(r.root, set()).add(r.node)
+    return {frozenset(s) for s in found.values()}
+
+
+def several(parent):
+    found = {}
+    for v, root in parent.items():
+        found.setdefault(root, set()).add(simhash.signed(v))
+    return {frozenset(s) for s in found.values() if len(s) > 1}
+
+
+def test_compared_connects_what_links_connect():
     values = cloud(1, 6, 60)
-    edges = simhash.forest(np.array(values, dtype=np.uint64), 0, 3)
-    assert all(bin(a ^ b).count("1") <= 3 for a, b in edges)
+    edges = simhash.compared(np.array(values, dtype=np.uint64), 3)
+    assert all(bin(a ^ b).count("1") <= 3 for a, b in edges) and len(edges) < len(values)
     joined = {v: v for v in values}
 
     def find(v):
@@ -91,18 +105,43 @@ def test_forest_connects_what_links_connect(monkeypatch, limit):
     assert {v: find(v) for v in values} == roots(values)
 
 
+@pytest.mark.parametrize("most", [2, 16])
+def test_groups_dealt_again(spark, most):
+    """Groups are divided until they are small, and no link is lost."""
+    values = cloud(5, 4, 70)
+    assert components_of(spark, values, most=most) == several(roots(values))
+
+
+def test_one_large_group(spark, monkeypatch):
+    """Very many fingerprints that agree in most bits, so that tables hold nearly all of them
+    under one key: groups of the size that is compared only, and the same components."""
+    chosen, seen = random.Random(9), []
+    values = sorted({0xABCDEF << 40 | chosen.getrandbits(15) for _ in range(5_000)})
+    plain = simhash.linked
+
+    def spied(rows, radius):
+        seen.append(rows.groupBy("fixed", "key").count().agg(simhash.F.max("count")).first()[0] or 0)
+        return plain(rows, radius)
+
+    monkeypatch.setattr(simhash, "linked", spied)
+    found = components_of(spark, values, most=16)
+    assert len(seen) > 1 and max(seen) <= 256
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in simhash.compared(np.array(values, dtype=np.uint64), 3):
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    assert found == several({v: find(v) for v in values})
+
+
 def test_links_and_components(spark):
     values = cloud(2, 12, 30)
-    signed = [(v - 2**64 if v >= 2**63 else v,) for v in values]
-    distinct = spark.createDataFrame(signed, "fp bigint")
-    found = simhash.components(simhash.links(distinct)).collect()
-    as_roots = {}
-    for r in found:
-        as_roots.setdefault(r.root, set()).add(r.node)
-    expected = {}
-    for v, root in roots(values).items():
-        expected.setdefault(root, set()).add(v - 2**64 if v >= 2**63 else v)
-    assert {frozenset(s) for s in as_roots.values()} == {frozenset(s) for s in expected.values() if len(s) > 1}
+    assert components_of(spark, values) == several(roots(values))
 
 
 def test_long_chain_of_components(spark):
