@@ -28,7 +28,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per text stays, that with the largest doc_id."""
-    return exact_dedup.keep_one(docs, exact_dedup.fresh_index(spark))
+    index = exact_dedup.fresh_index(spark)
+    kept = exact_dedup.keep_one(docs, index)
+    index.close()
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
