@@ -11,12 +11,18 @@ the root) are one style node. Over the pages that have a node,
 - its composite importance weighs the two by the number of its features, since a
   node with much content shows little by its markup.
 
+Equal pages of a host count once, so that a copy is no evidence. With few pages a
+node says little: its importance is drawn towards 1 as if ``PRIOR`` more pages had
+nothing in common with the others.
+
 Branches of low importance are removed from each page: a menu that is the same on
 all pages goes. Elements that HTML or their class declare to be menus, headers,
 footers, sidebars, notices, adverts, forms or comments go as well, on hosts too
 small to compare and where boilerplate differs between pages. An ``article`` (or
-``main``) is the main text where a page has one; it and what holds most of a
-page's text is never taken for boilerplate.
+``main``) is the main text where it holds most of what a page does not declare
+boilerplate; nothing in it goes by importance alone, and words that also name parts
+of articles (``DOUBTFUL``) remove a part of it only if the tree rates it low too.
+What holds most of a page's text is never taken for boilerplate.
 
 Null or empty html gives no text. A page without ``article`` or ``main`` gives all
 text that is left. Pages without a host form a host of their own. Broken markup is
@@ -38,9 +44,7 @@ from pyspark.sql import functions as F
 from quayside.llm.spread import join_unique, whole
 from quayside.sources.relations import written
 
-#: Hosts with fewer pages than this at a node say nothing about it.
-LEAST_PAGES = 10
-IMPORTANCE, GAMMA = 0.1, 0.9
+IMPORTANCE, GAMMA, PRIOR = 0.1, 0.9, 1.0
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -71,6 +75,8 @@ _SAYS = {
     "comment", "comments", "disqus", "replies", "respond", "share", "sharing", "social", "related", "recommended",
     "recommendations", "trending", "copyright", "form", "search",
 }
+#: Words of ``_SAYS`` that say nothing certain inside an article.
+DOUBTFUL = {"header", "notice", "notices", "search", "form", "social", "banner", "footer", "promotion", "signup", "menu"}
 _KEPT = {"html", "body", "article", "main"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What an opening tag closes, and what it does not close beyond.
@@ -86,11 +92,12 @@ class Node:
     parent: Node | None
     declared: bool  # declared boilerplate, or inside of such
     content: bool  # an article or main, or inside of one
+    doubtful: bool = False  # inside of one, and boilerplate if the tree agrees
     children: list[str] = field(default_factory=list)
 
 
-def _declared(tag: str, attributes: str, parent: Node | None) -> tuple[bool, str]:
-    """Whether an element declares itself boilerplate, and its class for its path."""
+def _declared(tag: str, attributes: str, parent: Node | None) -> tuple[bool | None, str]:
+    """Whether an element declares itself boilerplate, None if in doubt, and its class for its path."""
     found = {}
     if attributes:
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -105,11 +112,14 @@ def _declared(tag: str, attributes: str, parent: Node | None) -> tuple[bool, str
         return True, style
     if found.get("role", "").lower() in _ROLES:
         return True, style
+    says: set[str] = set()
     for name in [*found.get("class", "").split(), found.get("id", "")]:
         words = [w.lower() for w in _WORD.findall(name)]
-        if words and words[0] not in ("has", "no", "with", "is", "without") and not _SAYS.isdisjoint(words):
-            return True, style
-    return False, style
+        if words and words[0] not in ("has", "no", "with", "is", "without"):
+            says |= _SAYS.intersection(words)
+    if says and parent is not None and parent.content and says <= DOUBTFUL:
+        return None, style
+    return bool(says), style
 
 
 def blocks(html: str) -> Iterator[tuple[Node, str, list[str]]]:
@@ -171,8 +181,9 @@ def blocks(html: str) -> Iterator[tuple[Node, str, list[str]]]:
                 name,
                 f"{parent.path}/{name}" + (f".{style}" if style else ""),
                 parent,
-                parent.declared or declared,
+                parent.declared or bool(declared),
                 (parent.content or name in ("article", "main")) and not declared,
+                declared is None,
             )
         )
     if at < len(html):
@@ -186,6 +197,11 @@ def chain(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
+def rated(node: Node) -> bool:
+    """Whether the tree decides on a node: not on what stays or goes in any case."""
+    return node.tag not in _KEPT and (not node.content or node.doubtful)
+
+
 def _key(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
@@ -200,7 +216,7 @@ def features(html: str) -> dict[int, tuple[set[int], set[int]]]:
             continue
         new = {_key(x) for x in links} | ({_key(text)} if text else set())
         for above in chain(node):
-            if above.tag not in _KEPT:
+            if rated(above):
                 if above not in nodes:
                     nodes[above] = found.setdefault(_key(above.path), (set(), set()))
                 nodes[above][0].update(new)
@@ -213,14 +229,19 @@ def main_text(html: str, unimportant: set[int]) -> str:
     """The text that stays when declared and unimportant branches go."""
     found = [(node, text) for node, text, _ in blocks(html) if text and not node.declared]
     inside = [x for x in found if x[0].content]
-    found = inside or found
+    if 2 * sum(len(text) for _, text in inside) >= sum(len(text) for _, text in found):
+        found = inside
     if unimportant:
         half, size = sum(len(text) for _, text in found) / 2, {}
+
+        def low(node: Node) -> set[int]:
+            return {_key(above.path) for above in chain(node) if rated(above)} & unimportant
+
         for node, text in found:
-            for key in {_key(above.path) for above in chain(node)} & unimportant:
+            for key in low(node):
                 size[key] = size.get(key, 0) + len(text)
         go = {key for key, n in size.items() if n < half}
-        found = [x for x in found if go.isdisjoint(_key(above.path) for above in chain(x[0]))]
+        found = [x for x in found if go.isdisjoint(low(x[0]))]
     kept = []
     for node, text in found:
         header = any(above.tag == "header" for above in chain(node))
@@ -234,9 +255,9 @@ def host(url: str = "url") -> Column:
 
 
 def style_nodes(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """``(page_id, node, contents, shapes)``: a row per page and style node.
+    """``(page_id, page, node, place, contents, shapes)``: a row per page and style node.
 
-    ``node`` is a key of the host and the place in its pages.
+    ``node`` is a key of the host and the place in its pages, ``page`` one of the html.
     """
 
     @F.arrow_udf("array<struct<node: bigint, contents: array<bigint>, shapes: array<bigint>>>")
@@ -247,16 +268,18 @@ def style_nodes(pages: DataFrame, page_id: str = "page_id", url: str = "url", ht
             kind,
         )
 
-    rows = pages.select(F.col(page_id).alias("page_id"), host(url).alias("host"), F.explode(parsed(html)).alias("n"))
-    return rows.select("page_id", F.xxhash64("host", "n.node").alias("node"), F.col("n.node").alias("place"), "n.contents", "n.shapes")
+    same = F.xxhash64(F.col(html)).alias("page")
+    rows = pages.select(F.col(page_id).alias("page_id"), host(url).alias("host"), same, F.explode(parsed(html)).alias("n"))
+    return rows.select("page_id", "page", F.xxhash64("host", "n.node").alias("node"), F.col("n.node").alias("place"), "n.contents", "n.shapes")
 
 
-def importance(nodes: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """``(node, m, importance)`` of the merged style nodes.
+def importance(nodes: DataFrame, gamma: float = GAMMA, prior: float = PRIOR) -> DataFrame:
+    """``(node, m, importance)`` of the merged style nodes of ``m`` different pages.
 
     Features are counted within tasks first, so a host with a third of all pages
     is no larger after it than one with few.
     """
+    nodes = nodes.dropDuplicates(["node", "page"])
     m = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("m"))
 
     def pages_with(kind: str) -> DataFrame:
@@ -272,19 +295,21 @@ def importance(nodes: DataFrame, gamma: float = GAMMA) -> DataFrame:
     joined = m.join(contents, "node", "left").join(shapes, "node")
     # Much content: what it says counts; little content: how it looks counts too.
     composite = (1 - weight) * content + weight * (content + shape) / 2
-    return joined.select("node", "m", composite.alias("importance"))
+    drawn = (F.col("m") * composite + prior) / (F.col("m") + prior)
+    return joined.select("node", "m", drawn.alias("importance"))
 
 
 def extract(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-    threshold: float = IMPORTANCE, least_pages: int = LEAST_PAGES,
+    threshold: float = IMPORTANCE,
 ) -> DataFrame:
     """``pages`` with ``main_text`` (in place of a column of that name); rows with
     equal ids share what is unimportant."""
     nodes = written(style_nodes(pages, page_id, url, html), "style-nodes")
-    rated = written(importance(nodes), "style-tree")
-    low = rated.where((F.col("m") >= least_pages) & (F.col("importance") < threshold)).select("node", "m", F.lit(True).alias("low"))
-    marked = join_unique(nodes.select("page_id", "place", "node"), low, "node", "m").where("low")
+    low = written(importance(nodes).where(F.col("importance") < threshold), "style-tree").select("node", F.lit(True).alias("low"))
+    shares = nodes.join(low, "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("share"))
+    facts = written(low.join(shares, "node"), "unimportant")
+    marked = join_unique(nodes.select("page_id", "place", "node"), facts, "node", "share").where("low")
     noise = written(marked.groupBy("page_id").agg(F.collect_set("place").alias("_noise")), "noise")
 
     @F.arrow_udf("string")
