@@ -112,6 +112,8 @@ def keep_one(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text:
     return single.unionByName(again).select("_whole.*")
 
 
-def fresh_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
-    """An empty index in the shared folder."""
-    return DigestIndex(spark, shared_folder(spark, "digest-index"), buckets)
+def fresh_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
+    """An empty index in the shared folder, with a bucket for each shuffle partition unless
+    told otherwise: an append then writes one file a bucket."""
+    found = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return DigestIndex(spark, shared_folder(spark, "digest-index"), found)
