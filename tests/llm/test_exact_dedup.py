@@ -82,3 +82,12 @@ def test_a_batch_run_again_keeps_what_it_kept(spark):
     found = exact_dedup.keep_one(docs, index, batch="one")
     index.close()
     assert found.count() == 3 and not [t for t in spark.catalog.listTables() if t.name == index.table]
+
+
+def test_very_long_texts(spark):
+    long = "word " * 400_000
+    docs = spark.createDataFrame([(1, long), (2, long), (3, long + "x")], "doc_id bigint, text string")
+    index = exact_dedup.fresh_index(spark, 4)
+    found = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.memberships(docs, index).collect()}
+    index.close()
+    assert found == {1: (2, 2), 2: (2, 2), 3: (3, 1)}

@@ -3,6 +3,7 @@ from __future__ import annotations
 from hashlib import sha256
 
 import numpy as np
+import pytest
 
 from quayside.llm import order_minhash
 
@@ -58,3 +59,38 @@ def test_edited_by_the_next_document(spark):
 def test_one_document_is_its_own_next(spark):
     check(spark, [(7, "alone in the world")])
     assert order_minhash.edited_by_next(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def slow_fingerprint(text):
+    """Every function's least occurrence-numbered k-mers, by sorting all of them."""
+    kmers = [int(x) for x in order_minhash.numbered_kmers(text)]
+    full, out = 2**64, []
+    mix = lambda x: int(order_minhash._mix(np.array([x % full], dtype=np.uint64))[0])
+    for odd, flip in zip(order_minhash._ODD.tolist(), order_minhash._FLIP.tolist()):
+        order = sorted(range(len(kmers)), key=lambda i: ((((kmers[i] >> 32) ^ flip) * odd) % 2**32, i))
+        element = 0
+        for i in sorted(order[: order_minhash.KEPT]):
+            element = mix(element * int(order_minhash._BASE) + kmers[i])
+        out.append(element >> 48)
+    return out
+
+
+@pytest.mark.parametrize("text", ["a", "short", "abcabcabcabcabc", "the cat sat on the mat " * 40, "é🙂" * 30, "ab" * 3_000])
+def test_fingerprint_against_brute_force(text):
+    assert order_minhash.fingerprint(text).tolist() == slow_fingerprint(text)
+    # Numbered k-mers are equal where the k-mer and its occurrence are.
+    k = min(order_minhash.K, len(text))
+    seen, named = {}, []
+    for i in range(len(text) - k + 1):
+        kmer = text[i : i + k]
+        seen[kmer] = seen.get(kmer, 0) + 1
+        named.append((kmer, seen[kmer]))
+    found = order_minhash.numbered_kmers(text).tolist()
+    assert len(set(zip(named, found))) == len(set(named)) == len(set(found))
+
+
+def test_very_long_texts_and_null_ids(spark):
+    docs = spark.createDataFrame([(None, "x" * 300_000), (None, None), (5, "y z " * 100_000)], "doc_id bigint, text string")
+    found = order_minhash.edited_by_next(docs).collect()
+    assert len(found) == 3 and sorted(r.n_chars for r in found) == [0, 300_000, 400_000]
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)

@@ -36,3 +36,17 @@ def test_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, SF_DIR), "none")
         assert docs.count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    """Columns that the operators name themselves pass through every stage but the last."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    for name in ("fp", "digest", "key", "size", "score", "features", "copies", "_id", "place"):
+        docs = docs.withColumn(name, docs.doc_id.cast("string"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, SF_DIR), "clashing")
+        if name != "bpe":
+            assert docs.columns == columns
+            assert docs.where("fp <> cast(doc_id as string) or `_id` <> fp or size <> fp").count() == 0
+    assert docs.columns[:3] == ["doc_id", "lang", "source"] and docs.count() > 0
