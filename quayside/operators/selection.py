@@ -150,12 +150,8 @@ def landing_plan(found: DataFrame) -> DataFrame:
     The winners are joined back on the path, which is unique, so neither step
     brings the files of one target together.
     """
-    winners = (
-        found.where("taken")
-        .groupBy("target_path")
-        .agg(F.max("path").alias("path"))
-        .select("path", F.lit(True).alias("_wins"))
-    )
+    winners = last_wins(found.where("taken"), ["target_path"], ["path"])
+    winners = winners.select("path", F.lit(True).alias("_wins"))
     return (
         found.join(winners, "path", "left")
         .withColumn("lands", F.col("_wins").isNotNull())

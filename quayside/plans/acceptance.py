@@ -745,6 +745,57 @@ def landed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.union_all(landed)
 
 
+def landed_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose key is a whole number, a text or a decimal by folder, and whose customer some
+    files lack: no types hold all, so the entity lands as text, by few and by very many names."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    root = shared_folder(spark, "source")
+    key, share = F.col("o_orderkey"), F.pmod("o_orderkey", F.lit(4))
+    kinds = [
+        orders.where(share == 0),
+        orders.where(share == 1).withColumn("o_orderkey", key.cast("string")),
+        orders.where(share == 2).withColumn("o_orderkey", key.cast("decimal(30,0)")),
+        orders.where(share == 3).drop("o_custkey"),
+    ]
+    for folder, rows in zip("abcd", kinds):
+        rows.write.parquet(f"{root}/src/de/src_de_ord/{folder}")
+    listed = files.listing_by_tasks(spark, root, "src/de/")
+    rule = paths.EntityRule.of(SOURCE_TEMPLATE)
+    found = selection.candidates(listed, ALWAYS, relation(spark, [], "pull_folder string"), LOAD_ID)
+    fits, _ = selection.mappable(found, rule)
+    targeted = selection.with_target(fits, rule, LANDING_TEMPLATE, "src", "de", LOAD_ID)
+    plan = written(selection.landing_plan(targeted), "landing-plan", by=("entity",))
+    landed = []
+    for chunk in (3, PATHS_PER_READ):
+        target = shared_folder(spark, "landing")
+        landing.write_entity(plan, "ord", root, target, paths_per_read=chunk, as_text=True)
+        landed.append(files.entity(spark, target).withColumn("chunk", F.lit(chunk)))
+    return pages.union_all(landed)
+
+
+def allowed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders scanned in each format a configuration may name; how many formats are refused."""
+    scanned, refused = [], 0
+    for name in ("parquet", "csv", "Parquet", "delta"):
+        try:
+            scanned.append(files.entity(spark, f"{sf_dir}/orders.parquet", name).withColumn("format", F.lit(name)))
+        except ValueError:
+            refused += 1
+    return pages.union_all(scanned).select("o_orderkey", "format", F.lit(refused).alias("refused"))
+
+
+def run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run details of each type of events: their end is one time, and lies within the run."""
+    start = datetime.now(timezone.utc)
+    counts = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("entity")).agg(F.count(F.lit(1)).alias("row_count"))
+    logged = written(runs.details(counts, LOAD_ID, start), "details")
+    end = times.to_micros(datetime.now(timezone.utc))
+    ends = logged.agg(F.count_distinct("end_time").alias("ends"))
+    within = F.unix_micros("end_time").between(F.unix_micros("start_time"), F.lit(end))
+    started = F.unix_micros("start_time") == F.lit(times.to_micros(start))
+    return logged.join(ends, F.lit(True)).select("entity", "row_count", (within & started).alias("within"), "ends")
+
+
 def control_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load per month of orders writes its status, details and watermarks, several
     at a time; the control tables as a load reads them give the last of each priority."""
@@ -912,6 +963,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     switched_tables,
     sliced_pull,
     pull_without_repeats,
+    landed_as_text,
+    allowed_formats,
+    run_times,
 )
 
 

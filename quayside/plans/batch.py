@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import partial
@@ -177,7 +177,8 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
                pull_source: PullSource | None = None, inventory: DataFrame | None = None,
                relands: bool = False, allow_rejected: bool = False,
                rebalance_pulls: bool = True, workers: int = 8,
-               landed_by_others: bool = False, progress: Progress | None = None) -> LoadOutcome:
+               landed_by_others: bool = False, progress: Progress | None = None,
+               as_text: Collection[str] = ()) -> LoadOutcome:
     """Run one load.
 
     Its steps are journalled (``sources/journal.py``): windows are frozen when the load
@@ -189,6 +190,8 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
 
     What earlier loads landed is known from the control table ``landed``;
     ``landed_by_others`` also lists the landing zone, for files put there by hand.
+    Entities named in ``as_text`` land with all columns as text, so that files whose types
+    differ beyond widening land together.
     """
     start = datetime.now(timezone.utc)
     job_id: str | None = None
@@ -213,7 +216,7 @@ def land_batch(spark: SparkSession, params: LoadParams, control: ControlStore,
 
         def land() -> dict:
             listed = source_files(spark, layout, params, pulls, inventory)
-            found = land_files(spark, layout, params, pulls, listed, control, relands, allow_rejected, workers, journal.token)
+            found = land_files(spark, layout, params, pulls, listed, control, relands, allow_rejected, workers, journal.token, as_text)
             lost = [name for name in pulled if _pull_name(params, name) not in found.pulled]
             if lost:
                 raise ValueError(f"pulls of {', '.join(lost)} were not landed")
@@ -375,7 +378,7 @@ def source_files(spark: SparkSession, layout: Layout, params: LoadParams,
 
 def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: list[EntityPull],
                listed: DataFrame, control: ControlStore, relands: bool = False, allow_rejected: bool = False,
-               workers: int = 8, token: str | None = None) -> Landed:
+               workers: int = 8, token: str | None = None, as_text: Collection[str] = ()) -> Landed:
     """Select the files of this load, write each entity's to its folder, and note what landed."""
     window = ChangeWindow(layout.last, params.current)
     queried = relation(spark, [{"entity": item.entity} for item in pulls], "entity string")
@@ -400,7 +403,8 @@ def land_files(spark: SparkSession, layout: Layout, params: LoadParams, pulls: l
         plan = keep(selection.landing_plan(targeted), "landing-plan", by=("entity",))
         items = landing.entity_summary(plan)
         targets = {item.entity: layout.entity_folder(params.load_id, item.entity) for item in items}
-        done = landing.write_entities(plan, list(targets), layout.source_root, targets, workers)
+        texts = {name.lower() for name in as_text}
+        done = landing.write_entities(plan, list(targets), layout.source_root, targets, workers, as_text=texts)
         pulled = plan.where("forced AND taken").select(paths.segment(F.col("path"), -3)).distinct()
         pulled_folders = frozenset(row[0] for row in pulled.collect())
     note_landed(control, params, {entity: (targets[entity], commit) for entity, commit in done.items()}, token)

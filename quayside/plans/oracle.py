@@ -202,6 +202,15 @@ SQL = {
     "landed_exactly": """
         select o_orderkey, o_custkey, chunk from orders, (values (1), (2), (20000)) c(chunk)
         where o_orderkey % 5 in (1, 2)""",
+    "landed_as_text": """
+        select cast(o_orderkey as varchar) as o_orderkey,
+               case when o_orderkey % 4 <> 3 then cast(o_custkey as varchar) end as o_custkey,
+               o_orderstatus, chunk
+        from orders, (values (3), (20000)) c(chunk)""",
+    "allowed_formats": "select o_orderkey, 'parquet' as format, 3 as refused from orders",
+    "run_times": """
+        select event_type as entity, count(*) as row_count, true as within, cast(1 as bigint) as ends
+        from events group by event_type""",
     "resumed_load": """
         with h as (select max(o_orderdate) as hi from orders),
         p as (select o_orderkey, o_orderdate, hi from orders, h

@@ -151,23 +151,34 @@ def merged_schema(spark: SparkSession, entity: str, chunks: Iterable[Sequence[st
     found: T.StructType | None = None
     seen: list[tuple[T.StructType, str]] = []
     for chunk in chunks:
-        for schema, file in _schemas(spark, chunk):
+        for schema, names in schema_runs(spark, chunk):
             try:
                 found = schema if found is None else schemas.widened(found, schema)
             except schemas.NotWidened as error:
                 other = next(name for known, name in seen if not schemas.fit(known, schema))
-                raise ValueError(f"entity {entity}: {error} in {other} and {file}") from None
-            seen.append((schema, file))
+                raise ValueError(f"entity {entity}: {error} in {other} and {names[0]}") from None
+            seen.append((schema, names[0]))
     assert found is not None, "an entity that lands has files"
     return found
 
 
-def _schemas(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, str]]:
+def schema_runs(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, Sequence[str]]]:
+    """Files in runs whose footers the reader can merge, each with its merged schema."""
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
     try:
-        return [(reader.parquet(*map(paths.literal_path, files)).schema, files[0])]
+        return [(reader.parquet(*map(paths.literal_path, files)).schema, files)]
     except (Py4JJavaError, PySparkException) as error:
         if len(files) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     half = len(files) // 2
-    return [*_schemas(spark, files[:half]), *_schemas(spark, files[half:])]
+    return [*schema_runs(spark, files[:half]), *schema_runs(spark, files[half:])]
+
+
+def text_schema(found: Iterable[T.StructType]) -> T.StructType:
+    """All columns of some schemas as text, in the order they are first met; names that
+    differ in case only are one column, as the reader has it."""
+    names: dict[str, str] = {}
+    for schema in found:
+        for name in schema.names:
+            names.setdefault(name.lower(), name)
+    return T.StructType([T.StructField(name, T.StringType(), True) for name in names.values()])

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.functions import paths, schemas
 from quayside.operators import profile, selection
@@ -317,3 +319,36 @@ def test_a_publish_that_fails_puts_tables_back(spark, tmp_path):
     assert counts_of(spark, database) == old
     catalog.publish(spark, database, new)
     assert counts_of(spark, database) == {name: (5, "c5") for name in "abcde"}
+
+
+def text_plan(spark, tmp_path, *names):
+    rows = [("ord", name, CURRENT - HOUR + i * SECOND, True, True) for i, name in enumerate(names)]
+    return spark.createDataFrame(rows, "entity string, path string, modified timestamp, taken boolean, lands boolean")
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 100])
+def test_types_without_a_common_one_land_as_text(spark, tmp_path, chunk):
+    source = tmp_path / "src"
+    put(source, "a", CURRENT, {"id": pa.array([1, None], pa.int32()), "on": pa.array([True, False])})
+    put(source, "b", CURRENT, {"id": pa.array(["x", ""]), "Extra": pa.array([1.5, None])})
+    put(source, "c", CURRENT, {"ID": pa.array([7], pa.int64()), "on": pa.array([[1, 2]])})
+    plan = text_plan(spark, tmp_path, "a", "b", "c")
+    with pytest.raises(ValueError, match="column id is"):
+        landing.write_entity(plan.where("path in ('a', 'b')"), "ord", str(source), str(tmp_path / "no"), chunk)
+    commit = landing.write_entity(plan, "ord", str(source), str(tmp_path / "t"), chunk, as_text=True)
+    landed = spark.read.parquet(str(tmp_path / "t"))
+    assert [(f.name, f.dataType.simpleString()) for f in landed.schema] == [(n, "string") for n in ("id", "on", "Extra")]
+    assert commit.rows == 5
+    expected = [("1", "true", None), (None, "false", None), ("x", None, "1.5"), ("", None, None), ("7", "[1, 2]", None)]
+    assert values(landed) == sorted(expected, key=repr)
+
+
+def test_only_the_named_entities_land_as_text(spark, tmp_path):
+    source = tmp_path / "src"
+    put(source, "a", CURRENT, {"id": pa.array([1], pa.int32())})
+    plan = text_plan(spark, tmp_path, "a")
+    plan = plan.unionByName(plan.withColumn("entity", F.lit("acc")))
+    targets = {name: str(tmp_path / "to" / name) for name in ("acc", "ord")}
+    landing.write_entities(plan, ["acc", "ord"], str(source), targets, as_text={"ord"})
+    kinds = {name: spark.read.parquet(at).schema["id"].dataType.simpleString() for name, at in targets.items()}
+    assert kinds == {"acc": "int", "ord": "string"}
