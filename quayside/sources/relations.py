@@ -28,10 +28,13 @@ def relation(spark: SparkSession, rows: Iterable[Mapping], ddl: str) -> DataFram
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; where it does not,
-    the warehouse holds it, which every executor writes tables to.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it does not, the
+    warehouse holds it, unless that is a folder of one machine and the executors are not on it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or spark.conf.get("spark.sql.warehouse.dir")
+    if not named and base.startswith("file:") and spark.conf.get("spark.master", "local").split("[")[0] != "local":
+        raise ValueError(f"spark.checkpoint.dir is not set, and {base} may be a folder of one machine")
     return f"{base.rstrip('/')}/quayside-{name}-{uuid4().hex}"
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from quayside.sources.relations import relation, shared_folder, written
 from tools import plan_text, values
 
@@ -35,6 +37,13 @@ def test_without_one_the_warehouse_is_shared():
     assert shared_folder(session, "x").startswith("s3a://bucket/warehouse/quayside-x-")
 
 
+def test_a_warehouse_on_one_machine_is_not_shared():
+    found = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir is not set"):
+        shared_folder(Settings(**found, spark_master="spark://host:7077"), "x")
+    assert shared_folder(Settings(**found, spark_master="local[8]"), "x").startswith("file:/tmp/warehouse/")
+
+
 def test_written_cuts_the_lineage(spark):
     df = spark.range(10).selectExpr("id", "id % 2 = 0 as even").where("even")
     found = written(df, "numbers")
