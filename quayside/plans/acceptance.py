@@ -639,39 +639,40 @@ def committed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A status and a watermark for every user and type of events, written by several writers
     while the tables are compacted: the last status and mark of each user, and whether
-    the tables were read through few files."""
+    the tables were read through few files. Each user's statuses are one append, and so is
+    every mark; the tasks of a job are the writers."""
     events = table(spark, sf_dir, "events")
-    loads = events.groupBy("user_id", "event_type").agg(F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
-    last = F.unix_micros(F.col("last").cast("timestamp")).alias("at")
-    rows = loads.select("user_id", "event_type", last, "n").orderBy("user_id", "event_type").collect()
+    loads = events.groupBy("user_id", "event_type").agg(F.max("ts").cast("timestamp").alias("at"), F.count(F.lit(1)).alias("n"))
+    loads = written(loads, "loads")
     store = control.ControlStore(spark, shared_folder(spark, "control"))
-    users: dict[int, list[Row]] = {}
-    for row in rows:
-        users.setdefault(row.user_id, []).append(row)
-
-    def record(user: int) -> None:
-        common = {"layer": "Landing", "load_id": str(user), "process_id": "p", "country_code": "de"}
-        found = [(row, times.from_micros(row.at)) for row in users[user]]
-        log = [{**common, "job_run_status": row.event_type, "error_message": str(row.n), "logged_at": at} for row, at in found]
-        store.append_rows("process_log", log)
-        for row, at in found:
-            mark = {"source_metadata_id": str(user), "source_system": "src", "last_run_ts": at, "load_id": row.event_type, "logged_at": at}
-            store.append_rows("entity_watermark", [mark])
-
-    people = sorted(users)
+    user, null = F.col("user_id").cast("string"), F.lit(None).cast("string")
+
+    def statuses(some: DataFrame) -> None:
+        common = {"layer": F.lit("Landing"), "load_id": user, "process_id": F.lit("p"), "country_code": F.lit("de")}
+        own = {"job_run_status": F.col("event_type"), "error_message": F.col("n").cast("string"), "logged_at": F.col("at"), "job_id": null}
+        store.append_each("process_log", some.select(*[value.alias(name) for name, value in (common | own).items()]), ["load_id"])
+
+    def marks(some: DataFrame) -> None:
+        mark = {"source_metadata_id": user, "source_system": F.lit("src"), "last_run_ts": F.col("at"), "load_id": F.col("event_type"), "logged_at": F.col("at")}
+        store.append_each("entity_watermark", some.select(*[value.alias(name) for name, value in mark.items()]), ["source_metadata_id", "load_id"])
+
+    names = ("process_log", "entity_watermark")
     for part in range(3):
-        writers = [lambda user=user: record(user) for user in people[part::3]]
-        compactions = [lambda name=name: store.compact(name) for name in ("process_log", "entity_watermark")] if part else []
+        some = loads.where(F.pmod(F.xxhash64("user_id"), F.lit(3)) == part)
+        writers = [lambda write=write: write(some) for write in (statuses, marks)]
+        compactions = [lambda name=name: store.compact(name) for name in names] if part else []
         run_all(spark, lambda action: action(), compactions + writers)
-    kept = store.maintain(tail=0)
-    few = all(len(store.snapshot(name).names) <= control.PARTS for name in kept) and len(kept) == 2
+    store.maintain(tail=0)
+    few = all(len(store.snapshot(name).names) <= control.PARTS for name in names)
     status = runs.latest_status(store.read("process_log")).select(F.col("load_id").cast("bigint").alias("user_id"), "job_run_status", "error_message")
-    logged = store.read("process_log").groupBy(F.col("load_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("logged"))
+    logged = store.read("process_log").groupBy(F.col("load_id").cast("bigint").alias("logs_of")).agg(F.count(F.lit(1)).alias("logged"))
     keys = ["source_metadata_id", "source_system"]
-    marks = control.latest(store.read("entity_watermark"), keys, control.WATERMARK_ORDER).select(
-        F.col("source_metadata_id").cast("bigint").alias("user_id"), F.col("last_run_ts").cast("timestamp_ntz").alias("mark")
+    last = control.latest(store.read("entity_watermark"), keys, control.WATERMARK_ORDER).select(
+        F.col("source_metadata_id").cast("bigint").alias("mark_of"), F.col("last_run_ts").cast("timestamp_ntz").alias("mark")
     )
-    return status.join(logged, "user_id").join(marks, "user_id").withColumn("few_files", F.lit(few))
+    # A user that is null has a status and a mark like others.
+    found = status.join(logged, F.equal_null("user_id", "logs_of")).join(last, F.equal_null("user_id", "mark_of"))
+    return found.drop("logs_of", "mark_of").withColumn("few_files", F.lit(few))
 
 
 def _landed_events(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, tuple[str, commits.Commit]]]:

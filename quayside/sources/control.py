@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 from uuid import uuid4
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.concurrency import run_all
 from quayside.functions import paths
-from quayside.sources import folders
+from quayside.sources import appends, folders, tree
 from quayside.sources.relations import relation
 
 SCHEMAS = {
@@ -79,6 +77,8 @@ class Snapshot:
     parts: tuple[str, ...]
     covered: tuple[str, ...]
     tail: tuple[str, ...]
+    #: What of the tail are single files, not folders.
+    files: frozenset[str]
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -110,21 +110,42 @@ class ControlStore:
 
     def snapshot(self, name: str) -> Snapshot:
         """One listing of the table's folder, which holds no more than its parts and tail."""
-        found = [entry.name for entry in folders.entries(self.spark, self.path(name))]
+        found = self._found(name)
         pointers = [entry for entry in found if entry.startswith("_pointer-")]
         facts = {"number": 0, "parts": [], "covered": []}
         if pointers:
             facts = folders.get_json(self.spark, f"{self.path(name)}/{max(pointers)}")
         covered = set(facts["covered"])
         tail = [entry for entry in found if entry.startswith("append-") and entry not in covered]
-        return Snapshot(facts["number"], tuple(facts["parts"]), tuple(facts["covered"]), tuple(tail))
+        files = frozenset(entry for entry in tail if not found[entry])
+        return Snapshot(facts["number"], tuple(facts["parts"]), tuple(facts["covered"]), tuple(tail), files)
+
+    @cached_property
+    def _by_tasks(self) -> bool:
+        """Whether tasks can reach the tables; else the driver and Spark's reader do all."""
+        return tree.reachable(self.spark, self.root)
+
+    def _uri(self, name: str) -> str:
+        return folders.qualified(self.spark, self.path(name))
+
+    def _found(self, name: str) -> dict[str, bool]:
+        """What stands in the table's folder by name, and whether it is a folder."""
+        if self._by_tasks:
+            return dict(sorted(appends.names(self._uri(name)).items()))
+        return {entry.name: entry.is_folder for entry in folders.entries(self.spark, self.path(name))}
 
     def read(self, name: str) -> DataFrame:
-        return self._rows(name, self.snapshot(name).names)
+        found = self.snapshot(name)
+        return self._rows(name, found.names, found.files)
 
-    def _rows(self, name: str, names: Sequence[str]) -> DataFrame:
+    def _rows(self, name: str, names: Sequence[str], files: frozenset[str]) -> DataFrame:
         if not names:
             return relation(self.spark, [], SCHEMAS[name])
+        # The reader takes milliseconds for each file it opens, and more to look for it by name.
+        if self._by_tasks and len(files) > TAIL:
+            rows = appends.read(self.spark, self._uri(name), SCHEMAS[name], [part for part in names if part in files])
+            others = [part for part in names if part not in files]
+            return rows.unionByName(self._rows(name, others, frozenset())) if others else rows
         reader = self.spark.read.schema(SCHEMAS[name]).option("recursiveFileLookup", True)
         return reader.parquet(*[paths.literal_path(f"{self.path(name)}/{part}") for part in names])
 
@@ -135,9 +156,20 @@ class ControlStore:
         # A compacted append leaves its name in the pointer until long after.
         if token and (folders.exists(self.spark, place) or place.rpartition("/")[2] in self.snapshot(name).covered):
             return
-        content = pa.BufferOutputStream()
-        pq.write_table(pa.Table.from_pylist(list(rows), schema=to_arrow_schema(schema)), content)
-        folders.put(self.spark, place, content.getvalue().to_pybytes())
+        folders.put(self.spark, place, appends.content(rows, to_arrow_schema(schema)).to_pybytes())
+
+    def append_each(self, name: str, rows: DataFrame, keys: Sequence[str]) -> None:
+        """Append rows of any number, the few of each key by an append of their own, from many tasks at a time.
+
+        They come one after the other, so a reader may find some of them. ``rows`` must give
+        the same rows when read again.
+        """
+        made = appends.contents(rows, SCHEMAS[name], keys)
+        if self._by_tasks:
+            appends.put(made, self._uri(name))
+            return
+        for file in made.toLocalIterator():
+            folders.put(self.spark, f"{self.path(name)}/{file.name}", bytes(file.content))
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Append rows of any number."""
@@ -150,7 +182,7 @@ class ControlStore:
         if not before.tail:
             return before
         merged = name in LAST_BY or len(before.parts) >= PARTS
-        rows = self._rows(name, before.names if merged else before.tail)
+        rows = self._rows(name, before.names if merged else before.tail, before.files)
         if name in LAST_BY:
             rows = latest(rows, LAST_BY[name], ORDERS[name]).select(*rows.columns)
         part = f"part-{before.number + 1:010d}-{uuid4().hex}"
@@ -161,16 +193,21 @@ class ControlStore:
         facts["covered"] = [entry for entry in facts["covered"] if entry not in stale]
         pointer = f"_pointer-{facts['number']:010d}-{uuid4().hex}.json"
         folders.put_json(self.spark, f"{self.path(name)}/{pointer}", facts)
+        by_tasks = [entry for entry, is_folder in stale.items() if not is_folder and entry.startswith("append-")]
+        if self._by_tasks and len(by_tasks) > TAIL:
+            appends.remove(self.spark, self._uri(name), by_tasks)
+            stale = stale.keys() - set(by_tasks)
         for entry in stale:
             folders.remove(self.spark, f"{self.path(name)}/{entry}")
         return self.snapshot(name)
 
-    def _stale(self, name: str, before: Snapshot) -> set[str]:
-        """What the pointer of ``before`` has replaced: files it covers, parts and pointers older than it."""
-        found = [entry.name for entry in folders.entries(self.spark, self.path(name))]
+    def _stale(self, name: str, before: Snapshot) -> dict[str, bool]:
+        """What the pointer of ``before`` has replaced, and whether it is a folder: files it covers, parts
+        and pointers older than it."""
+        found = self._found(name)
         pointers = sorted(entry for entry in found if entry.startswith("_pointer-"))[:-1]
         parts = [e for e in found if e.startswith("part-") and e not in before.parts and int(e.split("-")[1]) < before.number]
-        return {*pointers, *parts, *(e for e in before.covered if e in found)}
+        return {e: found[e] for e in (*pointers, *parts, *before.covered) if e in found}
 
     def maintain(self, tail: int = TAIL) -> list[str]:
         """Compact the tables that have more appended files than ``tail``; their names."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import metadata, runs
 from quayside.params import LoadParams
-from quayside.sources import control, folders
+from quayside.sources import control, folders, tree
 from quayside.sources.relations import relation, shared_folder
 from tools import CURRENT, LAST, values
 
@@ -247,3 +247,68 @@ def test_a_table_of_folders_is_still_read(spark, tmp_path):
     assert values(store.read("job_config"), "job_id") == [("1",), ("2",)]
     store.compact("job_config")
     assert values(store.read("job_config"), "job_id") == [("1",), ("2",)]
+
+
+def _loads(spark, number):
+    """Three rows of each of some loads, one of them without an id."""
+    load = F.when(F.col("id") >= 3, F.floor(F.col("id") / 3).cast("string"))
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    named = {"load_id": load, "job_run_status": F.pmod("id", F.lit(3)).cast("string"), "logged_at": at}
+    columns = [named.get(name, F.lit(None).cast("string")).alias(name) for name in spark.createDataFrame([], control.SCHEMAS["process_log"]).columns]
+    return spark.range(3 * number).select(*columns)
+
+
+@pytest.mark.parametrize("by_tasks", [True, False])
+def test_an_append_for_each_key(spark, tmp_path, monkeypatch, by_tasks):
+    """Every key's rows are one append, and compactions neither lose nor double any, whoever reaches the store."""
+    if not by_tasks:
+        monkeypatch.setattr(tree, "reachable", lambda spark, root: False)
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    rows = _loads(spark, control.TAIL + 10)
+    expected = values(rows)
+    store.append_each("process_log", rows, ["load_id"])
+    found = store.snapshot("process_log")
+    assert len(found.tail) == len(found.files) == control.TAIL + 10
+    assert values(store.read("process_log")) == expected
+    store.append("process_log", rows)
+    store.append_rows("process_log", [{"load_id": "x"}])
+    assert len(store.snapshot("process_log").files) == control.TAIL + 11
+    assert store.read("process_log").count() == 2 * len(expected) + 1
+    store.compact("process_log")
+    assert store.read("process_log").where("load_id is null or load_id != 'x'").count() == 2 * len(expected)
+    # What the pointer covers goes with the next compaction, checksums too.
+    runs.append_status(store, PARAMS, "success")
+    store.compact("process_log")
+    left = [entry.name for entry in (tmp_path / "control" / "process_log").iterdir() if "append-" in entry.name and not entry.name.endswith(".crc")]
+    assert len(left) == 1
+    if by_tasks:
+        assert len([entry for entry in (tmp_path / "control" / "process_log").iterdir() if entry.name.startswith(".append-")]) <= 1
+    assert store.read("process_log").count() == 2 * len(expected) + 2
+
+
+def test_appends_of_an_older_schema_are_read_by_tasks(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    folder = tmp_path / "control" / "job_config"
+    folder.mkdir(parents=True)
+    for n in range(control.TAIL + 1):
+        pq.write_table(pa.table({"seq": pa.array([n], pa.int32()), "job_id": [str(n)]}), folder / f"append-{n}")
+    found = store.read("job_config")
+    assert values(found) == sorted(((None, str(n), None, n) for n in range(control.TAIL + 1)), key=repr)
+    assert found.schema.simpleString() == spark.createDataFrame([], control.SCHEMAS["job_config"]).schema.simpleString()
+
+
+def test_marks_of_many_appends_are_compacted_while_they_are_made(spark, tmp_path):
+    """Events of a null user and of many others, more appends than a table may keep, and ties of none."""
+    from quayside.plans import acceptance
+
+    user = F.when(F.col("id") % 101 != 0, F.col("id") % 101)
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).cast("timestamp_ntz")
+    kind = F.concat(F.lit("t"), F.col("id") % 3)
+    spark.range(1212).select(user.alias("user_id"), kind.alias("event_type"), at.alias("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    found = acceptance.compacted_control(spark, str(tmp_path)).withColumn("at", F.unix_seconds(F.col("mark").cast("timestamp")) - 1_700_000_000)
+    last = [1111 + n for n in range(101)]
+    expected = sorted(((n or None, f"t{i % 3}", "4", 3, i, True) for n, i in enumerate(last)), key=repr)
+    assert values(found, "user_id", "job_run_status", "error_message", "logged", "at", "few_files") == expected
