@@ -663,7 +663,7 @@ def compacted_control(spark: SparkSession, sf_dir: str) -> DataFrame:
         compactions = [lambda name=name: store.compact(name) for name in names] if part else []
         run_all(spark, lambda action: action(), compactions + writers)
     store.maintain(tail=0)
-    few = all(len(store.snapshot(name).names) <= control.PARTS for name in names)
+    few = all(store.snapshot(name).size <= control.PARTS for name in names)
     status = runs.latest_status(store.read("process_log")).select(F.col("load_id").cast("bigint").alias("user_id"), "job_run_status", "error_message")
     logged = store.read("process_log").groupBy(F.col("load_id").cast("bigint").alias("logs_of")).agg(F.count(F.lit(1)).alias("logged"))
     keys = ["source_metadata_id", "source_system"]

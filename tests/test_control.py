@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import metadata, runs
 from quayside.params import LoadParams
-from quayside.sources import control, folders, tree
+from quayside.sources import appends, control, folders, tree
 from quayside.sources.relations import relation, shared_folder
 from tools import CURRENT, LAST, values
 
@@ -286,6 +286,101 @@ def test_an_append_for_each_key(spark, tmp_path, monkeypatch, by_tasks):
     assert store.read("process_log").count() == 2 * len(expected) + 2
 
 
+def _shard_files(store, name):
+    """Names of files in the shards of a table."""
+    return sorted(row.name for row in appends.listed(store.spark, store._uri(name)).collect())
+
+
+def test_the_driver_holds_no_names_of_what_tasks_append(spark, tmp_path, monkeypatch):
+    """Neither listings nor pointers grow with the appends, while rows and covered files do what they did."""
+
+    def never(snapshot):
+        raise AssertionError("names came to the driver")
+
+    monkeypatch.setattr(control.Snapshot, "_dealt_names", property(never))
+    monkeypatch.setattr(appends, "SHARDS", 8)
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    rows = _loads(spark, 300)
+    store.append_each("process_log", rows, ["load_id"])
+    assert store.snapshot("process_log").size == len(_shard_files(store, "process_log")) == 300
+    assert len(folders.entries(spark, store.path("process_log"))) <= 8
+    assert values(store.read("process_log")) == values(rows)
+    assert store.maintain() == ["process_log"]
+    store.append_each("process_log", _loads(spark, 100), ["load_id"])
+    for covered in (100, 0, 0):
+        found = store.compact("process_log")
+        assert (found.appended, found.many_covered) == (0, 0)
+        assert len(_shard_files(store, "process_log")) == covered
+        pointers = [entry for entry in folders.entries(spark, store.path("process_log")) if entry.name.startswith("_pointer-")]
+        assert max(entry.bytes for entry in pointers) < 1000
+        assert store.read("process_log").where("load_id is null or load_id != 'x'").count() == 1200
+        store.append_rows("process_log", [{"load_id": "x"}])
+    assert len([entry for entry in folders.entries(spark, store.path("process_log")) if entry.name.startswith("covered-")]) <= 2
+
+
+@pytest.mark.parametrize("dealt", [True, False])
+def test_a_compaction_lost_before_it_removes_doubles_no_row(spark, tmp_path, monkeypatch, dealt):
+    """Covered names stay covered until they are gone."""
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    if dealt:
+        store.append_each("process_log", _loads(spark, 5), ["load_id"])
+    else:
+        store.append_rows("process_log", [{"load_id": str(n)} for n in range(15)])
+    store.compact("process_log")
+    store.append_rows("process_log", [{"load_id": "x"}])
+    with monkeypatch.context() as lost:
+        lost.setattr(appends, "remove", lambda *_: None)
+        lost.setattr(folders, "remove", lambda *_: None)
+        store.compact("process_log")
+        assert store.read("process_log").count() == 16
+    store.append_rows("process_log", [{"load_id": "y"}])
+    store.compact("process_log")
+    assert store.read("process_log").count() == 17
+    assert _shard_files(store, "process_log") == []
+
+
+def test_a_listing_outrun_by_compactions_is_made_again(spark, tmp_path, monkeypatch):
+    """Two compactions between the pointer and the listing of the shards remove what the pointer does not cover."""
+    store, other = (control.ControlStore(spark, str(tmp_path / "control")) for _ in range(2))
+    store.append_each("process_log", _loads(spark, 5), ["load_id"])
+    listed, outrun = store._listed, []
+
+    def late(*at):
+        if not outrun:
+            outrun.append(at)
+            for _ in range(2):
+                other.append_rows("process_log", [{"load_id": "x"}])
+                other.compact("process_log")
+            assert _shard_files(other, "process_log") == []
+        return listed(*at)
+
+    monkeypatch.setattr(store, "_listed", late)
+    assert store.read("process_log").count() == 17
+
+
+def test_appends_of_tasks_while_others_compact(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = control.ControlStore(spark, str(tmp_path / "control"))
+    with ThreadPoolExecutor(4) as pool:
+        writers = [pool.submit(store.append_each, "process_log", _loads(spark, 40), ["load_id"]) for _ in range(3)]
+        while not all(writer.done() for writer in writers):
+            store.compact("process_log")
+        for writer in writers:
+            writer.result()
+    assert store.read("process_log").count() == 360
+    store.maintain(tail=0)
+    assert store.snapshot("process_log").size <= control.PARTS
+    assert values(store.read("process_log")) == sorted(3 * values(_loads(spark, 40)), key=repr)
+
+
+def test_shards_that_tasks_cannot_reach_are_not_passed_over(spark, tmp_path, monkeypatch):
+    control.ControlStore(spark, str(tmp_path / "control")).append_each("process_log", _loads(spark, 5), ["load_id"])
+    monkeypatch.setattr(tree, "reachable", lambda spark, root: False)
+    with pytest.raises(ValueError, match="has shards"):
+        control.ControlStore(spark, str(tmp_path / "control")).read("process_log")
+
+
 def test_appends_of_an_older_schema_are_read_by_tasks(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
